@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Digits kept beyond the wanted ones before the final rounding.
+GUARD_DIGITS = 4
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that gives NULL instead of an error when the divisor is zero."""
     return F.try_divide(numerator, denominator)
@@ -30,6 +34,16 @@ def numeric_value(f64: str, i64: str, flag: str) -> Column:
     )
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """Decimal rounding, half away from zero, of a value held as a double.
+
+    Going through a decimal with more digits removes the binary error that would let
+    0.353125 round down.
+    """
+    exact = value.cast(f"decimal(38,{digits + GUARD_DIGITS})")
+    return F.round(exact, digits).cast("double")
+
+
 def latest_time(df: DataFrame, time_col: str = "time") -> datetime | None:
     """Newest time of a table (one row on the driver).
 

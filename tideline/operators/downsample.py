@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.ordered import MAX_ROWS, OrderedScan, row_index
+from tideline.session import stored
 
 # A series of at most this many rows is handled by one task as it is.
 SERIES_ROWS = 200_000
@@ -30,16 +31,23 @@ def _positions(
     value: str,
     tiebreak: str | None,
     max_rows: int,
-) -> DataFrame:
-    """Rows with a value, plus ``_pos`` (rank within the series) and series totals."""
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with a value plus ``_pos`` (rank within the series) and series totals.
+
+    Also the totals themselves: rows (``count``) and first time per series.
+    """
     rows = df.filter(F.col(value).isNotNull()).select(
         *series, F.col(time).alias("time"), F.col(value).cast("double").alias("value"),
         *([] if tiebreak is None else [F.col(tiebreak).alias("_tie")]),
     )
     order = ["time", "value" if tiebreak is None else "_tie"]
-    sizes = rows.groupBy(*series).agg(F.count("*").alias("_n"), F.min("time").alias("_t0"))
-    scan = OrderedScan.of(rows, series, order, max_rows).running({"_pos": row_index()})
-    return scan.frame().join(sizes, list(series))
+    sizes = stored(
+        rows.groupBy(*series).agg(F.count("*").alias("count"), F.min("time").alias("_t0")),
+        "series-sizes",
+    )
+    scan = OrderedScan.of(rows, series, order, max_rows, sizes).running({"_pos": row_index()})
+    totals = sizes.withColumnRenamed("count", "_n")
+    return scan.frame().join(totals, list(series)), sizes
 
 
 def hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -129,7 +137,7 @@ def lttb(
     if points < 3:
         raise ValueError("points must be at least 3")
     inner = points - 2
-    rows = _positions(df, series, time, value, tiebreak, max_rows)
+    rows, sizes = _positions(df, series, time, value, tiebreak, max_rows)
     whole = rows.filter(F.col("_n") <= points)
     n, pos = F.col("_n"), F.col("_pos")
     bucket = (
@@ -152,14 +160,7 @@ def lttb(
     )
     columns = (*series, "time", "value", "_pos", "_bucket", "_x")
     small = placed.filter(n <= series_rows).select(*columns)
-    largest = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*series)
-        .count()
-        .agg(F.max("count").alias("rows"))
-        .first()["rows"]
-        or 0
-    )
+    largest = sizes.agg(F.max("count").alias("rows")).first()["rows"] or 0
     candidates = small
     if largest > series_rows:
         large = placed.filter(n > series_rows).select(*columns)
@@ -219,7 +220,7 @@ def asap_smooth(
     Spark averages runs of ``ceil(rows / resolution)`` rows, so a task receives at most
     ``resolution`` rows of a series; a point carries the first time of its run.
     """
-    rows = _positions(df, series, time, value, tiebreak, max_rows)
+    rows, _ = _positions(df, series, time, value, tiebreak, max_rows)
     run = F.ceil(F.col("_n") / F.lit(resolution))
     runs = rows.groupBy(*series, F.floor(F.col("_pos") / run).alias("_run")).agg(
         F.min("time").alias("time"), F.avg("value").alias("value")

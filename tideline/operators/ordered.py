@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import add_nullable
-from tideline.session import fresh_path
+from tideline.session import stored
 
 SEGMENT = "_segment"
 # Rows one window task may hold; Spark spills below that size without trouble.
@@ -119,32 +119,32 @@ class OrderedScan:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int = MAX_ROWS,
+        sizes: DataFrame | None = None,
     ) -> OrderedScan:
+        """``sizes`` may give the rows per key (column ``count``) where they are known."""
         keys, order = tuple(keys), tuple(order)
-        spark = df.sparkSession
-        large = df.groupBy(*keys).count().filter(F.col("count") > max_rows)
+        sizes = df.groupBy(*keys).count() if sizes is None else sizes
+        large = sizes.filter(F.col("count") > max_rows)
         found = large.agg(F.count("*").alias("keys"), F.sum("count").alias("rows")).first()
         if not found["keys"]:
             return cls(keys, order, df, None)
         if keys:
             # At most (all rows / max_rows) keys; stored once so both joins agree.
-            path = fresh_path(spark, "large-keys")
-            large.select(*keys).write.parquet(path)
-            large = spark.read.parquet(path)
+            large = stored(large.select(*keys), "large-keys")
             match = same_keys(df, large, keys)
             plain = df.join(large, match, "left_anti")
             rows = df.join(large, match, "left_semi")
         else:
             plain, rows = None, df
         segments = 2 * math.ceil(found["rows"] / max_rows)
-        path = fresh_path(spark, "segments")
         # Stored, so that every later read sees one fixed set of segments.
-        (
-            rows.repartitionByRange(segments, *keys, *order)
-            .withColumn(SEGMENT, F.spark_partition_id())
-            .write.parquet(path)
+        split = stored(
+            rows.repartitionByRange(segments, *keys, *order).withColumn(
+                SEGMENT, F.spark_partition_id()
+            ),
+            "segments",
         )
-        return cls(keys, order, plain, spark.read.parquet(path))
+        return cls(keys, order, plain, split)
 
     def running(self, aggregates: dict[str, Running]) -> OrderedScan:
         """Add one column per running aggregate."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.scalars import pair_leg, ratio
+from tideline.functions.scalars import pair_leg, ratio, round_half_up
 from tideline.operators.ordered import MAX_ROWS, OrderedScan, running_last
 
 PAIR_DECIMALS = 5
@@ -74,7 +74,15 @@ def pair_ticks(
     if symbols is not None:
         pairs = with_initial_prices(pairs, symbols)
     rows = ticks_by_pair(ticks, pairs, tiebreak)
-    scan = OrderedScan.of(rows, ["symbol_pair"], ["time", tiebreak, "leg"], max_rows).running(
+    # Rows per pair follow from the ticks per symbol, before the fan-out over pairs.
+    legs, counts = pair_legs(pairs), ticks.groupBy("symbol").count()
+    sizes = (
+        legs.join(counts, legs["leg_symbol"] == counts["symbol"])
+        .groupBy("symbol_pair")
+        .agg(F.sum("count").alias("count"))
+    )
+    order = ["time", tiebreak, "leg"]
+    scan = OrderedScan.of(rows, ["symbol_pair"], order, max_rows, sizes).running(
         {
             f"price_{leg}": running_last(F.when(F.col("leg") == leg, F.col("price")))
             for leg in (1, 2)
@@ -87,7 +95,7 @@ def pair_ticks(
         )
     return (
         known.withColumn(
-            "_ratio", F.round(ratio(F.col("price_1"), F.col("price_2")), PAIR_DECIMALS)
+            "_ratio", round_half_up(ratio(F.col("price_1"), F.col("price_2")), PAIR_DECIMALS)
         )
         .filter(F.col("_ratio").isNotNull())
         .select(

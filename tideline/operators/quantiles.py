@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.buckets import time_bucket
 from tideline.operators.ordered import MAX_ROWS, OrderedScan, running_sum
+from tideline.session import stored
 
 SKETCH_K = 400
 
@@ -68,17 +69,20 @@ def exact_percentiles(
     each value its span of ranks, from which the ranks around a percentile are picked.
     Spark's ``percentile`` keeps all values of a group in one task, this does not.
     """
-    counts = (
+    counts = stored(
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_c"))
+        .agg(F.count("*").alias("_c")),
+        "value-counts",
+    )
+    sizes = stored(
+        counts.groupBy(*by).agg(F.count("*").alias("count"), F.sum("_c").alias("_n")), "sizes"
     )
-    sizes = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
     ranked = (
-        OrderedScan.of(counts, by, ["_v"], max_rows)
+        OrderedScan.of(counts, by, ["_v"], max_rows, sizes)
         .running({"_end": running_sum(F.col("_c"))})
         .frame()
-        .join(sizes, list(by))
+        .join(sizes.drop("count"), list(by))
     )
 
     def at(rank: Column) -> Column:

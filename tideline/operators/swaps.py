@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.buckets import time_bucket
-from tideline.functions.scalars import add_nullable, ratio
+from tideline.functions.scalars import add_nullable, ratio, round_half_up
 from tideline.operators.ordered import (
     MAX_ROWS,
     OrderedScan,
@@ -16,6 +16,7 @@ from tideline.operators.ordered import (
     running_max,
     running_sum,
 )
+from tideline.session import stored
 
 KEYS = ("wallet_address", "token_address")
 ORDER = ("time", "id")
@@ -181,7 +182,7 @@ def win_rate(pnl: DataFrame) -> DataFrame:
             *KEYS,
             "total_trades",
             "winning_trades",
-            F.round(ratio(F.col("winning_trades") * F.lit(100.0), trades), 2).alias("win_rate"),
+            round_half_up(ratio(F.col("winning_trades") * F.lit(100.0), trades), 2).alias("win_rate"),
             "total_pnl",
         )
     )
@@ -213,7 +214,7 @@ def mark_to_market(swaps: DataFrame) -> DataFrame:
         price,
         (balance * price).alias("estimated_current_value"),
         (balance * price - balance * cost).alias("unrealized_pnl"),
-        F.round((ratio(price, cost) - 1) * 100, 2).alias("unrealized_pnl_percent"),
+        round_half_up((ratio(price, cost) - 1) * 100, 2).alias("unrealized_pnl_percent"),
     )
 
 
@@ -232,9 +233,9 @@ def fifo_lots(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     point carried forward. Work is linear in the number of swaps.
     """
     bought, sold = F.coalesce("token_in", F.lit(0.0)), F.coalesce("token_out", F.lit(0.0))
-    flows = (
-        OrderedScan.of(swaps, KEYS, ORDER, max_rows)
-        .running(
+    flows = OrderedScan.of(swaps, KEYS, ORDER, max_rows)
+    running = (
+        flows.running(
             {
                 "_b": running_sum(bought),
                 "_b0": running_sum(bought, exclusive=True),
@@ -275,12 +276,18 @@ def fifo_lots(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     )
     # A row may buy, sell or both; empty stretches mark nothing.
     points = (
-        flows.select(*KEYS, "id", F.explode(F.array(lot, sale)).alias("p"))
+        running.select(*KEYS, "id", F.explode(F.array(lot, sale)).alias("p"))
         .select(*KEYS, "id", "p.*")
         .filter(F.col("high") > F.col("low"))
     )
     is_lot = F.col("kind") == 0
-    scan = OrderedScan.of(points, KEYS, ("low", "kind", "id"), max_rows).running(
+    order = ("low", "kind", "id")
+    if flows.split is None:
+        # No key is large, and a swap gives at most two points.
+        by_quantity = OrderedScan(KEYS, order, points, None)
+    else:
+        by_quantity = OrderedScan.of(stored(points, "fifo-points"), KEYS, order, max_rows)
+    scan = by_quantity.running(
         {
             "lot_id": _last_where(is_lot, "id"),
             "_lot_high": _last_where(is_lot, "high"),
