@@ -18,8 +18,11 @@ from tideline.functions.buckets import (
     as_timedelta,
     ceil_time,
     floor_time,
+    is_calendar,
     shift,
     time_bucket,
+    width_micros,
+    width_months,
 )
 from tideline.operators.candles import candles, rollup_candles
 from tideline.operators.ranges import between
@@ -78,6 +81,9 @@ class CaggChain:
 
     def define(self) -> CaggChain:
         """Create all levels empty, to be filled by a refresh."""
+        for fine, coarse in zip(self.config.levels, self.config.levels[1:]):
+            if not nests(fine.width, coarse.width):
+                raise ValueError(f"buckets of {coarse.width} do not end where {fine.width} ones do")
         for level in self.config.levels:
             self.table(level.name).create()
         make_dir(self.spark, self._marks)
@@ -233,6 +239,15 @@ class CaggChain:
         return between(view, start, end, "bucket")
 
 
+def nests(fine: str, coarse: str) -> bool:
+    """True when every coarse bucket is made of whole fine ones."""
+    if is_calendar(coarse):
+        if is_calendar(fine):
+            return width_months(coarse) % width_months(fine) == 0
+        return width_micros("1 day") % width_micros(fine) == 0
+    return not is_calendar(fine) and width_micros(coarse) % width_micros(fine) == 0
+
+
 def route_by_range(names: Sequence[str], start: datetime, end: datetime) -> str:
     for name, limit in zip(names[:-1], ROUTE_LIMITS):
         if end - start <= as_timedelta(limit):
