@@ -46,7 +46,7 @@ def test_rates_roll_up(spark):
     )
     state = c.rate_candles(rates, "30 seconds")
     for width in ("10 minutes", "1 hour", "6 hours", "2 days"):
-        state = c.rollup_candles(state, width, c.RATE_SERIES, c.RATE_PREFIXES)
+        state = c.rollup_rates(state, width)
     direct = c.rate_candles(rates, "2 days")
     assert plain(c.rate_ohlcv(state)) == plain(c.rate_ohlcv(direct))
 

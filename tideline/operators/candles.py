@@ -28,11 +28,7 @@ def _first_last(time: str, tiebreak: str | None) -> Column:
 
 
 def candle_aggregates(
-    price: Column,
-    volume: Column,
-    time: str = "time",
-    tiebreak: str | None = None,
-    prefix: str = "",
+    price: Column, volume: Column, time: str = "time", tiebreak: str | None = None
 ) -> list[Column]:
     order = _first_last(time, tiebreak)
     columns = {
@@ -45,26 +41,22 @@ def candle_aggregates(
         "open_at": F.min(time),
         "close_at": F.max(time),
     }
-    return [c.alias(prefix + n) for n, c in columns.items()]
+    return [c.alias(n) for n, c in columns.items()]
 
 
-def merge_aggregates(prefix: str = "") -> list[Column]:
+def merge_aggregates() -> list[Column]:
     """The same state again from finer states. Child buckets never overlap in time."""
-
-    def c(name: str) -> str:
-        return prefix + name
-
     columns = {
-        "open": F.min_by(c("open"), c("open_at")),
-        "high": F.max(c("high")),
-        "low": F.min(c("low")),
-        "close": F.max_by(c("close"), c("close_at")),
-        "volume": F.sum(c("volume")),
-        "pv": F.sum(c("pv")),
-        "open_at": F.min(c("open_at")),
-        "close_at": F.max(c("close_at")),
+        "open": F.min_by("open", "open_at"),
+        "high": F.max("high"),
+        "low": F.min("low"),
+        "close": F.max_by("close", "close_at"),
+        "volume": F.sum("volume"),
+        "pv": F.sum("pv"),
+        "open_at": F.min("open_at"),
+        "close_at": F.max("close_at"),
     }
-    return [col.alias(c(n)) for n, col in columns.items()]
+    return [c.alias(n) for n, c in columns.items()]
 
 
 def candles(
@@ -83,17 +75,19 @@ def candles(
 
 
 def rollup_candles(
-    state: DataFrame,
-    width: str,
-    series: Sequence[str] = ("symbol",),
-    prefixes: Sequence[str] = ("",),
+    state: DataFrame, width: str, series: Sequence[str] = ("symbol",)
 ) -> DataFrame:
     """Merge candle states into wider buckets; equal to aggregating the raw ticks."""
-    merged = [c for p in prefixes for c in merge_aggregates(p)]
+    return _rollup(state, width, series, merge_aggregates())
+
+
+def _rollup(
+    state: DataFrame, width: str, series: Sequence[str], aggregates: Sequence[Column]
+) -> DataFrame:
     return (
         state.withColumn("_parent", time_bucket(width, "bucket"))
         .groupBy(F.col("_parent").alias("bucket"), *series)
-        .agg(*merged)
+        .agg(*aggregates)
     )
 
 
@@ -131,26 +125,65 @@ def candle_times(
     )
 
 
-RATE_PREFIXES = ("ask_", "bid_", "mid_")
 RATE_SERIES = ("from", "to")
 
 
 def rate_candles(rates: DataFrame, width: str, time: str = "timestamp") -> DataFrame:
-    """Ask, bid and mid candles of exchange rates in one aggregation, each quote volume 1."""
-    one = F.lit(1.0)
-    prices = {
-        "ask_": F.col("ask"),
-        "bid_": F.col("bid"),
-        "mid_": (F.col("ask") + F.col("bid")) / F.lit(2.0),
+    """Ask, bid and mid candles of exchange rates in one aggregation, each quote volume 1.
+
+    The three candles share their volume and times. The mid price lies halfway between ask
+    and bid of the same quote, so its open, close and sum follow from theirs; only its
+    high and low need columns of their own.
+    """
+    ask, bid = F.col("ask"), F.col("bid")
+    mid = (ask + bid) / F.lit(2.0)
+    columns = {
+        "ask_open": F.min_by(ask, time),
+        "ask_high": F.max(ask),
+        "ask_low": F.min(ask),
+        "ask_close": F.max_by(ask, time),
+        "ask_sum": F.sum(ask),
+        "bid_open": F.min_by(bid, time),
+        "bid_high": F.max(bid),
+        "bid_low": F.min(bid),
+        "bid_close": F.max_by(bid, time),
+        "bid_sum": F.sum(bid),
+        "mid_high": F.max(mid),
+        "mid_low": F.min(mid),
+        "volume": F.count(F.lit(1)),
+        "open_at": F.min(time),
+        "close_at": F.max(time),
     }
     return rates.groupBy(time_bucket(width, time).alias("bucket"), *RATE_SERIES).agg(
-        *(c for p, col in prices.items() for c in candle_aggregates(col, one, time, prefix=p))
+        *(c.alias(n) for n, c in columns.items())
     )
 
 
+def rollup_rates(state: DataFrame, width: str) -> DataFrame:
+    merge = {
+        "open": lambda c: F.min_by(c, "open_at"),
+        "high": F.max,
+        "low": F.min,
+        "close": lambda c: F.max_by(c, "close_at"),
+        "sum": F.sum,
+        "volume": F.sum,
+        "open_at": F.min,
+        "close_at": F.max,
+    }
+    names = [c for c in state.columns if c not in ("bucket", *RATE_SERIES)]
+    plain_name = {n: n.removeprefix("ask_").removeprefix("bid_").removeprefix("mid_") for n in names}
+    return _rollup(state, width, RATE_SERIES, [merge[plain_name[n]](n).alias(n) for n in names])
+
+
 def rate_ohlcv(state: DataFrame) -> DataFrame:
-    columns: list[Column] = []
-    for p in RATE_PREFIXES:
-        columns += [F.col(p + n) for n in ("open", "high", "low", "close", "volume")]
-        columns.append(ratio(F.col(p + "pv"), F.col(p + "volume")).alias(p + "vwap"))
-    return state.select("bucket", *RATE_SERIES, *columns)
+    def mid(name: str) -> Column:
+        return (F.col(f"ask_{name}") + F.col(f"bid_{name}")) / F.lit(2.0)
+
+    columns = state.withColumns({f"mid_{n}": mid(n) for n in ("open", "close", "sum")})
+    volume = F.col("volume").cast("double")
+    out: list[Column] = []
+    for p in ("ask", "bid", "mid"):
+        out += [F.col(f"{p}_{n}") for n in ("open", "high", "low", "close")]
+        out.append(volume.alias(f"{p}_volume"))
+        out.append((F.col(f"{p}_sum") / volume).alias(f"{p}_vwap"))
+    return columns.select("bucket", *RATE_SERIES, *out)

@@ -1,7 +1,7 @@
 """Downsampling for charts: largest-triangle-three-buckets and ASAP smoothing.
 
 Positions, bucket means and group averages are computed by Spark; the two steps that
-depend on the previous choice run per series in pandas on few rows.
+depend on the previous choice run per series on Arrow tables of few rows.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +22,8 @@ SERIES_ROWS = 200_000
 # Rows per cell of the first hull reduction, and cells merged per later one.
 CELL_ROWS = 50_000
 CELL_FAN = 500
+# Rows of one task in the stages that run in Python.
+TASK_ROWS = 1_000_000
 
 
 def _positions(
@@ -50,6 +52,15 @@ def _positions(
     return scan.frame().join(totals, list(series)), sizes
 
 
+def _python_partitions(df: DataFrame, total_rows: int) -> int:
+    """Partitions for a Python stage: at least one per core, at most TASK_ROWS rows each.
+
+    Adaptive execution merges small partitions by bytes, which would leave work that is
+    heavy per row to a few tasks; a fixed number is left alone.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-total_rows // TASK_ROWS))
+
+
 def hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Indexes of the corners of the convex hull of points sorted by x (quickhull)."""
     if len(x) <= 3:
@@ -76,9 +87,14 @@ def hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array(sorted(keep))
 
 
-def _hull_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("_pos", kind="stable")
-    return pdf.iloc[hull(pdf["_x"].to_numpy(float), pdf["value"].to_numpy(float))]
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _hull_rows(table: pa.Table) -> pa.Table:
+    order = np.argsort(_column(table, "_pos"), kind="stable")
+    corners = hull(_column(table, "_x")[order], _column(table, "value")[order])
+    return table.take(pa.array(order[corners]))
 
 
 def _reduce_to_hulls(points: DataFrame, keys: Sequence[str], largest_bucket: int) -> DataFrame:
@@ -94,7 +110,7 @@ def _reduce_to_hulls(points: DataFrame, keys: Sequence[str], largest_bucket: int
         grouped = points.withColumn("_cell", cell if cells > 1 else F.lit(0).cast("long"))
         points = (
             grouped.groupBy(*keys, "_bucket", "_cell")
-            .applyInPandas(_hull_rows, grouped.schema)
+            .applyInArrow(_hull_rows, grouped.schema)
             .drop("_cell")
         )
         if cells == 1:
@@ -103,21 +119,22 @@ def _reduce_to_hulls(points: DataFrame, keys: Sequence[str], largest_bucket: int
         cell = F.floor(cell / CELL_FAN)
 
 
-def _pick_points(pdf: pd.DataFrame) -> pd.DataFrame:
+def _pick_points(table: pa.Table) -> pa.Table:
     """One point per bucket: the largest triangle with the point chosen before."""
-    pdf = pdf.sort_values(["_bucket", "_pos"], kind="stable")
-    x, y = pdf["_x"].to_numpy(float), pdf["value"].to_numpy(float)
-    next_x, next_y = pdf["_next_x"].to_numpy(float), pdf["_next_y"].to_numpy(float)
-    starts = np.flatnonzero(np.r_[True, np.diff(pdf["_bucket"].to_numpy()) != 0])
-    ends = np.r_[starts[1:], len(pdf)]
+    order = np.argsort(_column(table, "_pos"), kind="stable")
+    bucket = _column(table, "_bucket")[order]
+    x, y = _column(table, "_x")[order], _column(table, "value")[order]
+    next_x, next_y = _column(table, "_next_x")[order], _column(table, "_next_y")[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0])
+    ends = np.r_[starts[1:], len(order)]
     chosen = [0]
     for lo, hi in zip(starts[1:-1], ends[1:-1]):
         ax, ay = x[chosen[-1]], y[chosen[-1]]
         cx, cy = next_x[lo], next_y[lo]
         area = np.abs((ax - cx) * (y[lo:hi] - ay) - (ax - x[lo:hi]) * (cy - ay))
         chosen.append(lo + int(np.argmax(area)))
-    chosen.append(len(pdf) - 1)
-    return pdf.iloc[chosen]
+    chosen.append(len(order) - 1)
+    return table.take(pa.array(order[chosen]))
 
 
 def lttb(
@@ -160,7 +177,8 @@ def lttb(
     )
     columns = (*series, "time", "value", "_pos", "_bucket", "_x")
     small = placed.filter(n <= series_rows).select(*columns)
-    largest = sizes.agg(F.max("count").alias("rows")).first()["rows"] or 0
+    found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("rows")).first()
+    largest = found["largest"] or 0
     candidates = small
     if largest > series_rows:
         large = placed.filter(n > series_rows).select(*columns)
@@ -173,8 +191,9 @@ def lttb(
     names = out.fieldNames()
     picked = (
         candidates.join(means, [*series, "_bucket"], "left")
+        .repartition(_python_partitions(df, found["rows"] or 0), *series)
         .groupBy(*series)
-        .applyInPandas(lambda pdf: _pick_points(pdf)[names], out)
+        .applyInArrow(lambda table: _pick_points(table).select(names), out)
     )
     return picked.unionByName(whole.select(*names))
 
@@ -220,7 +239,7 @@ def asap_smooth(
     Spark averages runs of ``ceil(rows / resolution)`` rows, so a task receives at most
     ``resolution`` rows of a series; a point carries the first time of its run.
     """
-    rows, _ = _positions(df, series, time, value, tiebreak, max_rows)
+    rows, sizes = _positions(df, series, time, value, tiebreak, max_rows)
     run = F.ceil(F.col("_n") / F.lit(resolution))
     runs = rows.groupBy(*series, F.floor(F.col("_pos") / run).alias("_run")).agg(
         F.min("time").alias("time"), F.avg("value").alias("value")
@@ -228,10 +247,18 @@ def asap_smooth(
     out = T.StructType([f for f in runs.schema.fields if f.name != "_run"])
     names = out.fieldNames()
 
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_run")
-        values = pdf["value"].to_numpy(float)
+    def smooth(table: pa.Table) -> pa.Table:
+        order = np.argsort(_column(table, "_run"), kind="stable")
+        values = _column(table, "value")[order]
         averages = moving_average(values, smoothing_window(values))
-        return pdf.iloc[: len(averages)].assign(value=averages)[names]
-
-    return runs.groupBy(*series).applyInPandas(smooth, out)
+        points = table.take(pa.array(order[: len(averages)]))
+        at = points.schema.get_field_index("value")
+        return points.set_column(at, "value", pa.array(averages)).select(names)
+
+    count = F.least(F.col("count"), F.lit(resolution))
+    total = sizes.agg(F.sum(count).alias("rows")).first()["rows"] or 0
+    return (
+        runs.repartition(_python_partitions(df, total), *series)
+        .groupBy(*series)
+        .applyInArrow(smooth, out)
+    )

@@ -19,6 +19,8 @@ def build_session(app: str = "tideline", cores: str | int = "*", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # The JVM never compiles methods above 8000 bytes, so larger generated ones are slow.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
