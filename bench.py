@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tideline.operators import lastprice
+from tideline.operators import lastprice, pairs
 from tideline.operators.candles import candles, rollup_candles
 from tideline.session import build_session, stored
 from tideline.sources import bound
@@ -73,6 +73,11 @@ def shapes(spark, root):
         out[f"last_price_upkeep_{percent}pct"] = (
             lambda k=known: lastprice.merge_last_prices(k, ticks)
         )
+    thirty = bound.ticks(spark, root).withColumn(
+        "symbol", F.concat(F.lit("SYM-"), (F.col("tick_id") % 30).cast("string"))
+    )
+    tracked = stored(pairs.all_symbol_pairs(lastprice.symbol_names(thirty)), "bench-pairs")
+    out["pair_ticks_870_pairs"] = lambda: pairs.pair_ticks(thirty, tracked)
     raw = bound.ticks(spark, root)
     hourly = stored(candles(raw, "1 hour"), "bench-hourly")
     out["candles_1d_from_raw"] = lambda: candles(raw, "1 day")

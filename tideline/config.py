@@ -81,6 +81,29 @@ TICKS = SeriesConfig(
     levels=TICK_LEVELS,
 )
 
+RATE_LEVELS = chain_levels(
+    ["30 seconds", "10 minutes", "1 hour", "6 hours", "2 days"],
+    ["30s", "10m", "1h", "6h", "2d"],
+    ["1 day", "1 day", "1 week", "1 month", "1 month"],
+)
+
+RATES = SeriesConfig(
+    table="rates",
+    time_col="timestamp",
+    series_cols=("from", "to"),
+    value_col="ask",
+    levels=RATE_LEVELS,
+)
+
+SWAPS = SeriesConfig(
+    table="swap_events",
+    series_cols=("wallet_address", "token_address"),
+    value_col="usd_in",
+    tiebreak="id",
+    chunk_interval="1 week",
+    levels=(Level("1h", "1 hour", "1 week", "1 day", "1 hour"),),
+)
+
 SAMPLES = SeriesConfig(
     table="sample",
     series_cols=("device_id",),

@@ -6,10 +6,12 @@ depend on the previous choice run per series on Arrow tables of few rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,10 @@ from pyspark.sql import types as T
 from tideline.operators.ordered import MAX_ROWS, OrderedScan, row_index
 from tideline.session import stored
 
+# Functions of this module travel to the executors with the job, which then need only
+# numpy and pyarrow, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A series of at most this many rows is handled by one task as it is.
 SERIES_ROWS = 200_000
 # Rows per cell of the first hull reduction, and cells merged per later one.
@@ -155,23 +161,28 @@ def lttb(
         raise ValueError("points must be at least 3")
     inner = points - 2
     rows, sizes = _positions(df, series, time, value, tiebreak, max_rows)
-    whole = rows.filter(F.col("_n") <= points)
     n, pos = F.col("_n"), F.col("_pos")
     bucket = (
-        F.when(pos == 0, F.lit(0))
+        F.when(n <= points, pos)
+        .when(pos == 0, F.lit(0))
         .when(pos == n - 1, F.lit(points - 1))
         .otherwise(F.floor((pos * inner - 1) / (n - 2)) + 1)
         .cast("long")
     )
-    placed = rows.filter(n > points).select(
-        *series,
-        "time",
-        "value",
-        "_n",
-        "_pos",
-        bucket.alias("_bucket"),
-        F.timestamp_diff("MICROSECOND", "_t0", "time").cast("double").alias("_x"),
+    # Stored: ranks are needed for the means and again for the candidates.
+    ranked = stored(
+        rows.select(
+            *series,
+            "time",
+            "value",
+            "_n",
+            "_pos",
+            bucket.alias("_bucket"),
+            F.timestamp_diff("MICROSECOND", "_t0", "time").cast("double").alias("_x"),
+        ),
+        "ranked",
     )
+    whole, placed = ranked.filter(n <= points), ranked.filter(n > points)
     means = placed.groupBy(*series, (F.col("_bucket") - 1).alias("_bucket")).agg(
         F.avg("_x").alias("_next_x"), F.avg("value").alias("_next_y")
     )

@@ -123,8 +123,19 @@ def swap_pnl_from_books(
     return scan.frame().select(*PNL_COLUMNS)
 
 
-def hourly_activity(swaps: DataFrame) -> DataFrame:
-    return swaps.groupBy(time_bucket("1 hour", "time").alias("bucket"), *KEYS).agg(
+ACTIVITY = (
+    "total_usd_in",
+    "total_usd_out",
+    "total_token_in",
+    "total_token_out",
+    "swap_count",
+    "sell_count",
+    "buy_count",
+)
+
+
+def swap_activity(swaps: DataFrame, width: str = "1 hour") -> DataFrame:
+    return swaps.groupBy(time_bucket(width, "time").alias("bucket"), *KEYS).agg(
         F.sum("usd_in").alias("total_usd_in"),
         F.sum("usd_out").alias("total_usd_out"),
         F.sum("token_in").alias("total_token_in"),
@@ -135,6 +146,14 @@ def hourly_activity(swaps: DataFrame) -> DataFrame:
     )
 
 
+def rollup_swap_activity(activity: DataFrame, width: str) -> DataFrame:
+    return (
+        activity.withColumn("_parent", time_bucket(width, "bucket"))
+        .groupBy(F.col("_parent").alias("bucket"), *KEYS)
+        .agg(*(F.sum(n).alias(n) for n in ACTIVITY))
+    )
+
+
 def daily_volume(swaps: DataFrame) -> DataFrame:
     return swaps.groupBy(time_bucket("1 day", "time").alias("day"), "token_address").agg(
         F.sum("usd_in").alias("buy_volume_usd"),

@@ -24,9 +24,10 @@ from tideline.functions.buckets import (
     width_micros,
     width_months,
 )
-from tideline.operators.candles import candles, rollup_candles
+from tideline.operators.candles import candles, rate_candles, rollup_candles, rollup_rates
 from tideline.operators.ranges import between
 from tideline.operators.stats import rollup_stats, stats
+from tideline.operators.swaps import rollup_swap_activity, swap_activity
 from tideline.sources.store import ChunkTable, list_dir, make_dir
 
 Range = tuple[datetime, datetime]
@@ -292,6 +293,22 @@ def stats_chain(raw: ChunkTable, config: SeriesConfig, root: str) -> CaggChain:
     )
 
 
+def rate_chain(raw: ChunkTable, config: SeriesConfig, root: str) -> CaggChain:
+    """Ask, bid and mid candles of an exchange rate table."""
+    return CaggChain(
+        raw,
+        config,
+        root,
+        lambda df, width: rate_candles(df, width, config.time_col),
+        rollup_rates,
+    )
+
+
+def swap_chain(raw: ChunkTable, config: SeriesConfig, root: str) -> CaggChain:
+    """Sums and counts of swaps per bucket, wallet and token."""
+    return CaggChain(raw, config, root, swap_activity, rollup_swap_activity)
+
+
 def count_chain(raw: ChunkTable, config: SeriesConfig, root: str) -> CaggChain:
     """Row counts per bucket over all series."""
     def build(df: DataFrame, width: str) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.config import SAMPLES, TICKS, SeriesConfig, chain_levels
+from tideline.config import RATES, SAMPLES, SWAPS, TICKS, SeriesConfig, chain_levels
 from tideline.functions.buckets import floor_time, shift, time_bucket
 from tideline.operators import (
     candles,
@@ -482,7 +482,7 @@ def rows_by_hour(spark, root):
 
 @query
 def swap_events_hourly(spark, root):
-    return rounded(swaps.hourly_activity(bound.swaps(spark, root)))
+    return rounded(swaps.swap_activity(bound.swaps(spark, root)))
 
 
 @query
@@ -547,6 +547,22 @@ def percentiles_exact(spark, root):
     return rounded(quantiles.exact_percentiles(days, ["bucket"], "value", QUARTILES))
 
 
+@query
+def percentiles_bounds(spark, root):
+    """Every sketch percentile lies between the exact ones two percent below and above."""
+    days = bound.samples(spark, root).withColumn("bucket", time_bucket("1 day", "time"))
+    around = {}
+    for name, p in QUARTILES.items():
+        around |= {f"{name}_low": max(p - 0.02, 0.0), f"{name}_high": min(p + 0.02, 1.0)}
+    exact = quantiles.exact_percentiles(days, ["bucket"], "value", around)
+    sketches = quantiles.percentile_sketches(bound.samples(spark, root), "1 day")
+    approximate = quantiles.sketch_percentiles(sketches, QUARTILES)
+    return approximate.join(exact, "bucket").select(
+        "bucket",
+        *(F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")).alias(n) for n in QUARTILES),
+    )
+
+
 @query
 def last_value(spark, root):
     return lastprice.last_values(bound.samples(spark, root), ["device_id"], "value")
@@ -690,6 +706,34 @@ def build_cagg_chain(spark, root):
     return rounded(stats.stats_values(chain.materialized("1w")))
 
 
+@query
+def cagg_rates(spark, root):
+    """The five stored rate levels, refreshed in full; the coarsest is read."""
+    folder = fresh_path(spark, "rates")
+    rates = bound.rates(spark, root)
+    table = ChunkTable(
+        spark, f"{folder}/rates", rates.schema, "timestamp", RATES.series_cols
+    ).create()
+    chain = cagg.rate_chain(table, RATES, folder).define()
+    table.append(rates)
+    chain.refresh_full()
+    return rounded(candles.rate_ohlcv(chain.materialized("2d")))
+
+
+@query
+def cagg_swap_policy(spark, root):
+    """Hourly swap activity after one scheduled run: the day before the newest hour."""
+    folder = fresh_path(spark, "swaps")
+    rows = bound.swaps(spark, root)
+    table = ChunkTable(
+        spark, f"{folder}/swaps", rows.schema, "time", SWAPS.series_cols, SWAPS.chunk_interval
+    ).create()
+    chain = cagg.swap_chain(table, SWAPS, folder).define()
+    table.append(rows)
+    chain.refresh_policy(latest_time(rows))
+    return rounded(chain.materialized("1h"))
+
+
 def _partly_refreshed(spark: SparkSession, root: str, name: str) -> cagg.CaggChain:
     """All ticks stored, levels refreshed only up to five days before the newest tick."""
     chain = _tick_chain(spark, root, name)
