@@ -9,6 +9,7 @@ from tideline.llm import chat, kdtree, ownership, tree_bpe
 from tideline.llm.common import table
 
 QUERIES = {}
+ORACLE: dict[str, str] = {}
 
 
 def query(f):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm.common import SPACE, shuffle_parts, text_of
+from tideline.llm.common import SPACE, text_of
 
 #: Entries of a worker's word cache; at about 200 bytes each. Rarer words are encoded anew.
 CACHE_WORDS = 1_000_000
@@ -112,7 +112,7 @@ def _cut_long(limit: int):
                         numbers.append(p)
                         texts.append(piece)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(words, pa.int32()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string())],
+                [pa.array(rows, pa.string()), pa.array(words, pa.int32()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string())],
                 ["row", "word", "piece", "piece_text"],
             )
 
@@ -206,7 +206,7 @@ def _join_row(path: str):
         ids = b"".join(_packed(concatenate(p, tok)[:, 0]) for p in words.values())
         decoded = tok.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
         return pa.table({"row": group.column("row").slice(0, 1), "ids": [ids], "decoded": [decoded]},
-                        schema=pa.schema([("row", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())]))
+                        schema=pa.schema([("row", pa.string()), ("ids", pa.binary()), ("decoded", pa.string())]))
 
     return run
 
@@ -228,12 +228,13 @@ def encode(docs: DataFrame, path: str, piece_chars: int = 4096) -> DataFrame:
     long = (F.length("text") > piece_chars) & F.regexp_like("text", F.lit(rf"[^{SPACE}]{{{piece_chars + 1}}}"))
     kind = rows.schema["keys"].dataType.simpleString()
     short = rows.filter(~long).mapInArrow(_encode_short(path), f"keys {kind}, ids binary, decoded string")
-    numbered = rows.filter(long).withColumn("row", F.monotonically_increasing_id())
-    cut = numbered.select("row", "text").mapInArrow(
-        _cut_long(piece_chars), "row long, word int, piece int, piece_text string"
+    # A long text is named by its digest, so equal texts are cut, encoded and joined once.
+    named = rows.filter(long).withColumn("row", F.sha2("text", 256))
+    cut = named.select("row", "text").mapInArrow(
+        _cut_long(piece_chars), "row string, word int, piece int, piece_text string"
     )
-    encoded = cut.repartition(shuffle_parts(docs.sparkSession), "row", "word", "piece").mapInArrow(
-        _encode_pieces(path), "row long, word int, piece int, piece_text string, tokens binary"
+    encoded = cut.dropDuplicates(["row", "word", "piece"]).mapInArrow(
+        _encode_pieces(path), "row string, word int, piece int, piece_text string, tokens binary"
     )
-    done = encoded.groupBy("row").applyInArrow(_join_row(path), "row long, ids binary, decoded string")
-    return short.unionByName(numbered.select("row", "keys").join(done, "row").drop("row"))
+    done = encoded.groupBy("row").applyInArrow(_join_row(path), "row string, ids binary, decoded string")
+    return short.unionByName(named.select("row", "keys").join(done, "row").drop("row"))
