@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, kdtree, ownership, tree_bpe
+from tideline.llm import chat, fertility, kdtree, ownership, tree_bpe
 from tideline.llm.common import table
 
 QUERIES = {}
@@ -45,6 +45,14 @@ def op2_kd_shards(spark, sf_dir):
     )
 
 
+@query
+def op4_token_fertility(spark, sf_dir):
+    found = fertility.judged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "keys.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query
 def op6_tree_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
