@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,3 +67,19 @@ def running_total(
         .withColumn(name, F.col("_carry") + F.col("_local"))
         .drop("_part", "_local", "_carry")
     )
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``most`` bytes of text, one row at least.
+
+    A worker's lists of words take many times the memory of the text.
+    """
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.binary_length(batch.column(column)).cast(pa.int64())).to_pylist()
+        start = done = 0
+        for i, end in enumerate(ends):
+            if end - done > most and i > start:
+                yield batch.slice(start, i - start)
+                start, done = i, ends[i - 1]
+        if start < len(ends):
+            yield batch.slice(start)
