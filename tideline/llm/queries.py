@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, kdtree, ownership, tree_bpe
+from tideline.llm import chat, fertility, fmindex, kdtree, langid, ownership, tree_bpe
 from tideline.llm.common import table
 
 QUERIES = {}
@@ -45,6 +45,12 @@ def op2_kd_shards(spark, sf_dir):
     )
 
 
+@query
+def op3_language_masks(spark, sf_dir):
+    found = langid.held_out(table(spark, sf_dir, "documents"))
+    return found.select("keys.doc_id", "keys.held_out", "lang_pred", "score")
+
+
 @query
 def op4_token_fertility(spark, sf_dir):
     found = fertility.judged(table(spark, sf_dir, "documents"))
@@ -83,3 +89,15 @@ def op7_chat_events(spark, sf_dir):
         "conv_id", F.size("turns").cast("long").alias("n_turns"), hex_digest(shown).alias("turns_sha256"),
         F.length("learned").cast("long").alias("loss_chars"), hex_digest("learned").alias("loss_sha256"), "formatted_chars",
     )
+
+
+@query
+def op9_fm_decontamination(spark, sf_dir):
+    found = fmindex.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select(
+        "keys.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        hex_digest(F.array_join("items", ",")).alias("items_sha256"),
+    ).withColumn("contaminated", F.col("n_hit") > 0)
