@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, fmindex, kdtree, langid, ownership, tree_bpe
+from tideline.llm import chat, fertility, fmindex, kdtree, kneser_ney, langid, ownership, tree_bpe
 from tideline.llm.common import table
 
 QUERIES = {}
@@ -59,6 +59,15 @@ def op4_token_fertility(spark, sf_dir):
     )
 
 
+@query
+def op5_kneser_ney(spark, sf_dir):
+    found, model = kneser_ney.held_out(table(spark, sf_dir, "documents"))
+    return found.select(
+        "keys.doc_id", "keys.held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 @query
 def op6_tree_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
