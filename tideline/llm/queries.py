@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, fmindex, kdtree, kneser_ney, langid, ownership, tree_bpe
+from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, ownership, tree_bpe
 from tideline.llm.common import table
 
 QUERIES = {}
@@ -100,6 +100,12 @@ def op7_chat_events(spark, sf_dir):
     )
 
 
+@query
+def op8_hyperminhash(spark, sf_dir):
+    found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op9_fm_decontamination(spark, sf_dir):
     found = fmindex.contamination(
