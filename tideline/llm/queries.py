@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, ownership, tree_bpe
+from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, ownership, runindex, tree_bpe
 from tideline.llm.common import table
 
 QUERIES = {}
@@ -116,3 +116,13 @@ def op9_fm_decontamination(spark, sf_dir):
         "keys.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         hex_digest(F.array_join("items", ",")).alias("items_sha256"),
     ).withColumn("contaminated", F.col("n_hit") > 0)
+
+
+@query
+def op10_run_index(spark, sf_dir):
+    done = runindex.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return done.select(
+        "keys.doc_id", (F.octet_length("kept") + n_removed).alias("n_bytes"), n_removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), hex_digest("kept").alias("kept_sha256"),
+    )
