@@ -83,3 +83,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
                 start, done = i, ends[i - 1]
         if start < len(ends):
             yield batch.slice(start)
+
+
+#: Most bytes of keys that are sent to all workers; more are joined by shuffling.
+BROADCAST_BYTES = 32 << 20
+
+
+def text_key(column: str = "text") -> Column:
+    return F.xxhash64(column)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Documents as (row, doc_id, text_key): what names a document beside columns of any name."""
+    return docs.select(F.struct("*").alias("row"), "doc_id", text_key().alias("text_key"))
+
+
+def join_keys(rows: DataFrame, keys: DataFrame, how: str, row_bytes: int = 24) -> DataFrame:
+    """Join on (doc_id, text_key), null equal to null; ``keys`` is stored and goes to all workers if small."""
+    if keys.count() * row_bytes <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & rows["text_key"].eqNullSafe(keys["text_key"])
+    found = rows.join(keys, same, how)
+    return found if how in ("left_semi", "left_anti") else found.drop(keys["doc_id"], keys["text_key"])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices, text_of
+from tideline.llm.common import BROADCAST_BYTES, keyed, slices, text_key, text_of
 from tideline.session import stored
 
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
@@ -275,3 +275,13 @@ def judged(
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
         .select("keys", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_bytes", "entropy", "group", "base_failed", "kept")
     )
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep."""
+    found = judged(docs.withColumn("text_key", text_key()), keys=("doc_id", "text_key"))
+    rejected = stored(found.filter("NOT kept").select("keys.doc_id", "keys.text_key", "keys.lang").distinct(), "rejected")
+    rows = keyed(docs).withColumn("lang", F.col("row.lang"))
+    same = [rows[c].eqNullSafe(rejected[c]) for c in ("doc_id", "text_key", "lang")]
+    few = rejected.count() * 64 <= BROADCAST_BYTES
+    return rows.join(F.broadcast(rejected) if few else rejected, same[0] & same[1] & same[2], "left_anti").select("row.*")

@@ -301,3 +301,30 @@ def cut_words(text: str, spans: list[list[int]]) -> str:
         out.append(text[at : places[a][0]])
         at = places[b - 1][1]
     return "".join([*out, text[at:]])
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents without the words of test items; those with no other words go.
+
+    n_chars is counted anew where a text changed.
+    """
+    found = contamination(docs, benchmark)
+    hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    left = found.filter((hits == 0) | (hits < F.col("n_words")))
+
+    def cut(batches):
+        for batch in batches:
+            texts = map(cut_words, batch.column("text").to_pylist(), batch.column("spans").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("keys"), pa.array(texts, pa.string()), batch.column("changed")], ["keys", "text", "changed"])
+
+    slim = docs.drop("text")
+    packed = left.select(F.struct("keys.*").alias("keys"), "text", "spans", (F.size("spans") > 0).alias("changed"))
+    done = packed.mapInArrow(cut, f"keys {packed.schema['keys'].dataType.simpleString()}, text string, changed boolean")
+
+    def column(name):
+        if name == "text":
+            return F.col("text")
+        old = F.col(f"keys.`{name}`")
+        return (F.when(F.col("changed"), F.length("text")).otherwise(old) if name == "n_chars" else old).cast(slim.schema[name].dataType).alias(name)
+
+    return done.select(*map(column, docs.columns))

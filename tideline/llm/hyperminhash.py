@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import packed, unpacked
-from tideline.llm.common import slices, text_of
+from tideline.llm.common import join_keys, keyed, slices, text_key, text_of
 from tideline.llm.graph import components
 from tideline.llm.textbytes import shingle_sets
 from tideline.session import stored
@@ -38,8 +38,6 @@ PERCENT = 75
 MARGIN = 0.17
 #: Low register bits in which a pair of similarity 0.75 may differ: 32 expected, and six deviations.
 DIFFERENT_BITS = 64
-#: Most bytes of node keys that are sent to all workers; more are joined by shuffling.
-BROADCAST_BYTES = 32 << 20
 
 
 @cache
@@ -165,7 +163,7 @@ class Nodes:
     """Distinct shingle sets with their registers, and how to get at the sets again."""
 
     def __init__(self, docs: DataFrame):
-        self.texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_of().alias("text"))
+        self.texts = docs.select("doc_id", text_key().alias("text_key"), text_of().alias("text"))
         self.sketches = stored(
             self.texts.mapInArrow(_sketch, "doc_id long, text_key long, n long, digest binary, registers binary"), "sketches"
         )
@@ -184,11 +182,7 @@ class Nodes:
     def sets(self, ids: DataFrame) -> DataFrame:
         """Stored rows (id, shingles) of these nodes, from their texts."""
         wanted = stored(self.table.join(ids, "id", "left_semi").select("id", "doc_id", "text_key"), "wanted")
-        small = wanted.count() * 24 <= BROADCAST_BYTES
-        keys = F.broadcast(wanted) if small else wanted
-        texts = self.texts.join(
-            keys, self.texts["doc_id"].eqNullSafe(keys["doc_id"]) & self.texts["text_key"].eqNullSafe(keys["text_key"])
-        ).select("id", "text")
+        texts = join_keys(self.texts, wanted, "inner").select("id", "text")
         return stored(texts.mapInArrow(_packed_sets, "id long, shingles binary").dropDuplicates(["id"]), "sets")
 
 
@@ -209,14 +203,16 @@ def _links(pairs: DataFrame, nodes: Nodes, name: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text_key, n_shingles, component_id, kept), one per document.
+    """Rows (doc_id, text_key, n_shingles, component, component_id, kept), one per document.
 
     Two documents are linked if 100 times the common shingles are at least 75 times all
     of theirs. component_id is the least doc_id that can be reached. Null and empty texts
     and those without words have no shingles and are linked with nothing. Rows with equal
     text are always of one component, also where they share a doc_id; a row without
     doc_id takes part but names no component, and is kept only where no row of its
-    component has an id. Other columns are not read; an empty table gives no rows.
+    component has an id. ``component`` is a number of the component, null where there are no
+    shingles; text_key is the hash of the text. Other columns are not read; an empty
+    table gives no rows.
     """
     nodes = Nodes(docs)
     bands = nodes.table.select("id", "n", "registers").mapInArrow(
@@ -254,8 +250,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = nodes.table.join(names, nodes.table["id"] == names["node"], "left").withColumn("name", name_of("id"))
     least = named.groupBy("name").agg(F.min("doc_id").alias("component_id"))
-    by_digest = stored(named.join(least, "name").select("digest", "component_id"), "components")
-    has = nodes.sketches.filter("n > 0").join(by_digest, "digest").select("doc_id", "text_key", "n", "component_id")
-    lone = nodes.sketches.filter("n = 0").select("doc_id", "text_key", "n", F.col("doc_id").alias("component_id"))
+    by_digest = stored(named.join(least, "name").select("digest", F.col("name").alias("component"), "component_id"), "components")
+    has = nodes.sketches.filter("n > 0").join(by_digest, "digest").select("doc_id", "text_key", "n", "component", "component_id")
+    lone = nodes.sketches.filter("n = 0").select(
+        "doc_id", "text_key", "n", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id")
+    )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return has.unionByName(lone).select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+    return has.unionByName(lone).select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), "component", "component_id", kept.alias("kept")
+    )
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The documents with one of each component left: that of the least doc_id, then text hash.
+
+    Of rows that repeat one document one is left. Documents without shingles all stay.
+    """
+    found = stored(near_duplicates(docs).select("doc_id", "text_key", "component"), "duplicates")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    groups = found.filter("component IS NOT NULL")
+    first = groups.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    crowd = stored(groups.join(first, "component").select("doc_id", "text_key", (place == F.col("first")).alias("stays")).distinct(), "crowd")
+    rows = keyed(docs)
+    alone = join_keys(rows, crowd.select("doc_id", "text_key"), "left_anti")
+    left = join_keys(rows, crowd.filter("stays").select("doc_id", "text_key"), "inner").dropDuplicates(["doc_id", "text_key"])
+    return alone.unionByName(left).select("row.*")

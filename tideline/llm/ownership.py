@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import text_of
+from tideline.llm.common import join_keys, keyed, text_key, text_of
 from tideline.session import stored
 
 # Fixed by the contract: the base kinds in their order. ``least`` is the shortest secret.
@@ -179,3 +179,22 @@ def masked(text: Column, spans: Column, live: str = "<SECRET>", example: str = "
     done = F.aggregate(merged, start, put)
     tail = F.substring(text, done["at"] + 1, F.length(text))
     return F.when(F.size(spans) > 0, F.concat(F.array_join(done["out"], ""), tail)).otherwise(text)
+
+
+def redacted(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
+    """The documents with every secret masked, live ones and copied examples by different marks.
+
+    n_chars is counted anew where a text changed.
+    """
+    found = judged(docs.withColumn("text_key", text_key()), owner, repo, ["doc_id", "text_key"])
+    spans = stored(found.filter(F.size("spans") > 0).select("doc_id", "text_key", "spans").dropDuplicates(["doc_id", "text_key"]), "found")
+    rows = join_keys(keyed(docs), spans, "left", row_bytes=512)
+    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(masked(F.col("row.text"), F.col("spans")))
+
+    def column(name):
+        old = F.col(f"row.`{name}`")
+        if name == "text":
+            return F.col("text")
+        return F.when(F.col("spans").isNull(), old).otherwise(F.length("text")).alias(name) if name == "n_chars" else old.alias(name)
+
+    return rows.withColumn("text", text).select(*map(column, docs.columns))
