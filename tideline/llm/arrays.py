@@ -89,12 +89,15 @@ def added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 class Sharded:
-    """A sorted array over all shards, for lookups of many keys at once."""
+    """A sorted array over all shards, for lookups of many keys at once.
 
-    def __init__(self, folder: str, name: str, shards: int, *values: tuple[str, str]):
-        self.shards = shards
+    Values of the keys are mapped when they are first asked for, as they may be written later.
+    """
+
+    def __init__(self, folder: str, name: str, shards: int):
+        self.folder, self.shards = folder, shards
         self.keys = [load(folder, f"{name}.{s}", "u8") for s in range(shards)]
-        self.values = {v: [load(folder, f"{v}.{s}", kind) for s in range(shards)] for v, kind in values}
+        self.values: dict[str, list[np.ndarray]] = {}
         self.base = np.concatenate([[0], np.cumsum([len(k) for k in self.keys])])
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -114,6 +117,8 @@ class Sharded:
 
     def take(self, name: str, numbers: np.ndarray) -> np.ndarray:
         """Values of known numbers."""
+        if name not in self.values:
+            self.values[name] = [load(self.folder, f"{name}.{s}", "i8") for s in range(self.shards)]
         parts = self.values[name]
         out = np.zeros(len(numbers), np.int64)
         order = np.argsort(numbers)

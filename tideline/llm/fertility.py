@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.arrays import mix
 from tideline.llm.common import BROADCAST_BYTES, keyed, slices, text_key, text_of
 from tideline.session import stored
 
@@ -108,24 +109,17 @@ class Measure:
         return codes, counts, first
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread integers over 64 bits."""
-    x = (x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(31)
-    return x * np.uint64(0x94D049BB133111EB)
-
-
 def repeated_words(codes: np.ndarray, doc: np.ndarray, docs: int, window: int = WINDOW) -> np.ndarray:
     """Per document, the words inside windows that stand in it twice or more."""
     n = len(codes) - window + 1
     if n < 2:
         return np.zeros(docs, np.int64)
-    words = _mixed(codes)
+    words = mix(codes)
     h = np.zeros(n, np.uint64)
     for i in range(window):
         h = h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
     inside = np.flatnonzero(doc[:n] == doc[window - 1 :])
-    h = _mixed(h[inside] + _mixed(doc[inside]))
+    h = mix(h[inside] ^ mix(mix(doc[inside])))
     ordered = np.sort(h)
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     if not len(twice):

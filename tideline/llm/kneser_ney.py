@@ -89,7 +89,7 @@ class Lexicon:
     """Numbers of words, from the mapped hashes and a bounded cache."""
 
     def __init__(self, folder: str, shards: int):
-        self.table = Sharded(folder, "word", shards, ("count", "i8"), ("ctx_total", "i8"), ("ctx_1", "i8"), ("ctx_2", "i8"), ("ctx_3", "i8"), ("cont", "i8"))
+        self.table = Sharded(folder, "word", shards)
         self.cache: dict[bytes, int] = {}
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -285,7 +285,7 @@ _bigrams: dict[str, Sharded] = {}
 def bigrams(folder: str, shards: int) -> Sharded:
     if folder not in _bigrams:
         _bigrams.clear()
-        _bigrams[folder] = Sharded(folder, "bigram", shards, ("bicount", "u4"))
+        _bigrams[folder] = Sharded(folder, "bigram", shards)
     return _bigrams[folder]
 
 

@@ -146,7 +146,7 @@ def repeated(folder: str, shards: int) -> Sharded:
     key = (folder, "anchor")
     if key not in _mapped:
         _mapped.clear()
-        _mapped[key] = Sharded(folder, "anchor", shards, ("often", "u4"))
+        _mapped[key] = Sharded(folder, "anchor", shards)
     return _mapped[key]
 
 
