@@ -93,7 +93,7 @@ def estimate(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndar
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=1 << 19):
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         regs = registers(sets)
         yield pa.RecordBatch.from_arrays(
@@ -143,13 +143,13 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=1 << 19):
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([packed(s) for s in sets], pa.binary())], ["id", "shingles"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "shingles_a", 1 << 20):
         links = []
         for a, b in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
             a, b = unpacked(a), unpacked(b)
