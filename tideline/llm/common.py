@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -105,3 +108,23 @@ def join_keys(rows: DataFrame, keys: DataFrame, how: str, row_bytes: int = 24) -
     same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & rows["text_key"].eqNullSafe(keys["text_key"])
     found = rows.join(keys, same, how)
     return found if how in ("left_semi", "left_anti") else found.drop(keys["doc_id"], keys["text_key"])
+
+
+_held: dict[Any, Any] = {}
+
+
+def worker_state(key: Any, make: Callable[[], Any]) -> Any:
+    """What a worker keeps between tasks, such as a model and its cache; one thing at a time.
+
+    Workers outlive stages. Dropping what an earlier stage left keeps a pipeline's memory
+    at that of its largest stage.
+    """
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # only the GNU C library gives memory back this way
+        _held[key] = make()
+    return _held[key]

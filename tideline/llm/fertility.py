@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import mix
-from tideline.llm.common import BROADCAST_BYTES, keyed, slices, text_key, text_of
+from tideline.llm.common import BROADCAST_BYTES, keyed, slices, text_key, text_of, worker_state
 from tideline.session import stored
 
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 #: Words a worker remembers, at about 300 bytes each; rarer ones are measured anew.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 #: Bytes of text handled at once in a worker.
 CHUNK = 4 << 20
 WINDOW = 8
@@ -182,13 +182,9 @@ def _measured(texts: list[str], langs: list, measure: Measure) -> list[pa.Array]
     ]
 
 
-_measures: dict[tuple, Measure] = {}
-
-
 def _measure_rows(paths: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        measure = _measures.setdefault(paths, None) or Measure(paths)
-        _measures[paths] = measure
+        measure = worker_state(("fertility", paths), lambda: Measure(paths))
         names = ["keys", *(p.split()[0] for p in METRICS.split(", "))]
         for batch in slices(batches, most=CHUNK):
             columns = _measured(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), measure)

@@ -224,8 +224,11 @@ def merge_spans(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _search_pass(shared, shard_words: int):
-    """Rows (keys, text, n_words, spans, items) with what this block's items add."""
+def _search_pass(shared, shard_words: int, cut: bool):
+    """Rows (keys, text, n_words, spans, items) with what this block's items add.
+
+    With ``cut`` the text is given without the words of all spans.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
         held: list[pa.RecordBatch] = []
@@ -236,10 +239,14 @@ def _search_pass(shared, shard_words: int):
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             spans, items = search_shard(words, phrases)
             old_spans, old_items = rows.column("spans").to_pylist(), rows.column("items").to_pylist()
+            spans = [merge_spans(a + b) for a, b in zip(old_spans, spans)]
+            texts = rows.column("text")
+            if cut:
+                texts = pa.array([cut_words(t, s) for t, s in zip(texts.to_pylist(), spans)], pa.string())
             return pa.RecordBatch.from_arrays(
                 [
-                    rows.column("keys"), rows.column("text"), pa.array([len(w) for w in words], pa.int64()),
-                    pa.array([merge_spans(a + b) for a, b in zip(old_spans, spans)], pa.list_(pa.list_(pa.int64()))),
+                    rows.column("keys"), texts, pa.array([len(w) for w in words], pa.int64()),
+                    pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                     pa.array([sorted(b.union(a)) for a, b in zip(old_items, items)], pa.list_(pa.string())),
                 ],
                 ["keys", "text", "n_words", "spans", "items"],
@@ -269,7 +276,12 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+    shard_words: int = SHARD_WORDS,
+    cut: bool = False,
 ) -> DataFrame:
     """Search all windows of ``benchmark`` (item_id, text) in the column ``text`` of ``docs``.
 
@@ -278,7 +290,8 @@ def contamination(
     words than ``window`` is one window, one without words none. Null text has no words;
     a null item id reads as empty; items that repeat count once; repeated documents are
     rows of their own. Nothing is shuffled. Test items go to the workers in blocks of a
-    fixed size, each a pass over the documents in the same stage.
+    fixed size, each a pass over the documents in the same stage. With ``cut`` the text is
+    given without the words of the spans and what stands between them.
     """
     spark = docs.sparkSession
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -288,7 +301,8 @@ def contamination(
     )
     schema = f"keys {rows.schema['keys'].dataType.simpleString()}, text string, n_words long, spans array<array<long>>, items array<string>"
     shared = [spark.sparkContext.broadcast(Phrases(b, window)) for b in blocks(benchmark, block_bytes)]
-    return reduce(lambda df, b: df.mapInArrow(_search_pass(b, shard_words), schema), shared, rows)
+    last = shared[-1]
+    return reduce(lambda df, b: df.mapInArrow(_search_pass(b, shard_words, cut and b is last), schema), shared, rows)
 
 
 def cut_words(text: str, spans: list[list[int]]) -> str:
@@ -308,23 +322,17 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     n_chars is counted anew where a text changed.
     """
-    found = contamination(docs, benchmark)
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    whole = docs.select(others.alias("row"), F.col("text").isNotNull().alias("has_text"), "text")
+    found = contamination(whole, benchmark, cut=True)
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     left = found.filter((hits == 0) | (hits < F.col("n_words")))
 
-    def cut(batches):
-        for batch in batches:
-            texts = map(cut_words, batch.column("text").to_pylist(), batch.column("spans").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("keys"), pa.array(texts, pa.string()), batch.column("changed")], ["keys", "text", "changed"])
-
-    slim = docs.drop("text")
-    packed = left.select(F.struct("keys.*").alias("keys"), "text", "spans", (F.size("spans") > 0).alias("changed"))
-    done = packed.mapInArrow(cut, f"keys {packed.schema['keys'].dataType.simpleString()}, text string, changed boolean")
-
     def column(name):
         if name == "text":
-            return F.col("text")
-        old = F.col(f"keys.`{name}`")
-        return (F.when(F.col("changed"), F.length("text")).otherwise(old) if name == "n_chars" else old).cast(slim.schema[name].dataType).alias(name)
+            return F.when(F.col("keys.has_text"), F.col("text")).alias("text")
+        old = F.col(f"keys.row.`{name}`")
+        new = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema[name].dataType)).otherwise(old)
+        return (new if name == "n_chars" else old).alias(name)
 
-    return done.select(*map(column, docs.columns))
+    return left.select(*map(column, docs.columns))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import Sharded, added, mix, packed, save, shard_of, shared_folder, unmix, unpacked
-from tideline.llm.common import fold_of, shuffle_parts, slices, text_of
+from tideline.llm.common import fold_of, shuffle_parts, slices, text_of, worker_state
 
 #: The token after the last word; no word contains white space.
 END = b"\n"
@@ -104,14 +105,20 @@ class Lexicon:
         return np.array(found, np.int64)
 
 
-_lexicons: dict[str, Lexicon] = {}
+class Mapped:
+    """What scoring needs: words with their cache, and bigrams once they are written."""
 
+    def __init__(self, folder: str, shards: int):
+        self.folder, self.shards = folder, shards
+        self.words = Lexicon(folder, shards)
+
+    @cached_property
+    def bigrams(self) -> Sharded:
+        return Sharded(self.folder, "bigram", self.shards)
 
-def lexicon(folder: str, shards: int) -> Lexicon:
-    if folder not in _lexicons:
-        _lexicons.clear()
-        _lexicons[folder] = Lexicon(folder, shards)
-    return _lexicons[folder]
+
+def mapped(folder: str, shards: int) -> Mapped:
+    return worker_state(("kneser-ney", folder), lambda: Mapped(folder, shards))
 
 
 def numbered(texts: list[str], words: Lexicon, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,7 +178,7 @@ def _count_bigrams(folder: str, shards: int, start: int):
             yield from blobs("bigram", keys, [counts], shard_of(keys, shards))
 
         for batch in slices(batches):
-            before, own, _ = numbered(batch.column("text").to_pylist(), lexicon(folder, shards), start)
+            before, own, _ = numbered(batch.column("text").to_pylist(), mapped(folder, shards).words, start)
             pairs = np.sort(bigram_hash(before, own))
             first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
             held.append((pairs[first], np.diff(np.concatenate([first, [len(pairs)]]))))
@@ -247,7 +254,8 @@ class Model:
 
     def score(self, texts: list[str]) -> list[np.ndarray]:
         """Per text: tokens, known tokens, base score, score."""
-        lex = lexicon(self.folder, self.shards)
+        arrays = mapped(self.folder, self.shards)
+        lex = arrays.words
         before, own, doc = numbered(texts, lex, self.words)
         known = own >= 0
         count, cont = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
@@ -263,7 +271,7 @@ class Model:
         followers[:, before == self.words] = np.array(self.start)[:, None]
         seen = followers[0] > 0
         both = seen & known
-        pairs = bigrams(self.folder, self.shards)
+        pairs = arrays.bigrams
         at = pairs.find(bigram_hash(before[both], own[both]))
         c = np.zeros(len(own), np.int64)
         c[np.flatnonzero(both)[at >= 0]] = pairs.take("bicount", at[at >= 0])
@@ -279,16 +287,6 @@ class Model:
         ]
 
 
-_bigrams: dict[str, Sharded] = {}
-
-
-def bigrams(folder: str, shards: int) -> Sharded:
-    if folder not in _bigrams:
-        _bigrams.clear()
-        _bigrams[folder] = Sharded(folder, "bigram", shards)
-    return _bigrams[folder]
-
-
 def fit(docs: DataFrame, shards: int | None = None) -> Model:
     """Count the column ``text`` of all ``docs``; a null text is an empty one.
 

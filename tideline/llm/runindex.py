@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import Sharded, added, load, mix, packed, save, shard_of, shared_folder, unpacked
-from tideline.llm.common import shuffle_parts, slices, text_of
+from tideline.llm.common import shuffle_parts, slices, text_of, worker_state
 from tideline.llm.textbytes import powers
 
 LENGTH, GRAM = 100, 32
@@ -139,15 +139,8 @@ def _write_repeated(folder: str):
     return run
 
 
-_mapped: dict[tuple, Sharded] = {}
-
-
 def repeated(folder: str, shards: int) -> Sharded:
-    key = (folder, "anchor")
-    if key not in _mapped:
-        _mapped.clear()
-        _mapped[key] = Sharded(folder, "anchor", shards)
-    return _mapped[key]
+    return worker_state(("anchors", folder), lambda: Sharded(folder, "anchor", shards))
 
 
 CONTEXTS = "deal long, context binary, doc_id long, text_key long, start long, end long"
@@ -189,7 +182,7 @@ def _contexts(folder: str, shards: int, hot: int):
                 earlier = seen.setdefault((key, cut[i]), i)
                 if earlier != i:
                     use[i] = places[earlier] != places[i]
-                    cut[i] = None
+                    cut[i], deal[i] = None, keys[i]  # nothing to compare, so any task will do
             for some in np.array_split(np.flatnonzero(use), len(cut) // 20_000 + 1):
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -22,16 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm.common import SPACE, slices, text_of
+from tideline.llm.common import SPACE, slices, text_of, worker_state
 
 #: Entries of a worker's word cache; at about 200 bytes each. Rarer words are encoded anew.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 #: Neighbouring tokens that both sides must share before they count as agreed.
 AGREE = 2
 
-_loaded: dict[str, tuple[Tokenizer, dict[bytes, bytes]]] = {}
-
-
 def tokenizer(path: str) -> Tokenizer:
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
@@ -39,10 +36,8 @@ def tokenizer(path: str) -> Tokenizer:
     return tok
 
 
-def _worker_state(path: str):
-    if path not in _loaded:
-        _loaded[path] = (tokenizer(path), {})
-    return _loaded[path]
+def _worker_state(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
+    return worker_state(("bpe", path), lambda: (tokenizer(path), {}))
 
 
 def _packed(ids) -> bytes:
