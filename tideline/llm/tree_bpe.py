@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 from tideline.llm.common import SPACE, slices, text_of, worker_state
 
 #: Entries of a worker's word cache; at about 200 bytes each. Rarer words are encoded anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 #: Neighbouring tokens that both sides must share before they count as agreed.
 AGREE = 2
 
@@ -53,7 +53,7 @@ def encode_words(words: set[bytes], tok: Tokenizer) -> dict[bytes, bytes]:
 def _encode_short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, cache = _worker_state(path)
-        for batch in slices(batches):
+        for batch in slices(batches, most=1 << 20):
             split = [t.split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
             rare: dict[bytes, bytes] = {}
             new = {w for words in split for w in set(words) if w not in cache}
