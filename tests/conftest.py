@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import sys
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -55,6 +56,7 @@ def random_ticks(spark, n=600, symbols=("A", "B", "C"), seed=7, hot=None):
 def plain(df, *order, digits=6):
     """Rows as sorted tuples with rounded doubles."""
     def clean(v):
+        v = float(v) if isinstance(v, Decimal) else v
         return round(v, digits) + 0.0 if isinstance(v, float) else v
 
     columns = order or df.columns

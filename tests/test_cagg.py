@@ -1,10 +1,11 @@
+import os
 from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_ticks, minutes, plain, random_ticks
+from conftest import make_ticks, minutes, plain, plan_of, random_ticks
 from tideline.config import SAMPLES, TICKS, chain_levels
 from tideline.operators.candles import candles
 from tideline.operators.ranges import bucket_counts
@@ -98,6 +99,53 @@ def test_realtime_view_adds_the_tail_of_every_level(spark, folder):
     assert 0 < stored < live
 
 
+def test_ranges_never_refreshed_are_aggregated_live(spark, folder):
+    rows = random_ticks(spark)
+    old = rows.withColumn("time", F.col("time") - F.expr("INTERVAL 30 YEARS"))
+    both = rows.unionByName(old)
+    chain = tick_chain(spark, folder, both)
+    for level in TICKS.levels:
+        chain.refresh_window(level.name, minutes(300), minutes(2200))
+    levels_match(chain, "realtime")
+    assert chain.refreshed("1m") == [(minutes(300), minutes(2200))]
+    assert all(a >= minutes(300) and b <= minutes(2200) for lv in TICKS.levels for a, b in chain.refreshed(lv.name))
+    chain.refresh_window("1m", None, None)
+    assert plain(chain.materialized("1m")) == plain(candles(both, "1 minute"))
+
+
+def test_reads_and_refreshes_open_only_chunks_of_their_time(spark, folder):
+    rows = spark.range(400).select(
+        "id", (F.lit(minutes(0)) + F.make_dt_interval(F.col("id").cast("int"))).alias("time"),
+        F.lit("A").alias("symbol"), F.col("id").cast("double").alias("price"), F.lit(1.0).alias("volume"),
+    ).withColumnRenamed("id", "tick_id")
+    chain = tick_chain(spark, folder, rows)
+    chain.refresh_full()
+    plan = plan_of(chain.query_range(minutes(0), minutes(60), live=False))
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert ">=" in filters and "<=" in filters
+    live = plan_of(chain.realtime("1h", minutes(0), minutes(120)))
+    assert all("PartitionFilters: []" not in line for line in live.splitlines())
+
+    def files(level):
+        base = chain.table(level).path
+        return {f"{d}/{n}" for d, _, names in os.walk(base) for n in names if n.endswith(".parquet")}
+
+    before = {lv.name: files(lv.name) for lv in TICKS.levels}
+    late = [(100 * 1440 + 5, "A", 1, 1), (300 * 1440 + 5, "A", 1, 1)]
+    chain.raw.append(make_ticks(spark, late))
+    chain.refresh_invalidated()
+    levels_match(chain)
+    assert len(files("1m") - before["1m"]) == 2 and len(before["1m"] - files("1m")) == 2
+    assert len(files("1h") - before["1h"]) == 2
+
+
+def test_named_views_of_the_levels(spark, folder):
+    chain = tick_chain(spark, folder, random_ticks(spark))
+    chain.refresh_full()
+    assert chain.register_views() == ["ticks_1m", "ticks_1h", "ticks_1d"]
+    assert plain(spark.table("ticks_1h")) == plain(chain.materialized("1h"))
+
+
 def test_policy_run(spark, folder):
     rows = random_ticks(spark)
     as_of = rows.agg(F.max("time")).first()[0]
@@ -131,20 +179,20 @@ def test_invalidation_demonstration(spark, folder, kind):
         got = chain.materialized("1h").withColumnRenamed("total", "total_hourly")
         assert plain(got) == plain(bucket_counts(chain.raw.read()))
 
-    first = [(m, "SYMBOL", p, 200) for m, p in ((-80, 3.5), (-60, 3.56), (-30, 3.6), (-10, 3.57), (0, 3))]
+    first = [(m, "OAK", p, 40) for m, p in ((-95, 7.1), (-48, 7.35), (-41, 7.2), (3, 6.9))]
     chain.raw.append(make_ticks(spark, first))
     chain.refresh_full()
     check()
-    chain.raw.append(make_ticks(spark, [(10, "SYMBOL", 3.5, 200), (32, "SYMBOL", 3.3, 200), (61, "SYMBOL", 3.5, 200)]))
+    chain.raw.append(make_ticks(spark, [(5, "OAK", 7.3, 40), (44, "OAK", 7.05, 40), (70, "OAK", 7.7, 40)]))
     # Buckets of 9:00, 10:00 in one piece.
     assert chain.refresh_invalidated() == [(minutes(-30), minutes(90))]
     check()
-    start, end = (minutes(30), None) if kind == "finance" else (minutes(-30), minutes(0))
+    start, end = (minutes(40), None) if kind == "finance" else (minutes(-50), minutes(0))
     chain.raw.update_range(lambda d: d.withColumn("price", F.col("price") + 1), start, end)
     assert chain.refresh_invalidated()
     check()
     raised = chain.raw.read().agg(F.sum("price")).first()[0]
-    assert round(raised - 27.53, 6) == 2
+    assert round(raised - 50.6, 6) == 2
 
 
 def test_statistics_chain_with_weeks_and_months(spark, folder):
@@ -200,8 +248,7 @@ def test_merging_ranges():
         return (minutes(a), minutes(b))
 
     assert cagg.merge_ranges([r(5, 6), r(0, 2), r(1, 3), r(3, 4), r(9, 9)]) == [r(0, 4), r(5, 6)]
-    many = [r(10 * i, 10 * i + (9 if i == 3 else 1)) for i in range(6)]
-    few = cagg.merge_ranges(many, limit=5)
-    assert len(few) == 5 and r(30, 41) in few
-    for low, high in many:
-        assert any(a <= low and high <= b for a, b in few)
+    many = [r(10 * i, 10 * i + 1) for i in range(500)]
+    assert cagg.merge_ranges(many[::-1]) == many
+    assert cagg.without([r(0, 2), r(3, 4)], *r(1, 6)) == [r(2, 3), r(4, 6)]
+    assert cagg.without([r(0, 9)], *r(1, 6)) == [] and cagg.without([], *r(1, 6)) == [r(1, 6)]

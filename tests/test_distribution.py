@@ -95,3 +95,30 @@ def test_ranges(spark):
     assert raised.agg(F.sum("value")).first()[0] == 57
     kept = ranges.retained(df, as_of, "5 minutes", "3 minutes")
     assert kept.agg(F.min("time")).first()[0] == minutes(3)
+
+
+def test_bins_are_within_their_error_and_merge_exactly(spark):
+    import random
+
+    rng = random.Random(3)
+    values = [0.0] * 40 + [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 12) for _ in range(2000)] + [None, float("nan")]
+    rows = [(minutes(i), v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, value double")
+    hourly = quantiles.value_bins(df, "1 hour")
+    merged = quantiles.rollup_bins(hourly, "1 month")
+    assert plain(merged) == plain(quantiles.value_bins(df, "1 month"))
+    names = {f"p{i}": i / 20 for i in range(21)}
+    got = quantiles.bin_percentiles(merged, names).first()
+    real = sorted(v for v in values if v is not None and v == v)
+    for name, p in names.items():
+        want = real[int(p * (len(real) - 1))]
+        assert abs(got[name] - want) <= 0.0101 * abs(want)
+
+
+def test_rounding_keeps_values_beyond_a_doubles_digits(spark):
+    from tideline.functions.scalars import round_half_up
+
+    row = spark.createDataFrame([(5e15, 2e14, -1.5, None)], "a double, b double, c double, d double").select(
+        *(round_half_up(F.col(c), 4).alias(c) for c in "abcd"), round_half_up(F.col("b"), 5).alias("e")
+    ).first()
+    assert tuple(row) == (5e15, 2e14, -1.5, None, 2e14)

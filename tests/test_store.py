@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -77,6 +78,35 @@ def test_compaction_keeps_content_and_later_writes(spark, folder):
     assert t.read().filter(F.col("time") >= F.lit(DAY + timedelta(days=16))).count() == 42
 
 
+def files_of(t):
+    return {f"{d}/{n}" for d, _, names in os.walk(t.path) for n in names if n.endswith(".parquet")}
+
+
+def test_a_second_compaction_changes_no_file(spark, folder):
+    t = table(spark, folder)
+    t.append(days(spark))
+    assert len(t.compact(DAY + timedelta(days=30), "1 week")) > 7
+    before = files_of(t)
+    assert t.compact(DAY + timedelta(days=30), "1 week") == [] and files_of(t) == before
+    # A late row opens its own week again, and no other.
+    t.append(days(spark).filter("tick_id = 20"))
+    assert t.compact(DAY + timedelta(days=30), "1 week") and len(before - files_of(t)) == 1
+    assert t.read().count() == 91
+
+
+def test_a_batch_that_runs_again_adds_no_rows(spark, folder):
+    t = table(spark, folder)
+    t.append(days(spark).filter("tick_id < 50"), 0)
+    for _ in range(2):
+        t.append(days(spark).filter("tick_id >= 50"), 1)
+    assert plain(t.read()) == plain(days(spark))
+    # Frames that give other rows each time are stored as they were written.
+    t.append(days(spark).limit(5).withColumn("price", F.rand()))
+    assert t.read().count() == 95 and t.changes().filter("seq = 4").count() >= 1
+    t.trim_log(3)
+    assert t.last_change() == 4 and t.changes().select("seq").distinct().count() == 1
+
+
 def test_update_logs_the_touched_range(spark, folder):
     t = table(spark, folder)
     t.append(days(spark))

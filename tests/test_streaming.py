@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ def closed(df, ticks, width):
 
 def test_trade_messages(spark, folder):
     trades = [
-        {"c": None, "p": 5.583, "s": "BINANCE:USDTBRL", "t": t, "v": v}
-        for t, v in ((1636631765675, 8060.2), (1636631765773, 298.5), (1636631765995, 143.3))
+        {"c": None, "p": p, "s": f"VENUE:{s}", "t": 1_700_000_000_000 + t, "v": v}
+        for t, s, p, v in ((0, "OAKELM", 2.25, 12.5), (310, "ASHELM", 41.0, 3.0), (990, "OAKELM", 2.3, 7.75))
     ]
     lines = [
         json.dumps({"data": trades, "type": "trade"}),
@@ -45,14 +46,49 @@ def test_trade_messages(spark, folder):
     stream = parse_trades(runs.text_stream(spark, f"{folder}/in"))
     runs.append_available(stream, f"{folder}/out", f"{folder}/progress")
     out = spark.read.parquet(f"{folder}/out")
-    assert [str(r["time"]) for r in out.collect()] == ["2021-11-11 11:56:05"] * 3
+    assert [str(r["time"]) for r in out.collect()] == ["2023-11-14 22:13:20"] * 3
     assert plain(out, "symbol", "price", "volume") == [
-        ("USDTBRL", 5.583, 143.3),
-        ("USDTBRL", 5.583, 298.5),
-        ("USDTBRL", 5.583, 8060.2),
+        ("ASHELM", 41.0, 3.0),
+        ("OAKELM", 2.25, 12.5),
+        ("OAKELM", 2.3, 7.75),
     ]
 
 
+def test_streams_read_tables_of_one_file_and_of_many(spark, folder):
+    ticks = random_ticks(spark)
+    ticks.coalesce(1).write.parquet(f"{folder}/part")
+    (name,) = [n for n in os.listdir(f"{folder}/part") if n.endswith(".parquet")]
+    os.makedirs(f"{folder}/one")
+    os.rename(f"{folder}/part/{name}", f"{folder}/one/events.parquet")
+    in_time_order(spark, ticks, f"{folder}/many/events.parquet", files=3)
+    got = []
+    for root in ("one", "many"):
+        stream = runs.table_stream(spark, f"{folder}/{root}", "events", ticks.schema, files_per_batch=1)
+        runs.append_available(stream_candles(stream), f"{folder}/out-{root}", f"{folder}/progress-{root}")
+        got.append(plain(c.ohlcv(spark.read.parquet(f"{folder}/out-{root}"))))
+    assert got[0] == got[1] and got[0]
+
+
+def test_late_pair_ticks_are_repaired(spark, folder):
+    known = make_ticks(spark, [(0, "A", 2, 1), (1, "B", 4, 1), (5, "A", 3, 1), (1500, "B", 5, 1)])
+    tracked = pairs.all_symbol_pairs(lastprice.symbol_names(known))
+    pairs.pair_ticks(known, tracked).write.parquet(f"{folder}/ticks/batch=0")
+    every = known.unionByName(make_ticks(spark, [(3, "B", 8, 1)]))
+    late = every.filter("price = 8").select(F.to_date("time").alias("day"))
+    out = prices.repair_pair_ticks(every, tracked, f"{folder}/ticks", late, f"{folder}/repaired")
+    assert plain(out) == plain(pairs.pair_ticks(every, tracked), *out.columns)
+
+
+def test_batches_older_than_the_kept_versions_are_refused(spark, folder):
+    seeds = spark.createDataFrame([("A", None, None)], prices.SYMBOLS_SCHEMA)
+    versions = prices.SymbolVersions(spark, f"{folder}/symbols", seeds)
+    for n in range(6):
+        versions.save(n, seeds)
+    assert versions.before(4).count() == 1
+    with pytest.raises(ValueError):
+        versions.before(2)
+
+
 def test_trade_messages_round_trip(spark):
     ticks = random_ticks(spark, 50)
     back = parse_trades(as_trade_messages(ticks))

@@ -1,5 +1,6 @@
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,60 +15,77 @@ SCHEMA = (
 
 
 @pytest.fixture
-def six_swaps(spark):
+def seven_swaps(spark):
+    """Two purchases sold off in three sales to the last token, then a purchase half sold."""
     data = [
-        (1, 1.0, 0.0, 100.0, 0.0),
-        (2, 2.0, 0.0, 210.0, 0.0),
-        (3, 0.0, 0.5, 0.0, 60.0),
-        (4, 0.0, 1.5, 0.0, 180.0),
-        (5, 3.0, 0.0, 300.0, 0.0),
-        (6, 0.0, 2.0, 0.0, 220.0),
+        (0.1, 0, 4.2, 0),
+        (0.2, 0, 9.6, 0),
+        (0, 0.15, 0, 7.5),
+        (0, 0.05, 0, 2.0),
+        (0, 0.1, 0, 5.1),
+        (3.3, 0, 165.0, 0),
+        (0, 1.1, 0, 60.5),
     ]
     rows = [
-        (i, datetime(2025, 3, i, 9 + i), "0xabc123", a, b, c, d, "0xuser1") for i, a, b, c, d in data
+        (i, datetime(2025, 5, 1) + timedelta(hours=7 * i), "ash", *map(float, amounts), "ann")
+        for i, amounts in enumerate(data, 1)
     ]
     return spark.createDataFrame(rows, SCHEMA)
 
 
 def random_swaps(spark, n=500, seed=11):
     rng = random.Random(seed)
-    rows = []
+    rows, held, last = [], {}, {}
     for i in range(n):
         wallet = "hot" if rng.random() < 0.6 else rng.choice(["w1", "w2"])
         token = rng.choice(["x", "y"])
-        amount, price = rng.randrange(1, 40) / 4, rng.randrange(100, 900) / 4
+        amount, price = rng.randrange(1, 4000) / 100, rng.randrange(100, 90000) / 100
         when = datetime(2025, 1, 1) + timedelta(minutes=rng.randrange(0, 6 * 1440))
-        if rng.random() < 0.5:
+        key = (wallet, token)
+        if rng.random() < 0.2 and held.get(key, 0) > 0:
+            amount = held[key]  # everything is sold
+            when = last[key] + timedelta(seconds=1)
+        last[key] = max(when, last.get(key, when))
+        if rng.random() < 0.5 and amount != held.get(key):
+            held[key] = round(held.get(key, 0) + amount, 2)
             rows.append((i, when, token, amount, 0.0, amount * price, 0.0, wallet))
         else:
+            held[key] = round(max(0, held.get(key, 0) - amount), 2)
             rows.append((i, when, token, 0.0, amount, 0.0, amount * price, wallet))
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_pnl_of_six_swaps(six_swaps):
-    rows = s.swap_pnl(six_swaps).orderBy("time").collect()
-    assert [round(r["realized_pnl"], 4) for r in rows] == [0, 0, 8.3333, 25, 0, 16.6667]
-    assert [round(r["cumulative_pnl"], 4) for r in rows] == [0, 0, 8.3333, 33.3333, 33.3333, 50]
-    assert [r["token_balance"] for r in rows] == [1, 3, 2.5, 1, 4, 2]
+def test_pnl_of_seven_swaps(seven_swaps):
+    rows = s.swap_pnl(seven_swaps).orderBy("time").collect()
+    # The first purchases cost 13.8 for 0.3, 46 each; all together 178.8 for 3.6.
+    assert [round(r["realized_pnl"], 4) for r in rows] == [0, 0, 0.6, -0.3, 0.5, 0, round(60.5 - 1.1 * 178.8 / 3.6, 4)]
+    assert [round(r["cumulative_pnl"], 4) for r in rows][:6] == [0, 0, 0.6, 0.3, 0.8, 0.8]
+    assert [str(r["token_balance"].normalize()) for r in rows] == ["0.1", "0.3", "0.15", "0.1", "0", "3.3", "2.2"]
 
 
-def test_reports_of_six_swaps(six_swaps):
-    win = s.win_rate(s.swap_pnl(six_swaps)).first()
-    assert (win["total_trades"], win["winning_trades"], win["win_rate"]) == (3, 3, 100.0)
-    basis = s.cost_basis(six_swaps).first()
-    assert round(basis["avg_cost_per_token"], 4) == 101.6667
-    assert basis["current_token_balance"] == 2
-    held = s.mark_to_market(six_swaps).first()
-    assert (held["estimated_current_price"], held["estimated_current_value"]) == (110, 220)
-    assert round(held["unrealized_pnl"], 4) == 16.6667
-    assert held["unrealized_pnl_percent"] == 8.2
+def test_reports_of_seven_swaps(seven_swaps):
+    win = s.win_rate(s.swap_pnl(seven_swaps)).first()
+    assert (win["total_trades"], win["winning_trades"], win["win_rate"]) == (4, 3, 75.0)
+    basis = s.cost_basis(seven_swaps).first()
+    assert round(basis["avg_cost_per_token"], 4) == 49.6667
+    assert str(basis["current_token_balance"].normalize()) == "2.2"
+    held = s.mark_to_market(seven_swaps).first()
+    assert (round(held["estimated_current_price"], 6), round(held["estimated_current_value"], 6)) == (55, 121)
+    assert round(held["unrealized_pnl"], 4) == 11.7333
+    assert held["unrealized_pnl_percent"] == 10.74
 
 
-def test_fifo_of_six_swaps(six_swaps):
-    lots = plain(s.fifo_lots(six_swaps), "sale_id", "lot_id", "quantity", "unit_cost")
-    assert lots == [(3, 1, 0.5, 100), (4, 1, 0.5, 100), (4, 2, 1, 105), (6, 2, 1, 105), (6, 5, 1, 100)]
-    pnl = {r["id"]: r["fifo_pnl"] for r in s.fifo_pnl(six_swaps).collect()}
-    assert pnl == {3: 10, 4: 25, 6: 15}
+def test_a_closed_position_is_neither_held_nor_a_lot(seven_swaps):
+    sold = seven_swaps.filter("id <= 5")
+    assert s.cost_basis(sold).isEmpty() and s.mark_to_market(sold).isEmpty()
+    lots = s.fifo_lots(seven_swaps).orderBy("sale_id", "lot_id").collect()
+    assert [(r["sale_id"], r["lot_id"], float(r["quantity"])) for r in lots] == [
+        (3, 1, 0.1), (3, 2, 0.05), (4, 2, 0.05), (5, 2, 0.1), (7, 6, 1.1)]
+
+
+def test_fifo_of_seven_swaps(seven_swaps):
+    pnl = {r["id"]: round(r["fifo_pnl"], 6) for r in s.fifo_pnl(seven_swaps).collect()}
+    assert pnl == {3: 0.9, 4: -0.4, 5: 0.3, 7: 5.5}
 
 
 def test_sales_before_any_purchase(spark):
@@ -98,8 +116,8 @@ def fifo_by_hand(rows):
     for r in sorted(rows, key=lambda r: (r["time"], r["id"])):
         queue = lots.setdefault((r["wallet_address"], r["token_address"]), [])
         if r["token_in"] > 0:
-            queue.append([r["id"], r["token_in"]])
-        left = r["token_out"]
+            queue.append([r["id"], Decimal(str(r["token_in"]))])
+        left = Decimal(str(r["token_out"]))
         while left > 0 and queue:
             used = min(left, queue[0][1])
             out.append((r["id"], queue[0][0], used))
@@ -107,13 +125,15 @@ def fifo_by_hand(rows):
             left -= used
             if queue[0][1] == 0:
                 queue.pop(0)
-    return sorted(out)
+    return sorted((a, b, float(q)) for a, b, q in out)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_fifo_against_a_queue(spark, seed):
+@pytest.mark.parametrize("max_rows", [s.MAX_ROWS, 40])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fifo_against_a_decimal_queue(spark, seed, max_rows):
     df = random_swaps(spark, 300, seed)
-    assert plain(s.fifo_lots(df), "sale_id", "lot_id", "quantity") == fifo_by_hand(df.collect())
+    got = s.fifo_lots(df, max_rows)
+    assert plain(got, "sale_id", "lot_id", "quantity") == fifo_by_hand(df.collect())
 
 
 @pytest.mark.parametrize("max_rows", [10_000, 25])

@@ -39,9 +39,11 @@ def round_half_up(value: Column, digits: int, guard: float = ROUND_GUARD) -> Col
 
     ``guard`` (in units of the last digit) lifts values that sit below a tie only by
     binary error, such as 0.353125. Plain arithmetic, much cheaper than a decimal cast.
+    A value so large that a double holds no such digit is returned as it is.
     """
     unit = F.lit(10.0**digits)
-    return F.signum(value) * F.floor(F.abs(value) * unit + F.lit(0.5 + guard)) / unit
+    near = F.signum(value) * F.floor(F.abs(value) * unit + F.lit(0.5 + guard)) / unit
+    return F.when(F.abs(value) * unit < F.lit(2.0**52), near).otherwise(value)
 
 
 def latest_time(df: DataFrame, time_col: str = "time") -> datetime | None:

@@ -18,6 +18,11 @@ from tideline.operators.ordered import (
 )
 from tideline.session import stored
 
+# Amounts and their sums are exact: what was bought and sold off again leaves nothing. Sums
+# keep one digit less before the point than a decimal can hold, so that differences of two
+# are exact as well. Doubles are read by their shortest decimal form; unit prices, values
+# and profits, which come from divisions, are doubles.
+AMOUNT, TOTAL = "decimal(36,18)", "decimal(37,18)"
 KEYS = ("wallet_address", "token_address")
 ORDER = ("time", "id")
 PNL_COLUMNS = (
@@ -35,12 +40,24 @@ PNL_COLUMNS = (
 )
 
 
+def amount(name: str) -> Column:
+    return F.col(name).cast(AMOUNT)
+
+
+def total(value: Column | str) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast(TOTAL)
+
+
+def number(value: Column | str) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast("double")
+
+
 def _realized(spent_before, bought_before):
     """Profit of a sale at the average cost of all purchases before it.
 
     NULL when tokens were sold earlier but none was ever bought.
     """
-    sale = F.col("usd_out") - F.col("token_out") * ratio(spent_before, bought_before)
+    sale = number("usd_out") - number("token_out") * ratio(spent_before, bought_before)
     return F.when(F.col("token_out") > 0, sale).otherwise(F.lit(0.0))
 
 
@@ -51,19 +68,19 @@ def swap_pnl(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         OrderedScan.of(swaps, KEYS, ORDER, max_rows)
         .running(
             {
-                "_in": running_sum(F.col("token_in")),
-                "_out": running_sum(F.col("token_out")),
-                "_in_before": running_sum(F.col("token_in"), exclusive=True),
-                "_usd_before": running_sum(F.col("usd_in"), exclusive=True),
+                "_in": running_sum(amount("token_in")),
+                "_out": running_sum(amount("token_out")),
+                "_in_before": running_sum(amount("token_in"), exclusive=True),
+                "_usd_before": running_sum(amount("usd_in"), exclusive=True),
                 "_row": row_index(),
             }
         )
         .with_columns(
             {
-                "token_balance": F.col("_in") - F.col("_out"),
+                "token_balance": total("_in") - total("_out"),
                 "realized_pnl": _realized(
-                    F.when(first, F.lit(0.0)).otherwise(F.col("_usd_before")),
-                    F.when(first, F.lit(1.0)).otherwise(F.col("_in_before")),
+                    F.when(first, F.lit(0.0)).otherwise(number("_usd_before")),
+                    F.when(first, F.lit(1.0)).otherwise(number("_in_before")),
                 ),
             }
         )
@@ -75,16 +92,19 @@ def swap_pnl(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
 def close_books(pnl: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Carry-in for later rows: totals per wallet and token over finished PnL rows."""
     totals = pnl.groupBy(*KEYS).agg(
-        F.sum("token_in").alias("c_in"),
-        F.sum("token_out").alias("c_out"),
-        F.sum("usd_in").alias("c_usd"),
+        total(F.sum(amount("token_in"))).alias("c_in"),
+        total(F.sum(amount("token_out"))).alias("c_out"),
+        total(F.sum(amount("usd_in"))).alias("c_usd"),
         F.sum("realized_pnl").alias("c_pnl"),
         F.count("*").alias("c_rows"),
     )
     if previous is None:
         return totals
     names = ("c_in", "c_out", "c_usd", "c_pnl", "c_rows")
-    return previous.unionByName(totals).groupBy(*KEYS).agg(*(F.sum(n).alias(n) for n in names))
+    exact = ("c_in", "c_out", "c_usd")
+    return previous.unionByName(totals).groupBy(*KEYS).agg(
+        *((total(F.sum(n)) if n in exact else F.sum(n)).alias(n) for n in names)
+    )
 
 
 def swap_pnl_from_books(
@@ -93,24 +113,24 @@ def swap_pnl_from_books(
     """PnL of newer rows only, continuing from stored totals; older rows are not read."""
     wanted = ("id", "time", *KEYS, "token_in", "token_out", "usd_in", "usd_out")
     rows = new_swaps.select(*wanted).join(books, list(KEYS), "left")
-    before_in = add_nullable(F.col("c_in"), F.col("_in_before"))
-    before_usd = add_nullable(F.col("c_usd"), F.col("_usd_before"))
+    before_in = number(add_nullable(total("c_in"), total("_in_before")))
+    before_usd = number(add_nullable(total("c_usd"), total("_usd_before")))
     first = (F.col("_row") == 0) & F.col("c_rows").isNull()
     scan = (
         OrderedScan.of(rows, KEYS, ORDER, max_rows)
         .running(
             {
-                "_in": running_sum(F.col("token_in")),
-                "_out": running_sum(F.col("token_out")),
-                "_in_before": running_sum(F.col("token_in"), exclusive=True),
-                "_usd_before": running_sum(F.col("usd_in"), exclusive=True),
+                "_in": running_sum(amount("token_in")),
+                "_out": running_sum(amount("token_out")),
+                "_in_before": running_sum(amount("token_in"), exclusive=True),
+                "_usd_before": running_sum(amount("usd_in"), exclusive=True),
                 "_row": row_index(),
             }
         )
         .with_columns(
             {
-                "token_balance": add_nullable(F.col("c_in"), F.col("_in"))
-                - add_nullable(F.col("c_out"), F.col("_out")),
+                "token_balance": total(add_nullable(total("c_in"), total("_in")))
+                - total(add_nullable(total("c_out"), total("_out"))),
                 "realized_pnl": _realized(
                     F.when(first, F.lit(0.0)).otherwise(before_usd),
                     F.when(first, F.lit(1.0)).otherwise(before_in),
@@ -170,9 +190,9 @@ def cost_basis(swaps: DataFrame) -> DataFrame:
     return (
         swaps.groupBy(*KEYS)
         .agg(
-            F.sum("usd_in").alias("total_cost"),
-            F.sum("token_in").alias("total_tokens_bought"),
-            F.sum("token_out").alias("_sold"),
+            total(F.sum(amount("usd_in"))).alias("total_cost"),
+            total(F.sum(amount("token_in"))).alias("total_tokens_bought"),
+            total(F.sum(amount("token_out"))).alias("_sold"),
         )
         .withColumn("current_token_balance", balance)
         .filter(F.col("current_token_balance") > 0)
@@ -180,7 +200,7 @@ def cost_basis(swaps: DataFrame) -> DataFrame:
             *KEYS,
             "total_cost",
             "total_tokens_bought",
-            ratio(F.col("total_cost"), F.col("total_tokens_bought")).alias("avg_cost_per_token"),
+            ratio(number("total_cost"), number("total_tokens_bought")).alias("avg_cost_per_token"),
             "current_token_balance",
         )
     )
@@ -209,7 +229,7 @@ def win_rate(pnl: DataFrame) -> DataFrame:
 
 def last_sale_prices(swaps: DataFrame) -> DataFrame:
     """Price of the newest sale of each token."""
-    price = ratio(F.col("usd_out"), F.col("token_out"))
+    price = ratio(number("usd_out"), number("token_out"))
     return (
         swaps.filter(F.col("token_out") > 0)
         .groupBy("token_address")
@@ -224,11 +244,11 @@ def mark_to_market(swaps: DataFrame) -> DataFrame:
     broadcast only while its size allows.
     """
     held = cost_basis(swaps).select(*KEYS, "current_token_balance", "avg_cost_per_token")
-    balance, cost = F.col("current_token_balance"), F.col("avg_cost_per_token")
+    balance, cost = number("current_token_balance"), F.col("avg_cost_per_token")
     price = F.col("estimated_current_price")
     return held.join(last_sale_prices(swaps), "token_address").select(
         *KEYS,
-        balance,
+        "current_token_balance",
         cost,
         price,
         (balance * price).alias("estimated_current_value"),
@@ -251,7 +271,8 @@ def fifo_lots(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     stretches, all their starting points are sorted and the lot and sale in force at each
     point carried forward. Work is linear in the number of swaps.
     """
-    bought, sold = F.coalesce("token_in", F.lit(0.0)), F.coalesce("token_out", F.lit(0.0))
+    zero = F.lit(0).cast(TOTAL)
+    bought, sold = F.coalesce(amount("token_in"), zero), F.coalesce(amount("token_out"), zero)
     flows = OrderedScan.of(swaps, KEYS, ORDER, max_rows)
     running = (
         flows.running(
@@ -262,7 +283,7 @@ def fifo_lots(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
                 "_s0": running_sum(sold, exclusive=True),
             }
         )
-        .with_columns({"_over": F.col("_s") - F.col("_b")})
+        .with_columns({"_over": total("_s") - total("_b")})
         .running(
             {
                 "_u": running_max(F.col("_over")),
@@ -271,26 +292,25 @@ def fifo_lots(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         )
         .frame()
     )
-    zero = F.lit(0.0)
 
     def point(kind: int, low, high, cost):
         return F.struct(
             F.lit(kind).alias("kind"),
-            low.alias("low"),
-            high.alias("high"),
+            total(low).alias("low"),
+            total(high).alias("high"),
             cost.alias("cost"),
         )
 
     lot = point(
         0,
-        F.coalesce("_b0", zero),
+        F.coalesce(total("_b0"), zero),
         F.col("_b"),
-        ratio(F.col("usd_in"), F.col("token_in")),
+        ratio(number("usd_in"), number("token_in")),
     )
     sale = point(
         1,
-        F.coalesce("_s0", zero) - F.greatest(F.col("_u0"), zero),
-        F.col("_s") - F.greatest(F.col("_u"), zero),
+        F.coalesce(total("_s0"), zero) - total(F.greatest(total("_u0"), zero)),
+        total("_s") - total(F.greatest(total("_u"), zero)),
         F.lit(None).cast("double"),
     )
     # A row may buy, sell or both; empty stretches mark nothing.
@@ -332,18 +352,18 @@ def fifo_pnl(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         .groupBy("sale_id")
         .agg(
             F.sum("quantity").alias("_quantity"),
-            F.sum(F.col("quantity") * F.col("unit_cost")).alias("fifo_cost"),
+            F.sum(number("quantity") * F.col("unit_cost")).alias("fifo_cost"),
         )
     )
     sales = swaps.filter(F.col("token_out") > 0)
-    matched = F.coalesce("_quantity", F.lit(0.0))
+    matched = F.coalesce(total("_quantity"), F.lit(0).cast(TOTAL))
     return sales.join(used, sales["id"] == used["sale_id"], "left").select(
         "id",
         "time",
         *KEYS,
         "token_out",
         matched.alias("matched_quantity"),
-        (F.col("token_out") - matched).alias("unmatched_quantity"),
+        (total(amount("token_out")) - matched).alias("unmatched_quantity"),
         "fifo_cost",
-        (F.col("usd_out") * matched / F.col("token_out") - F.col("fifo_cost")).alias("fifo_pnl"),
+        (number("usd_out") * number(matched) / number("token_out") - F.col("fifo_cost")).alias("fifo_pnl"),
     )

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,42 +29,38 @@ from tideline.operators.candles import candles, rate_candles, rollup_candles, ro
 from tideline.operators.ranges import between
 from tideline.operators.stats import rollup_stats, stats
 from tideline.operators.swaps import rollup_swap_activity, swap_activity
-from tideline.sources.store import ChunkTable, list_dir, make_dir
+from tideline.sources.store import ChunkTable, list_dir, make_dir, remove_dir
 
 Range = tuple[datetime, datetime]
 Builder = Callable[[DataFrame, str], DataFrame]
 
-# Longest range each level serves; the coarsest level serves everything longer.
+# Longest range each level serves; the coarsest level serves everything longer.
 ROUTE_LIMITS = ("1 day", "1 week", "6 months")
-# More separate ranges than this are joined to their neighbours before a refresh.
-MAX_RANGES = 100
 
 
-def merge_ranges(ranges: Sequence[Range], limit: int = MAX_RANGES) -> list[Range]:
-    """Sorted, disjoint ranges covering the given ones, at most ``limit`` of them.
-
-    Beyond the limit the smallest gaps are closed: a refresh then covers more buckets
-    than needed, never fewer.
-    """
+def merge_ranges(ranges: Sequence[Range]) -> list[Range]:
+    """Sorted, disjoint ranges covering the given ones."""
     out: list[Range] = []
     for start, end in sorted(ranges):
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], end))
         elif start < end:
             out.append((start, end))
-    if len(out) > limit:
-        gaps = sorted(range(1, len(out)), key=lambda i: out[i][0] - out[i - 1][1])
-        closed = set(gaps[: len(out) - limit])
-        joined = [out[0]]
-        for i in range(1, len(out)):
-            if i in closed:
-                joined[-1] = (joined[-1][0], out[i][1])
-            else:
-                joined.append(out[i])
-        out = joined
     return out
 
 
+def without(ranges: Sequence[Range], start: datetime, end: datetime) -> list[Range]:
+    """What of ``[start, end)`` is in none of the sorted, disjoint ranges."""
+    out, at = [], start
+    for low, high in ranges:
+        if low >= end:
+            break
+        if low > at:
+            out.append((at, low))
+        at = max(at, high)
+    return [*out, (at, end)] if at < end else out
+
+
 @dataclass(frozen=True)
 class CaggChain:
     """The levels of one series table, finest first."""
@@ -105,6 +102,7 @@ class CaggChain:
     def drop(self) -> None:
         for level in self.config.levels:
             self.table(level.name).drop()
+        remove_dir(self.spark, f"{self._marks}__ranges")
 
     def _finer(self, name: str) -> Level | None:
         names = [lv.name for lv in self.config.levels]
@@ -129,12 +127,29 @@ class CaggChain:
             table = self.table(level.name)
             rows = self._aggregate(level.name, self._source(level.name).read())
             table.replace_chunks(rows, table.chunks())
+            self._note_all(level.name)
         self._mark(seen)
 
-    def refresh_window(self, name: str, start: datetime, end: datetime) -> None:
-        """Recompute the buckets of one level that lie wholly in ``[start, end)``."""
+    def refresh_window(self, name: str, start: datetime | None, end: datetime | None) -> None:
+        """Recompute the buckets of one level that lie wholly in ``[start, end)``.
+
+        An open start or end reaches as far as there are stored rows.
+        """
         width = self.config.level(name).width
-        self._recompute(name, [(ceil_time(start, width), floor_time(end, width))])
+        first, last = self._extent(name)
+        if first is None:
+            return
+        low = floor_time(first, width) if start is None else ceil_time(start, width)
+        high = self._past(last, width) if end is None else floor_time(end, width)
+        self._recompute(name, [(low, high)])
+        self._note(name, low, high)
+
+    def _extent(self, name: str) -> tuple[datetime | None, datetime | None]:
+        """From where to where there are chunks of the raw table, of a level or of finer ones."""
+        names = [lv.name for lv in self.config.levels]
+        tables = [self.raw, *map(self.table, names[: names.index(name) + 1])]
+        moments = [m for t in tables for m in t.extent()]
+        return (min(moments), max(moments)) if moments else (None, None)
 
     def refresh_policy(self, as_of: datetime) -> None:
         """One scheduled run: every level over its window behind ``as_of``, finest first."""
@@ -173,6 +188,8 @@ class CaggChain:
             )
             first = first or ranges
             self._recompute(level.name, ranges)
+            for low, high in ranges:
+                self._note(level.name, low, high)
             # The last touched instant, not the open end, decides the parent bucket.
             ranges = [(low, shift(high, "1 microsecond", -1)) for low, high in ranges]
         self._mark(seen)
@@ -187,11 +204,70 @@ class CaggChain:
         if not ranges:
             return
         table = self.table(name)
-        fresh = self._aggregate(name, self._source(name).read_ranges(ranges))
-        touched = [c for c in table.chunks() if _touches(c, table.chunk_interval, ranges)]
-        kept = table.read(chunks=touched).filter(~table.in_ranges(ranges))
+        source, width = self._source(name), self.config.level(name).width
+        touched = table.touched(ranges)
+        if len(ranges) == 1:
+            fresh = self._aggregate(name, source.read_ranges(ranges))
+            kept = table.read(chunks=touched).filter(~table.in_ranges(ranges))
+        else:
+            # One literal bound per range would make a predicate as long as the change
+            # log; the buckets themselves are joined, below chunks named one by one.
+            buckets = self._buckets(ranges, width)
+            rows = source.read(chunks=source.touched(ranges))
+            own = rows.withColumn("_bucket", time_bucket(width, source.time_col))
+            fresh = self._aggregate(name, own.join(buckets, "_bucket", "left_semi").drop("_bucket"))
+            stored_rows = table.read(chunks=touched)
+            kept = stored_rows.join(buckets, stored_rows["bucket"] == buckets["_bucket"], "left_anti")
         table.replace_chunks(kept.unionByName(fresh.select(kept.columns)), touched)
 
+    def _buckets(self, ranges: Sequence[Range], width: str) -> DataFrame:
+        """The starts of all buckets of the ranges, which begin and end with buckets."""
+        spans = self.spark.createDataFrame(list(ranges), "low timestamp_ntz, high timestamp_ntz")
+        last = F.col("high") - F.expr("INTERVAL 1 MICROSECOND")
+        return spans.select(
+            F.explode(F.sequence("low", last, F.expr(f"INTERVAL '{width}'"))).alias("_bucket")
+        )
+
+    # -- what is up to date -------------------------------------------------
+
+    def _ranges_path(self, name: str) -> str:
+        return f"{self._marks}__ranges/{name}"
+
+    def _note(self, name: str, low: datetime, high: datetime) -> None:
+        """Remember a refreshed range, as far as the finer level was up to date there.
+
+        Ranges are joined when noted, so the list of them stays short.
+        """
+        finer, width = self._finer(name), self.config.level(name).width
+        covered = [(low, high)] if finer is None else self.refreshed(finer.name)
+        new = [(ceil_time(max(a, low), width), floor_time(min(b, high), width)) for a, b in covered if a < high and low < b]
+        new = [(a, b) for a, b in new if a < b]
+        if new:
+            self._write_ranges(name, merge_ranges([*self.refreshed(name), *new]))
+
+    def _note_all(self, name: str) -> None:
+        first, last = self._extent(name)
+        if first is not None:
+            width = self.config.level(name).width
+            self._write_ranges(name, [(floor_time(first, width), self._past(last, width))])
+
+    def _write_ranges(self, name: str, ranges: Sequence[Range]) -> None:
+        number = max((int(n) for n in list_dir(self.spark, self._ranges_path(name))), default=0) + 1
+        rows = self.spark.createDataFrame(list(ranges), "low timestamp_ntz, high timestamp_ntz")
+        rows.coalesce(1).write.parquet(f"{self._ranges_path(name)}/{number}")
+        for old in list_dir(self.spark, self._ranges_path(name)):
+            if int(old) < number:
+                remove_dir(self.spark, f"{self._ranges_path(name)}/{old}")
+
+    def refreshed(self, name: str) -> list[Range]:
+        """Sorted, disjoint ranges of a level that were refreshed."""
+        kept = list_dir(self.spark, self._ranges_path(name))
+        if not kept:
+            return []
+        path = f"{self._ranges_path(name)}/{max(kept, key=int)}"
+        rows = self.spark.read.schema("low timestamp_ntz, high timestamp_ntz").parquet(path)
+        return sorted((r["low"], r["high"]) for r in rows.collect())
+
     # -- progress of the change log -----------------------------------------
 
     @property
@@ -202,7 +278,11 @@ class CaggChain:
         return max((int(n) for n in list_dir(self.spark, self._marks)), default=0)
 
     def _mark(self, change: int) -> None:
+        """Note the last change seen; one mark stays."""
         make_dir(self.spark, f"{self._marks}/{change}")
+        for old in list_dir(self.spark, self._marks):
+            if int(old) < change:
+                remove_dir(self.spark, f"{self._marks}/{old}")
 
     # -- reading ------------------------------------------------------------
 
@@ -214,20 +294,43 @@ class CaggChain:
         """Stored buckets only."""
         return self.table(name).read()
 
-    def realtime(self, name: str) -> DataFrame:
-        """Stored buckets, and newer ones aggregated on the fly from the finer level."""
-        mark = self.refreshed_until(name)
+    def realtime(
+        self, name: str, start: datetime | None = None, end: datetime | None = None
+    ) -> DataFrame:
+        """Buckets of ``[start, end)``: stored where refreshed, else aggregated on the fly.
+
+        Ranges that were never refreshed, wherever they lie, come from the finer level.
+        Bounds reach every scan, so only chunks of the wanted time are opened.
+        """
+        width = self.config.level(name).width
+        first, last = self._extent(name)
+        if first is None:
+            return self.materialized(name)
+        low = floor_time(first if start is None else start, width)
+        high = self._past(last, width) if end is None else ceil_time(end, width)
+        if low >= high:
+            return self.table(name).read(start=low, end=low)
+        done = [(max(a, low), min(b, high)) for a, b in self.refreshed(name) if a < high and low < b]
+        table = self.table(name)
+        parts = [table.read_ranges(done)] if done else []
+        for a, b in without(done, low, high):
+            parts.append(self._aggregate(name, self._finer_rows(name, a, b)))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _finer_rows(self, name: str, start: datetime, end: datetime) -> DataFrame:
         finer = self._finer(name)
         if finer is None:
-            tail = self.raw.read(start=mark)
-        else:
-            tail = self.realtime(finer.name)
-            if mark is not None:
-                tail = tail.filter(F.col("bucket") >= F.lit(mark).cast("timestamp_ntz"))
-        fresh = self._aggregate(name, tail)
-        if mark is None:
-            return fresh
-        return self.table(name).read(end=mark).unionByName(fresh)
+            return self.raw.read(start=start, end=end)
+        return self.realtime(finer.name, start, end)
+
+    def register_views(self, live: bool = True, prefix: str = "") -> list[str]:
+        """A named view per level, such as ``ticks_1h``; returns the names."""
+        names = []
+        for level in self.config.levels:
+            names.append(f"{prefix or self.config.table}_{level.name}")
+            view = self.realtime(level.name) if live else self.materialized(level.name)
+            view.createOrReplaceTempView(names[-1])
+        return names
 
     def route(self, start: datetime, end: datetime) -> str:
         """Name of the level that serves a range of this length."""
@@ -236,8 +339,10 @@ class CaggChain:
     def query_range(self, start: datetime, end: datetime, live: bool = True) -> DataFrame:
         """Buckets from start to end (both included) of the level chosen by length."""
         name = self.route(start, end)
-        view = self.realtime(name) if live else self.materialized(name)
-        return between(view, start, end, "bucket")
+        past = shift(end, "1 microsecond")
+        if live:
+            return between(self.realtime(name, start, past), start, end, "bucket")
+        return self.table(name).read(start=start, end=past)
 
 
 def nests(fine: str, coarse: str) -> bool:
@@ -256,12 +361,6 @@ def route_by_range(names: Sequence[str], start: datetime, end: datetime) -> str:
     return names[-1]
 
 
-def _touches(chunk: date, width: str, ranges: Sequence[Range]) -> bool:
-    start = datetime.combine(chunk, datetime.min.time())
-    end = shift(start, width)
-    return any(low < end and start < high for low, high in ranges)
-
-
 def candle_chain(raw: ChunkTable, config: SeriesConfig, root: str) -> CaggChain:
     """Candles of a tick table, first from raw ticks and then from finer candles."""
     return CaggChain(

@@ -67,10 +67,10 @@ def level_averages(
     day: DataFrame,
     month: DataFrame,
     as_of: datetime,
-    width: str = "1 month",
+    width: str | None = "1 month",
     n: int | None = 10,
 ) -> DataFrame:
-    """Averages of all levels side by side for recent minutes, newest first."""
+    """Averages of all levels side by side, newest first; ``width`` None takes all minutes."""
 
     def average(df: DataFrame, name: str) -> DataFrame:
         return df.select(
@@ -79,7 +79,8 @@ def level_averages(
             ratio(F.col("sx"), F.col("n")).alias(f"avg_{name}"),
         )
 
-    out = recent(minute, as_of, width, "bucket").select(
+    wanted = minute if width is None else recent(minute, as_of, width, "bucket")
+    out = wanted.select(
         F.col("bucket").alias("time"),
         "device_id",
         ratio(F.col("sx"), F.col("n")).alias("avg_1m"),

@@ -7,9 +7,11 @@ change log (lowest and greatest time per chunk), which aggregate refreshes read.
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,11 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def _midnight(day: date) -> datetime:
     return datetime.combine(day, datetime.min.time())
 
@@ -131,9 +138,20 @@ class ChunkTable:
         """Rows in any of the half-open, disjoint time ranges."""
         if not ranges:
             return self.read().limit(0)
-        rows = self._select(self._rows(), ranges[0][0], ranges[-1][1])
+        rows = self._rows().filter(F.col(CHUNK).isin(self.touched(ranges)))
         return rows.filter(self.in_ranges(ranges)).drop(CHUNK)
 
+    def touched(self, ranges: Sequence[tuple[datetime, datetime]]) -> list[date]:
+        """Stored chunks that may hold rows of the disjoint, sorted time ranges."""
+        starts = [start for start, _ in ranges]
+
+        def holds(chunk: date) -> bool:
+            # The last range that starts before the chunk's end decides.
+            at = bisect_left(starts, shift(_midnight(chunk), self._widest))
+            return at > 0 and ranges[at - 1][1] > _midnight(chunk)
+
+        return [c for c in self.chunks() if holds(c)]
+
     def in_ranges(self, ranges: Sequence[tuple[datetime, datetime]]):
         time = F.col(self.time_col)
         inside = F.lit(False)
@@ -142,6 +160,14 @@ class ChunkTable:
             inside = inside | ((time >= low) & (time < high))
         return inside
 
+    def extent(self) -> list[datetime]:
+        """Start of the first chunk and the last moment of the last one; nothing if there is none."""
+        chunks = self.chunks()
+        if not chunks:
+            return []
+        ends = max(shift(_midnight(c), self._widest) for c in chunks[-1:])
+        return [_midnight(chunks[0]), shift(ends, "1 microsecond", -1)]
+
     def latest(self) -> datetime | None:
         """Newest time, looked up in the newest chunks only."""
         chunks = self.chunks()
@@ -163,11 +189,31 @@ class ChunkTable:
         rows = df.select(*(F.col(f.name).cast(f.dataType) for f in self.schema.fields))
         return rows.withColumn(CHUNK, time_bucket(interval, self.time_col).cast("date"))
 
-    def append(self, df: DataFrame) -> None:
-        """Insert rows. The frame is read twice (log, then rows), so it must be repeatable."""
-        chunked = self._chunked(df, self.chunk_interval)
-        self._log(chunked)
-        spread(chunked, CHUNK).write.mode("append").partitionBy(CHUNK).parquet(self.path)
+    def append(self, df: DataFrame, batch_id: int | None = None) -> None:
+        """Insert rows; usable as a batch handler of a stream.
+
+        The frame is read once: rows go to staging, the change log is taken from what was
+        written, and files move into place under the batch's name. With ``batch_id`` a
+        batch that runs again replaces what it had moved, so no row is stored twice.
+        """
+        name = uuid.uuid4().hex[:12] if batch_id is None else f"batch-{batch_id}"
+        staging = f"{self.path.rstrip('/')}__staging-{uuid.uuid4().hex[:12]}"
+        spread(self._chunked(df, self.chunk_interval), CHUNK).write.partitionBy(CHUNK).parquet(staging)
+        chunks = [n for n in list_dir(self.spark, staging) if n.startswith(f"{CHUNK}=")]
+        if batch_id is not None:
+            for chunk in self.chunks():
+                folder = f"{self.path}/{CHUNK}={chunk.isoformat()}"
+                for file in list_dir(self.spark, folder):
+                    if file.startswith(f"{name}-"):
+                        remove_dir(self.spark, f"{folder}/{file}")
+        if chunks:
+            written = T.StructType([*self.schema.fields, T.StructField(CHUNK, T.DateType())])
+            self._log(self.spark.read.schema(written).parquet(staging))
+        for chunk in chunks:
+            make_dir(self.spark, f"{self.path}/{chunk}")
+            for file in list_dir(self.spark, f"{staging}/{chunk}"):
+                move_dir(self.spark, f"{staging}/{chunk}/{file}", f"{self.path}/{chunk}/{name}-{file}")
+        remove_dir(self.spark, staging)
 
     def replace_chunks(self, df: DataFrame, chunks: Iterable[date]) -> None:
         """Exchange the content of whole chunks; chunks without new rows disappear."""
@@ -241,15 +287,30 @@ class ChunkTable:
         if self.compact_interval is None:
             raise ValueError("the table has no compacted width")
         cutoff = floor_time(shift(as_of, older_than, -1), self.compact_interval)
-        old = [c for c in self.chunks() if _midnight(c) < cutoff]
+        marks = f"{self._log_path}__compacted"
+        done = set(list_dir(self.spark, marks))
+        weeks: dict[date, list[date]] = {}
+        for c in self.chunks():
+            if _midnight(c) < cutoff:
+                weeks.setdefault(floor_time(_midnight(c), self.compact_interval).date(), []).append(c)
+        # A week that is one chunk, merged before and not changed since, stays as it is.
+        open_ = [w for w, parts in weeks.items() if parts != [w] or f"{w}.{self._files(w)}" not in done]
+        old = sorted(c for w in open_ for c in weeks[w])
         if not old:
             return []
         rows = self._rows().filter(F.col(CHUNK).isin(old)).drop(CHUNK)
         ordered = [CHUNK, *self.series_cols, self.time_col]
         clustered = self._chunked(rows, self.compact_interval).repartitionByRange(*ordered)
         self._swap(clustered.sortWithinPartitions(*ordered), old, rows.count())
+        for w in open_:
+            make_dir(self.spark, f"{marks}/{w}.{self._files(w)}")
         return old
 
+    def _files(self, chunk: date) -> str:
+        """A name for the set of files of a chunk."""
+        names = list_dir(self.spark, f"{self.path}/{CHUNK}={chunk.isoformat()}")
+        return md5(",".join(names).encode()).hexdigest()[:16]
+
     def truncate(self) -> None:
         for c in self.chunks():
             remove_dir(self.spark, f"{self.path}/{CHUNK}={c.isoformat()}")
@@ -257,6 +318,7 @@ class ChunkTable:
     def drop(self) -> None:
         remove_dir(self.spark, self.path)
         remove_dir(self.spark, self._log_path)
+        remove_dir(self.spark, f"{self._log_path}__compacted")
 
     # -- change log ---------------------------------------------------------
 
@@ -286,6 +348,11 @@ class ChunkTable:
             .filter(F.col("seq") > after)
         )
 
+    def trim_log(self, upto: int) -> None:
+        """Forget changes that every reader has seen; the newest stays, as numbers go on from it."""
+        for number in range(1, min(upto + 1, self.last_change())):
+            remove_dir(self.spark, f"{self._log_path}/seq={number}")
+
 
 def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")

@@ -13,10 +13,11 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.lastprice import merge_last_prices
 from tideline.operators.pairs import pair_ticks
-from tideline.sources.store import list_dir, remove_dir
+from tideline.sources.store import list_dir, make_dir, remove_dir
 
 SYMBOLS_SCHEMA = "symbol STRING, last_price DOUBLE, last_price_at TIMESTAMP_NTZ"
 KEPT_VERSIONS = 3
@@ -37,7 +38,11 @@ class SymbolVersions:
         return f"{self.path}/version={number}"
 
     def before(self, batch_id: int) -> DataFrame:
-        earlier = [n for n in self._numbers() if n < batch_id]
+        """The symbols as they stood before a batch; those of a batch too old to know are refused."""
+        numbers = self._numbers()
+        earlier = [n for n in numbers if n < batch_id]
+        if not earlier and numbers and batch_id > 0:
+            raise ValueError(f"the symbols before batch {batch_id} are no longer kept")
         if not earlier:
             return self.seeds.select("symbol", "last_price", "last_price_at")
         return self.spark.read.schema(SYMBOLS_SCHEMA).parquet(self._folder(max(earlier)))
@@ -92,3 +97,31 @@ def pair_tick_updater(
         batch.unpersist()
 
     return handle
+
+
+def emitted_ticks(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All pair ticks written so far; none before the first batch."""
+    make_dir(spark, target)
+    columns = ("time", "tick_id", "symbol", "price", "volume")
+    return spark.read.schema(T.StructType([schema[c] for c in columns])).parquet(target).select(*columns)
+
+
+def repair_pair_ticks(
+    ticks: DataFrame, pairs: DataFrame, target: str, days: DataFrame, repaired: str
+) -> DataFrame:
+    """Pair ticks with the days of late ticks worked out anew from all ticks.
+
+    ``days`` has the column ``day`` of each late tick's time. Emitted ticks of those days
+    give way to ticks of the batch operator over all ``ticks``; they are written to
+    ``repaired`` and all others stay as they were emitted.
+    """
+    spark = ticks.sparkSession
+    wanted = days.select(F.col("day").cast("date").alias("_day")).distinct()
+    whole = pair_ticks(ticks, pairs)
+    columns = ("time", "tick_id", "symbol", "price", "volume")
+    day = F.to_date("time")
+    fresh = whole.join(wanted, day == F.col("_day"), "left_semi")
+    old = emitted_ticks(spark, target, whole.schema)
+    kept = old.join(wanted, day == F.col("_day"), "left_anti")
+    kept.select(*columns).unionByName(fresh.select(*columns)).write.mode("overwrite").parquet(repaired)
+    return spark.read.schema(whole.select(*columns).schema).parquet(repaired)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tideline.sources.store import is_dir
+
 
 def parquet_stream(
     spark: SparkSession,
@@ -21,6 +23,16 @@ def parquet_stream(
     )
 
 
+def table_stream(
+    spark: SparkSession, root: str, name: str, schema: T.StructType, files_per_batch: int = 100
+) -> DataFrame:
+    """Rows of a table of the given tables, which may be one file or a folder of files."""
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    if is_dir(spark, path):
+        return parquet_stream(spark, path, schema, files_per_batch=files_per_batch)
+    return parquet_stream(spark, root, schema, f"{name}.parquet", files_per_batch)
+
+
 def text_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     """One message per line; folders in the path pattern are read too."""
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)

@@ -51,13 +51,14 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles rounded for comparison with another engine."""
-    return df.select(
-        *(
-            round_half_up(F.col(f"`{c}`"), digits, COMPARE_GUARD).alias(c) if t == "double" else f"`{c}`"
-            for c, t in df.dtypes
-        )
-    )
+    """Doubles, and decimals as doubles, rounded for comparison with another engine."""
+
+    def column(c: str, t: str):
+        if t == "double" or t.startswith("decimal"):
+            return round_half_up(F.col(f"`{c}`").cast("double"), digits, COMPARE_GUARD).alias(c)
+        return f"`{c}`"
+
+    return df.select(*(column(c, t) for c, t in df.dtypes))
 
 
 # -- sources, sinks, table maintenance ---------------------------------------
@@ -290,7 +291,7 @@ def all_level_averages(spark, root):
     """The same join without the top ten, over all minutes."""
     levels = _stats_levels(spark, root)
     as_of = latest_time(levels[0], "bucket")
-    return rounded(reports.level_averages(*levels, as_of, "10 years", n=None))
+    return rounded(reports.level_averages(*levels, as_of, None, n=None))
 
 
 @query
@@ -530,15 +531,15 @@ def histogram_day(spark, root):
 
 @query
 def percentiles_daily(spark, root):
-    sketches = quantiles.percentile_sketches(bound.samples(spark, root), "1 day")
-    return quantiles.sketch_percentiles(sketches, QUARTILES)
+    bins = quantiles.value_bins(bound.samples(spark, root), "1 day")
+    return rounded(quantiles.bin_percentiles(bins, QUARTILES))
 
 
 @query
 def percentiles_rollup(spark, root):
-    """Monthly percentiles merged from stored daily sketches."""
-    daily = stored(quantiles.percentile_sketches(bound.samples(spark, root), "1 day"), "sketches")
-    return quantiles.sketch_percentiles(quantiles.rollup_sketches(daily, "1 month"), QUARTILES)
+    """Monthly percentiles merged from stored daily bins."""
+    daily = stored(quantiles.value_bins(bound.samples(spark, root), "1 day"), "bins")
+    return rounded(quantiles.bin_percentiles(quantiles.rollup_bins(daily, "1 month"), QUARTILES))
 
 
 @query
@@ -742,7 +743,7 @@ def _partly_refreshed(spark: SparkSession, root: str, name: str) -> cagg.CaggCha
     chain.raw.append(ticks)
     until = shift(latest_time(ticks), "5 days", -1)
     for level in TICKS.levels:
-        chain.refresh_window(level.name, datetime(2000, 1, 3), until)
+        chain.refresh_window(level.name, None, until)
     return chain
 
 
@@ -784,8 +785,7 @@ def route_by_range(spark, root):
 
 def _tick_stream(spark: SparkSession, root: str) -> DataFrame:
     events = bound.table(spark, root, "events")
-    stream = runs.parquet_stream(spark, root, events.schema, "events.parquet")
-    return bound.ticks_from_events(stream)
+    return bound.ticks_from_events(runs.table_stream(spark, root, "events", events.schema))
 
 
 def _run_to_table(stream: DataFrame, name: str) -> DataFrame:
@@ -833,6 +833,4 @@ def stream_pair_ticks(spark, root):
         versions, _stored_pairs(spark, root), f"{folder}/ticks"
     )
     runs.each_batch_available(_tick_stream(spark, root), handler, f"{folder}/progress")
-    return spark.read.parquet(f"{folder}/ticks").select(
-        "time", "tick_id", "symbol", "price", "volume"
-    )
+    return prices.emitted_ticks(spark, f"{folder}/ticks", bound.ticks(spark, root).schema)
