@@ -111,3 +111,16 @@ def test_asap_of_short_and_constant_series(spark):
     out = d.asap_smooth(df, ["device_id"], 30)
     assert {r["value"] for r in out.filter("device_id = 'flat'").collect()} == {2.0}
     assert out.filter("device_id = 'one'").count() == 1
+
+
+def test_scratch_removes_intermediate_copies(spark):
+    import os
+
+    from tideline.session import scratch, shared_dir
+
+    base = f"{shared_dir(spark).removeprefix('file:')}/tideline"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    df = spark.range(500).selectExpr("'d' as device_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id as int)) as time", "double(id % 17) as value")
+    with scratch(spark):
+        rows = d.lttb(df, ["device_id"], 20).count()
+    assert rows == 20 and set(os.listdir(base)) == before

@@ -9,6 +9,7 @@ series or bucket that holds a large share of the rows is reduced before the shuf
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,14 +115,26 @@ def candle_times(
 ) -> DataFrame:
     """When each candle opened, peaked, bottomed and closed; the earliest time wins.
 
-    Ordering by (price, time) is a struct, hence a sort aggregate, still with
-    map-side partials.
+    Two hash aggregations: the extremes of each bucket, then the earliest times among the
+    rows that reach them. Both and the join between them share one set of keys.
     """
-    return ticks.groupBy(time_bucket(width, time).alias("bucket"), *series).agg(
-        F.min(time).alias("open_at"),
-        F.min_by(time, F.struct(-F.col(price), F.col(time))).alias("high_at"),
-        F.min_by(time, F.struct(F.col(price), F.col(time))).alias("low_at"),
-        F.max(time).alias("close_at"),
+    keys = ["bucket", *series]
+    rows = ticks.select(
+        time_bucket(width, time).alias("bucket"), *series, F.col(time).alias("_t"), F.col(price).alias("_p")
+    )
+    ends = rows.groupBy(*keys).agg(
+        F.min("_t").alias("open_at"), F.max("_t").alias("close_at"), F.max("_p").alias("_high"), F.min("_p").alias("_low")
+    )
+    named = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "open_at", "close_at", "_high", "_low")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    return (
+        rows.join(named, same)
+        .groupBy(*keys, "open_at", "close_at")
+        .agg(
+            F.min(F.when(F.col("_p") == F.col("_high"), F.col("_t"))).alias("high_at"),
+            F.min(F.when(F.col("_p") == F.col("_low"), F.col("_t"))).alias("low_at"),
+        )
+        .select(*keys, "open_at", "high_at", "low_at", "close_at")
     )
 
 

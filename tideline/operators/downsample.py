@@ -209,12 +209,12 @@ def lttb(
     return picked.unionByName(whole.select(*names))
 
 
-def smoothing_window(values: np.ndarray) -> int:
+def smoothing_window(values: np.ndarray, longest: float = 0.1) -> int:
     """Moving-average length that is smoothest while keeping the outliers (Rong & Bailis 2017).
 
     Smoothest: least standard deviation of first differences. Outliers are kept while
-    the kurtosis is not below that of the input. Lengths up to a tenth of the series are
-    all tried; the shortest wins a tie.
+    the kurtosis is not below that of the input. Lengths up to the share ``longest`` of the
+    series are all tried; the shortest wins a tie.
     """
 
     def kurtosis(v: np.ndarray) -> float:
@@ -224,7 +224,7 @@ def smoothing_window(values: np.ndarray) -> int:
 
     base = kurtosis(values)
     best, best_roughness = 1, np.diff(values).std() if len(values) > 1 else 0.0
-    for w in range(2, max(1, len(values) // 10) + 1):
+    for w in range(2, max(1, int(len(values) * longest)) + 1):
         smooth = moving_average(values, w)
         roughness = np.diff(smooth).std()
         if kurtosis(smooth) >= base and roughness < best_roughness:
@@ -244,9 +244,12 @@ def asap_smooth(
     value: str = "value",
     tiebreak: str | None = None,
     max_rows: int = MAX_ROWS,
+    longest: float = 0.1,
 ) -> DataFrame:
     """About ``resolution`` smoothed points per series.
 
+    Windows up to the share ``longest`` of a series' points are tried, all of them.
+
     Spark averages runs of ``ceil(rows / resolution)`` rows, so a task receives at most
     ``resolution`` rows of a series; a point carries the first time of its run.
     """
@@ -261,7 +264,7 @@ def asap_smooth(
     def smooth(table: pa.Table) -> pa.Table:
         order = np.argsort(_column(table, "_run"), kind="stable")
         values = _column(table, "value")[order]
-        averages = moving_average(values, smoothing_window(values))
+        averages = moving_average(values, smoothing_window(values, longest))
         points = table.take(pa.array(order[: len(averages)]))
         at = points.schema.get_field_index("value")
         return points.set_column(at, "value", pa.array(averages)).select(names)

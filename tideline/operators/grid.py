@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.buckets import interval, width_micros
-from tideline.operators.ordered import MAX_ROWS, OrderedScan, row_index
+from tideline.operators.ordered import OrderedScan, row_index
 
 # Grid points made from one row at a time.
 BLOCK = 100_000
 
+# Rows numbered in one task at most.
+ID_ROWS = 100_000
+
 
 def time_grid(
     spans: DataFrame,
@@ -51,11 +54,11 @@ def assign_ids(
     order: Sequence[str],
     previous_max: int = 0,
     name: str = "id",
-    max_rows: int = MAX_ROWS,
+    max_rows: int = ID_ROWS,
 ) -> DataFrame:
     """Consecutive ids after ``previous_max`` in a total order.
 
-    A batch over ``max_rows`` is numbered in range-partitioned segments with offsets,
+    A batch over ``max_rows``, a small part of a task's worth, is numbered in range-partitioned segments with offsets,
     so no single task sorts it all.
     """
     scan = OrderedScan.of(batch, (), order, max_rows).running({name: row_index()})

@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 def initial_last_prices(ticks: DataFrame) -> DataFrame:
     """Per symbol the highest price at its newest time, and that time.
 
-    The largest (time, price) pair is reduced inside every task before the shuffle, so
-    no symbol's history is ever ranked or gathered in one place.
+    Two hash aggregations with map-side partials: the newest time per symbol, which is a
+    small table to join back with, then the highest price among its ticks. No symbol's
+    history is ever ranked or gathered in one place.
     """
+    newest = ticks.groupBy(F.col("symbol").alias("_symbol")).agg(F.max("time").alias("last_price_at"))
     return (
-        ticks.groupBy("symbol")
-        .agg(F.max(F.struct("time", "price")).alias("_last"))
-        .select(
-            "symbol",
-            F.col("_last.price").alias("last_price"),
-            F.col("_last.time").alias("last_price_at"),
-        )
+        ticks.select("symbol", "time", "price")
+        .join(newest, F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("time").eqNullSafe(F.col("last_price_at")))
+        .groupBy("symbol", "last_price_at")
+        .agg(F.max("price").alias("last_price"))
+        .select("symbol", "last_price", "last_price_at")
     )
 
 

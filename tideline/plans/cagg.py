@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -118,6 +118,10 @@ class CaggChain:
         step = self.build if self._finer(name) is None else self.merge
         return step(source, width)
 
+    def apply_retention(self, as_of: datetime) -> list[date]:
+        """Drop raw chunks older than the configured retention; the levels keep their buckets."""
+        return [] if self.config.retention is None else self.raw.prune(as_of, self.config.retention)
+
     # -- refreshing ---------------------------------------------------------
 
     def refresh_full(self) -> None:
@@ -374,6 +378,7 @@ def candle_chain(raw: ChunkTable, config: SeriesConfig, root: str) -> CaggChain:
             config.time_col,
             config.value_col,
             config.volume_col,
+            config.tiebreak,
         ),
         lambda df, width: rollup_candles(df, width, config.series_cols),
     )

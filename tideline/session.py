@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +59,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Later uses scan the result instead of repeating the work, also after lost executors,
     and Spark knows its true size when it chooses how to join it.
     """
-    path = fresh_path(df.sparkSession, name)
+    path = owned(fresh_path(df.sparkSession, name))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_written: list[list[str]] = []
+
+
+def owned(path: str) -> str:
+    """Have the innermost ``scratch`` block, if there is one, remove this path."""
+    if _written:
+        _written[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving what was stored for intermediate use inside.
+
+    Results are lazy and read those copies, so they must be written or collected before
+    the block ends. Blocks may be nested; each removes its own.
+    """
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -37,6 +37,8 @@ from tideline.streaming.candles import stream_candle_rollup, stream_candles
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Slopes of this data lie within a thousandth of zero.
+SLOPE_DIGITS = {"slope": 9}
 QUARTILES = {"y": 0.25, "y_median": 0.5, "y_q3": 0.75, "y_99": 0.99}
 LTTB_POINTS = 10
 ASAP_RESOLUTION = 40
@@ -50,12 +52,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles, and decimals as doubles, rounded for comparison with another engine."""
+def rounded(df: DataFrame, digits: int = 4, finer: dict[str, int] | None = None) -> DataFrame:
+    """Doubles, and decimals as doubles, rounded for comparison with another engine.
+
+    ``finer`` has the digits of columns whose values are small.
+    """
+    finer = finer or {}
 
     def column(c: str, t: str):
         if t == "double" or t.startswith("decimal"):
-            return round_half_up(F.col(f"`{c}`").cast("double"), digits, COMPARE_GUARD).alias(c)
+            return round_half_up(F.col(f"`{c}`").cast("double"), finer.get(c, digits), COMPARE_GUARD).alias(c)
         return f"`{c}`"
 
     return df.select(*(column(c, t) for c, t in df.dtypes))
@@ -263,7 +269,13 @@ def _candle_levels(spark: SparkSession, root: str) -> list[DataFrame]:
 
 @query
 def watch_ohlcv(spark, root):
-    return reports.watch_ohlcv(*_candle_levels(spark, root))
+    """For the symbol of the newest tick, whose newest candles belong together."""
+    levels = _candle_levels(spark, root)
+    newest = bound.ticks(spark, root).agg(
+        F.max_by("symbol", F.struct("time", "tick_id")).alias("_newest")
+    )
+    one = F.col("symbol") == F.col("_newest")
+    return reports.watch_ohlcv(*(level.join(newest, one).drop("_newest") for level in levels))
 
 
 @query
@@ -460,7 +472,8 @@ for _name in STATS_WIDTHS:
 
 @query
 def stats2_1m(spark, root):
-    return rounded(stats.stats2_values(stats.stats2(bound.ticks(spark, root), "1 minute")))
+    values = stats.stats2_values(stats.stats2(bound.ticks(spark, root), "1 minute"))
+    return rounded(values, finer=SLOPE_DIGITS)
 
 
 @query
@@ -468,7 +481,7 @@ def stats2_1d(spark, root):
     state = stats.stats2(bound.ticks(spark, root), "1 minute")
     for width in ("1 hour", "1 day"):
         state = stats.rollup_stats2(state, width)
-    return rounded(stats.stats2_values(state))
+    return rounded(stats.stats2_values(state), finer=SLOPE_DIGITS)
 
 
 @query
