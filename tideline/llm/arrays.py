@@ -15,12 +15,12 @@ import numpy as np
 import zstandard
 from pyspark.sql import SparkSession
 
-from tideline.session import fresh_path
+from tideline.session import fresh_path, owned
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one, as a path that open() takes."""
-    uri = urlparse(fresh_path(spark, name))
+    uri = urlparse(owned(fresh_path(spark, name)))
     if uri.scheme not in ("", "file"):
         raise ValueError(f"memory-mapped arrays need a mounted shared folder, not {uri.scheme}://")
     os.makedirs(uri.path, exist_ok=True)
