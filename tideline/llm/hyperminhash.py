@@ -7,9 +7,12 @@ registers deal candidates into buckets. Registers give a Jaccard estimate, corre
 registers that are equal by chance, before a pair is verified on its full sets.
 
 Pairs within a bucket are not listed. Texts with equal sets are one node. First each node
-is checked against one centre, the least node of a bucket they share; links found make
-components. What remains are pairs of nodes in one bucket but in different components:
-only those can still join anything, and all of them are checked.
+is checked against one centre: the node of a bucket they share that has most company in all
+its buckets, as the original of many copies has; links found make components. What remains
+are pairs of nodes in one bucket but in different components: only those can still join
+anything, and all of them are checked that a bound allows: shingles that no other such node
+has are in no intersection. In a group of copies with edits of their own that leaves little
+but true links.
 """
 
 from __future__ import annotations
@@ -30,14 +33,14 @@ from tideline.llm.textbytes import shingle_sets
 from tideline.session import stored
 
 REGISTERS, MANTISSA = 256, 10
-#: 64 bands of 4 registers miss a pair of similarity 0.75 with a chance of 3e-11.
-ROWS = 4
-BANDS = REGISTERS // ROWS
+#: 48 bands of 4 registers miss a pair of similarity 0.75 with a chance of 1e-8.
+ROWS, BANDS = 4, 48
 PERCENT = 75
-#: Six standard deviations of an estimate from 256 registers at 0.75.
-MARGIN = 0.17
-#: Low register bits in which a pair of similarity 0.75 may differ: 32 expected, and six deviations.
-DIFFERENT_BITS = 64
+#: Five standard deviations of an estimate from 256 registers at 0.75 (3e-7 beyond).
+MARGIN = 0.136
+#: Registers of a pair of similarity 0.75 that may differ in their two lowest bits: 48
+#: expected, and five and a half deviations.
+DIFFERENT = 85
 
 
 @cache
@@ -111,23 +114,28 @@ def _register_rows(column: pa.Array) -> np.ndarray:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (band, id, n, b0 to b3): a bucket's key, and the node's size and low register bits."""
+    """Rows (band, id): the key of a bucket, and the node in it."""
+    digest = xxhash.xxh3_64_intdigest
     for whole in batches:
         for start in range(0, whole.num_rows, 2000):
             batch = whole.slice(start, 2000)
-            regs = _register_rows(batch.column("registers"))
-            bands = regs.view(np.uint64).copy()  # four registers are eight bytes
-            digest = xxhash.xxh3_64_intdigest
+            bands = _register_rows(batch.column("registers"))[:, : ROWS * BANDS].copy().view(f"V{2 * ROWS}")
             keys = [digest(v.tobytes(), k) for row in bands for k, v in enumerate(row)]
-            low = np.packbits((regs & 1).astype(np.uint8), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array(keys, np.uint64).view(np.int64)),
-                    pa.array(np.repeat(np.asarray(batch.column("id")), BANDS)),
-                    pa.array(np.repeat(np.asarray(batch.column("n")), BANDS)),
-                    *(pa.array(np.repeat(low[:, k], BANDS)) for k in range(4)),
-                ],
-                ["band", "id", "n", "b0", "b1", "b2", "b3"],
+                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(np.asarray(batch.column("id")), BANDS))],
+                ["band", "id"],
+            )
+
+
+def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, n, low0 to low3, high0 to high3): the lowest and second bit of all registers."""
+    for batch in batches:
+        if batch.num_rows:
+            regs = _register_rows(batch.column("registers"))
+            bits = [np.packbits((regs >> k & 1).astype(np.uint8), axis=1).view(np.int64) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("n"), *(pa.array(b[:, k].copy()) for b in bits for k in range(4))],
+                ["id", "n", *(f"{name}{k}" for name in ("low", "high") for k in range(4))],
             )
 
 
@@ -149,14 +157,18 @@ def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, both, link): how many shingles are in both, and whether that makes a link."""
     for batch in slices(batches, "shingles_a", 1 << 20):
-        links = []
+        common, links = [], []
         for a, b in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
             a, b = unpacked(a), unpacked(b)
             at = np.minimum(np.searchsorted(a, b), len(a) - 1)
             both = int((a[at] == b).sum())
+            common.append(both)
             links.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(links, pa.bool_())], ["a", "b", "both", "link"]
+        )
 
 
 class Nodes:
@@ -194,12 +206,29 @@ def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _links(pairs: DataFrame, nodes: Nodes, name: str) -> DataFrame:
-    """Stored rows (a, b) of the pairs that are links: estimated first, then verified."""
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "shingles", 1 << 20):
+        sets = [unpacked(s) for s in batch.column("shingles").to_pylist()]
+        ids = np.repeat(np.asarray(batch.column("id")), [len(s) for s in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(ids)], ["shingle", "id"])
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """Rows (id, own): how many shingles of a node none of the others has."""
+    alone = (
+        sets.mapInArrow(_shingle_rows, "shingle long, id long").groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("nodes"), F.min("id").alias("id")).filter("nodes = 1")
+    )
+    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _compared(pairs: DataFrame, nodes: Nodes, name: str, sets: DataFrame | None = None) -> DataFrame:
+    """Stored rows (a, b, both, link) of the pairs that the estimate doesn't rule out."""
     likely = stored(_sides(pairs, nodes.table, "registers", "n").mapInArrow(_estimated, "a long, b long"), f"{name}-likely")
-    ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-    sets = nodes.sets(ids)
-    return stored(_sides(likely, sets, "shingles").mapInArrow(_verified, "a long, b long"), f"{name}-links")
+    if sets is None:
+        ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
+        sets = nodes.sets(ids)
+    return stored(_sides(likely, sets, "shingles").mapInArrow(_verified, "a long, b long, both long, link boolean"), f"{name}-compared")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -215,36 +244,74 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     table gives no rows.
     """
     nodes = Nodes(docs)
-    bands = nodes.table.select("id", "n", "registers").mapInArrow(
-        _banded, "band long, id long, n long, b0 long, b1 long, b2 long, b3 long"
+    bands = stored(nodes.table.select("id", "registers").mapInArrow(_banded, "band long, id long"), "bands")
+    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    crowded = stored(bands.join(buckets, "band"), "crowded")
+
+    # The node of each bucket with most company is its centre; a node tries the centre of
+    # most of its buckets.
+    company = crowded.groupBy("id").agg(F.sum("members").alias("company"))
+    centres = crowded.join(company, "id").groupBy("band").agg(F.max(F.struct("company", "id")).alias("centre"))
+    shared = stored(
+        crowded.join(centres, "band").filter("id != centre.id")
+        .groupBy("id", "centre").agg(F.count(F.lit(1)).alias("times")),
+        "centres",
     )
-    bands = stored(bands, "bands")
-    buckets = bands.groupBy("band").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    crowded = stored(bands.join(buckets.select("band", "centre"), "band"), "crowded")
-
-    # One centre per node: that of most shared buckets.
-    shared = crowded.filter("id != centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("times"))
-    best = shared.groupBy("id").agg(F.max(F.struct("times", (-F.col("centre")).alias("least"))).alias("best"))
-    stars = best.select(F.col("id").alias("b"), (-F.col("best.least")).alias("a"))
-    links = _links(stars, nodes, "star")
+    best = shared.groupBy("id").agg(F.max(F.struct("times", "centre")).alias("best"))
+    stars = best.select(F.col("best.centre.id").alias("a"), F.col("id").alias("b"))
+    starred = _compared(stars, nodes, "star")
+    links = starred.filter("link").select("a", "b")
     names = components(links)
 
     def name_of(node: str):
         return F.coalesce(F.col("component"), F.col(node))
 
-    members = crowded.join(names, crowded["id"] == names["node"], "left").withColumn("name", name_of("id"))
-    members = stored(members.select("band", "id", "n", "b0", "b1", "b2", "b3", "name"), "members")
+    # Where that didn't join them, a node tries its other centres, at most one a band.
+    named_a = names.select(F.col("node").alias("a"), F.col("component").alias("name_a"))
+    named_b = names.select(F.col("node").alias("b"), F.col("component").alias("name_b"))
+    others = shared.select(F.col("centre.id").alias("a"), F.col("id").alias("b")).join(stars, ["a", "b"], "left_anti")
+    apart = F.coalesce("name_a", "a") != F.coalesce("name_b", "b")
+    others = stored(others.join(named_a, "a", "left").join(named_b, "b", "left").filter(apart).select("a", "b"), "others")
+    links = stored(links.unionByName(_compared(others, nodes, "other").filter("link").select("a", "b")), "links")
+    names = components(links)
+
+    members = crowded.select("band", "id").join(names, F.col("id") == names["node"], "left")
+    members = stored(members.select("band", "id", name_of("id").alias("name")), "members")
     mixed = members.groupBy("band").agg((F.min("name") != F.max("name")).alias("mixed")).filter("mixed")
-    open_ = stored(members.join(mixed.select("band"), "band", "left_semi"), "open")
+    open_ = members.join(mixed.select("band"), "band", "left_semi")
+    bits = ", ".join(f"{name}{k} long" for name in ("low", "high") for k in range(4))
+    # A node's reference is the centre it was compared with: ``inside`` of its shingles are there.
+    reference = starred.select(F.col("b").alias("id"), F.col("a").alias("reference"), F.col("both").alias("inside"))
+    open_ids = stored(open_.select("id").distinct(), "open-nodes")
+    referred = open_ids.join(reference, "id").select(F.col("reference").alias("id"))
+    open_sets = nodes.sets(open_ids.unionByName(referred).distinct())
+    sketched = nodes.table.join(open_sets.select("id"), "id", "left_semi").mapInArrow(_with_bits, f"id long, n long, {bits}")
+    open_ = open_.join(sketched, "id").join(reference, "id", "left").join(_own_shingles(open_sets), "id", "left").fillna(0, ["own"])
+    open_ = stored(open_.withColumn("common", F.col("n") - F.col("own")), "open")
     x, y = open_.alias("x"), open_.alias("y")
-    bits = sum(F.bit_count(F.col(f"x.b{k}").bitwiseXOR(F.col(f"y.b{k}"))) for k in range(4))
+
+    def differ(k: int):
+        low, high = (F.col(f"x.{b}{k}").bitwiseXOR(F.col(f"y.{b}{k}")) for b in ("low", "high"))
+        return F.bit_count(low.bitwiseOR(high))
+
+    # No more than ``common`` shingles of a node are in the intersection. Of two with one
+    # reference, no more than the fewer inside it and the fewer shared ones outside it.
+    apart_of = F.least(*(F.col(f"{t}.common") - F.col(f"{t}.inside") for t in "xy"))
+    most = F.when(
+        F.col("x.reference") == F.col("y.reference"), F.least(F.col("x.inside"), F.col("y.inside")) + apart_of
+    ).otherwise(F.lit(1 << 60))
+    least = F.least(F.col("x.common"), F.col("y.common"), most)
     can_link = (
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.name") < F.col("y.name")) & (bits <= DIFFERENT_BITS)
+        (F.col("x.band") == F.col("y.band")) & (F.col("x.name") < F.col("y.name"))
         & (100 * F.col("x.n") >= PERCENT * F.col("y.n")) & (100 * F.col("y.n") >= PERCENT * F.col("x.n"))
+        & (100 * least >= PERCENT * (F.col("x.n") + F.col("y.n") - least))
+        & (differ(0) + differ(1) + differ(2) + differ(3) <= DIFFERENT)
     )
     rest = x.join(y, can_link).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    tried = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = _links(stored(rest.join(tried, ["a", "b"], "left_anti"), "rest"), nodes, "rest")
+    tried = stars.unionByName(others)
+    tried = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    more = _compared(stored(rest.join(tried, ["a", "b"], "left_anti"), "rest"), nodes, "rest", open_sets)
+    more = more.filter("link").select("a", "b")
     if more.limit(1).count():
         names = components(links.unionByName(more))
 
