@@ -2,6 +2,7 @@
 
 import os
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
@@ -57,3 +58,15 @@ def test_queries_cover_their_whole_table(spark, name):
     key = "conv_id" if name.startswith("op7_") else "doc_id"
     want = {r[0] for r in table(spark, ROOT, source).select(key).collect()} | ({-7} if key == "conv_id" else set())
     assert sorted(r[0] for r in df.select(key).collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("name", sorted(entry_module.corpus.ORACLE))
+def test_queries_against_sql(spark, name):
+    con = duckdb.connect()
+    for file in os.listdir(ROOT):
+        con.execute(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM '{ROOT}/{file}'")
+    got, want = entry_module.queries()[name](spark, ROOT).toPandas(), con.execute(entry_module.oracle_sql()[name]).df()
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    key = lambda d: sorted(map(str, d[columns].itertuples(index=False, name=None)))
+    assert key(got) == key(want)
