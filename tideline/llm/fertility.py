@@ -23,7 +23,7 @@ from tideline.session import stored
 
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 #: Words a worker remembers, at about 300 bytes each; rarer ones are measured anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 350_000
 #: Bytes of text handled at once in a worker.
 CHUNK = 1 << 20
 WINDOW = 8

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 from tideline.llm.common import SPACE, slices, text_of, worker_state
 
 #: Entries of a worker's word cache; at about 200 bytes each. Rarer words are encoded anew.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 450_000
 #: Neighbouring tokens that both sides must share before they count as agreed.
 AGREE = 2
 
