@@ -58,3 +58,27 @@ def test_more_than_64_languages(spark):
     docs = [(i, " ".join([chr(0x4E00 + 50 * (i % 70) + k) * 3 for k in range(5)]), f"l{i % 70:02}", "s") for i in range(210)]
     got = langid.held_out(docs_of(spark, docs)).withColumn("want", F.concat(F.lit("l"), F.lpad((F.col("keys.doc_id") % 70).cast("string"), 2, "0")))
     assert got.filter("lang_pred = want").count() == 210
+
+
+def test_predictions_hold_as_distinct_ngrams_grow(spark):
+    rng = random.Random(5)
+    zh = [(1000 + i, "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(6000)), "zh", "s") for i in range(200)]
+    model = langid.fit(docs_of(spark, corpus(300) + zh))
+    assert isinstance(model.bits, langid.MappedBits) and len(model.bits) > 1 << 24
+    assert model.false.max() < 0.01
+    texts = ["the hause stamds opem", "das hius stehd offenem", "la maisom dressu avec", zh[0][1][:9]]
+    assert model.predict(texts)[0] == ["en", "de", "fr", "zh"]
+    got = langid.identify(docs_of(spark, [(i, t, None, "s") for i, t in enumerate(texts)]), model).collect()
+    assert {r["keys"].doc_id: r.lang_pred for r in got} == dict(enumerate(["en", "de", "fr", "zh"]))
+
+
+def test_mapped_and_collected_filters_agree(spark, monkeypatch):
+    docs = [(i, t, f"{lang}{i % 25}", "s") for i, t, lang, _ in corpus(300)]
+    texts = [t for _, t, _, _ in docs[:50]]
+    want = langid.fit(docs_of(spark, docs))
+    assert len(want.languages) > 64
+    monkeypatch.setattr(langid, "COLLECTED", 0)
+    monkeypatch.setattr(langid, "SHARD_BYTES", 5 << 20)
+    got = langid.fit(docs_of(spark, docs))
+    assert isinstance(got.bits, langid.MappedBits) and (got.false == want.false).all()
+    assert got.predict(texts) == want.predict(texts)

@@ -18,11 +18,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.arrays import save, shared_folder
 from tideline.llm.common import fold_of, slices, text_of
+from tideline.session import stored
 
-#: Slots of the filter. It takes 8 bytes a slot for each 64 languages, whatever the corpus.
+#: Fewest slots of the filter. It has more where a language has many n-grams.
 SLOTS = 1 << 20
+#: Slots for each n-gram of the language that has most: at three hashes, one in 200 is found by chance.
+SLOTS_PER_GRAM = 16
 HASHES = 3
+#: Filters of at most so many words come to the driver and go to workers by broadcast; larger ones are mapped.
+COLLECTED = 1 << 22
+#: Bytes of a mapped file of slots.
+SHARD_BYTES = 32 << 20
 #: An n-gram belongs to a language if its share there is this part of its largest share.
 MARGIN = 0.25
 _BLANK = 32
@@ -90,10 +98,66 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush(sums)
 
 
+def _kind(languages: int) -> str:
+    """The narrowest number with a bit for each language, or words of 64."""
+    return next((f"u{b}" for b in (1, 2, 4) if languages <= 8 * b), "u8")
+
+
+class MappedBits:
+    """Slots in files of the shared folder, mapped where they are looked up; the pickle has their folder only."""
+
+    def __init__(self, folder: str, size: int, per_shard: int):
+        self.folder, self.size, self.per_shard = folder, size, per_shard
+        self.shards: list[np.ndarray] = []
+
+    def __getstate__(self):
+        return self.__dict__ | {"shards": []}
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        if not self.shards:
+            self.shards = [np.load(f"{self.folder}/bits.{s}.npy", mmap_mode="r") for s in range(-(-self.size // self.per_shard))]
+        shard = at // self.per_shard
+        order = np.argsort(shard.astype(np.int32), kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(len(self.shards) + 1))
+        out = np.zeros((len(at), self.shards[0].shape[1]), self.shards[0].dtype)
+        for s, bits in enumerate(self.shards):
+            here = order[edges[s] : edges[s + 1]]
+            out[here] = bits[at[here] - s * self.per_shard]
+        return out
+
+
+def _write_bits(folder: str, size: int, per_shard: int, width: int, languages: int):
+    """Per shard, its file, and how many of its slots each language has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def written(shard, bits):
+            save(folder, f"bits.{shard}", bits)
+            n = [int(((bits[:, k // 64] >> (k % 64)) & 1).sum(dtype=np.int64)) for k in range(languages)]
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([n], pa.list_(pa.int64()))], ["shard", "n"])
+
+        now, bits = None, None
+        for batch in batches:
+            shards, slot, word = (np.asarray(batch.column(c)) for c in ("shard", "slot", "word"))
+            masks = np.asarray(batch.column("mask")).view(np.uint64)
+            for s in np.unique(shards).tolist():
+                if s != now:
+                    if now is not None:
+                        yield written(now, bits)
+                    now, bits = s, np.zeros((min(per_shard, size - s * per_shard), width), _kind(languages))
+                here = (shards == s) & (slot >= 0)
+                bits[slot[here] - s * per_shard, word[here]] = masks[here].astype(bits.dtype)
+        if now is not None:
+            yield written(now, bits)
+
+    return run
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    bits: np.ndarray  # slots x words of 64 languages
+    bits: np.ndarray | MappedBits  # slots x words of 64 languages, or one narrower word
     false: np.ndarray  # per language, the chance that an n-gram it lacks is found
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -103,7 +167,7 @@ class Model:
         both = masks[0] & masks[1] & masks[2]
         share = np.zeros((len(self.languages), len(texts)))
         for k in range(len(self.languages)):
-            hit = (both[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
+            hit = (both[:, k // 64] >> (k % 64)) & 1
             rate = np.bincount(doc, hit.astype(np.float64), minlength=len(texts)) / np.maximum(total, 1)
             share[k] = (rate - self.false[k]) / max(1e-9, 1 - self.false[k])
         if not self.languages:
@@ -114,11 +178,13 @@ class Model:
         return names, scores.tolist()
 
 
-def fit(docs: DataFrame, size: int = SLOTS, margin: float = MARGIN) -> Model:
+def fit(docs: DataFrame, size: int | None = None, margin: float = MARGIN) -> Model:
     """Learn from all documents that have both text and lang.
 
-    Counting is one shuffle of n-gram counts added up per task. What comes to the driver
-    is the filter, at most ``size`` rows, and the list of languages.
+    Counting is one shuffle of n-gram counts added up per task. The filter has ``size``
+    slots, by default as many as the language with most n-grams needs for few false
+    positives. It comes to the driver if small; otherwise tasks write its slots to the
+    shared folder and only the list of languages comes to the driver.
     """
     labelled = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
     counts = labelled.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -129,6 +195,10 @@ def fit(docs: DataFrame, size: int = SLOTS, margin: float = MARGIN) -> Model:
     shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
     best = shares.groupBy("gram").agg(F.max("share").alias("best"), F.collect_list(F.struct("lang", "share")).alias("all"))
     owned = best.select("gram", F.transform(F.filter("all", lambda a: a["share"] >= margin * F.col("best")), lambda a: a["lang"]).alias("langs"))
+    if size is None:
+        owned = stored(owned, "grams")
+        most = owned.select(F.explode("langs").alias("lang")).groupBy("lang").count().agg(F.max("count")).first()[0]
+        size = max(SLOTS, SLOTS_PER_GRAM * (most or 0))
 
     def to_slots(batches):
         for batch in batches:
@@ -145,10 +215,23 @@ def fit(docs: DataFrame, size: int = SLOTS, margin: float = MARGIN) -> Model:
                     )
 
     filled = owned.mapInArrow(to_slots, "slot long, word long, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
-    rows = filled.toArrow()
-    bits = np.zeros((size, width), np.uint64)
-    bits[np.asarray(rows["slot"]), np.asarray(rows["word"])] = np.asarray(rows["mask"]).view(np.uint64)
-    set_bits = np.array([((bits[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(languages))])
+    kind = np.dtype(_kind(len(languages)))
+    if size * width <= COLLECTED:
+        rows = filled.toArrow()
+        bits = np.zeros((size, width), kind)
+        bits[np.asarray(rows["slot"]), np.asarray(rows["word"])] = np.asarray(rows["mask"]).view(np.uint64).astype(kind)
+        set_bits = np.array([((bits[:, k // 64] >> (k % 64)) & 1).mean() for k in range(len(languages))])
+    else:
+        spark = docs.sparkSession
+        per_shard = max(1, SHARD_BYTES // (width * kind.itemsize))
+        shards = -(-size // per_shard)
+        folder = shared_folder(spark, "language-bits")
+        # A row without a slot for each shard, so that shards without n-grams are written too.
+        bare = spark.range(shards).select(F.lit(-1).cast("long").alias("slot"), F.lit(0).cast("long").alias("word"), F.lit(0).cast("long").alias("mask"), F.col("id").alias("shard"))
+        dealt = filled.withColumn("shard", F.expr(f"slot div {per_shard}")).unionByName(bare).repartition(shards, "shard").sortWithinPartitions("shard")
+        done = dealt.mapInArrow(_write_bits(folder, size, per_shard, width, len(languages)), "shard long, n array<long>").collect()
+        set_bits = np.array([r.n for r in done]).reshape(shards, len(languages)).sum(axis=0) / size
+        bits = MappedBits(folder, size, per_shard)
     return Model(languages, bits, set_bits**HASHES)
 
 
@@ -157,8 +240,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     Only the text is used. Null texts and texts without a letter are ``und`` with score
     0, as is every text where nothing was learned; ties go to the language first in
-    order. Repeated rows are rows of their own; an empty table gives no rows. The model
-    that goes to the workers takes 8 bytes a slot for each 64 languages.
+    order. Repeated rows are rows of their own; an empty table gives no rows. A small
+    filter goes to the workers with the model, a large one is mapped by them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
