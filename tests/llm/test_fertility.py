@@ -59,6 +59,36 @@ def test_bands_reject_odd_tokens_and_keep_clean_text(spark):
     assert {r.doc_id for r in fertility.accepted(docs_of(spark, docs)).collect()} == set(range(300))
 
 
+def noise(rng, n=60):
+    return " ".join("".join(rng.choice("qxzjkvw0123456789") for _ in range(12)) for _ in range(n))
+
+
+def test_bands_hold_where_a_source_has_texts_of_another_kind(spark):
+    rng = random.Random(4)
+    docs = [(i, prose(rng), "en", "s") for i in range(200)]
+    docs += [(1000 + i, " ".join(f"x[{rng.randrange(10)}]=f(y{rng.randrange(10)});" for _ in range(100)), "en", "hot") for i in range(100)]
+    docs += [(2000 + i, noise(rng, 22), "en", "s") for i in range(3)]
+    got = {r["keys"].doc_id: r for r in fertility.judged(docs_of(spark, docs)).collect()}
+    assert all(got[i].kept for i in range(200))
+    assert not any(got[2000 + i].kept or got[2000 + i].base_failed for i in range(3))
+
+
+def test_a_lone_length_is_compared_with_its_neighbours(spark):
+    rng = random.Random(5)
+    docs = [(i, prose(rng, rng.randrange(60, 120)), "en", "s") for i in range(100)]
+    # Six words in random order: as usual in characters per token, low in entropy.
+    dull = (1000, " ".join(rng.choice("house stands green many walk streets".split()) for _ in range(3000)), "en", "s")
+    got = {r["keys"].doc_id: r for r in fertility.judged(docs_of(spark, [*docs, dull, (1001, prose(rng, 3000), "en", "s")])).collect()}
+    assert all(got[i].kept for i in range(100)) and got[1001].kept
+    assert not got[1000].kept and not got[1000].base_failed
+
+
+def test_length_pools(spark):
+    counts = [("a", 5, 10), ("a", 6, 45), ("a", 7, 60), ("a", 9, 30), ("a", 12, 1), ("b", 3, 2), ("b", 8, 1)]
+    got = fertility.length_pools(spark.createDataFrame(counts, "group string, bits int, count long"), 50).collect()
+    assert sorted(map(tuple, got)) == [("a", 5, 5), ("a", 6, 5), ("a", 7, 7), ("a", 9, 7), ("a", 12, 7), ("b", 3, 3), ("b", 8, 3)]
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     texts = [f"word{i} other{i % 7} again" for i in range(40)]
     paths = [fertility.public_tokenizers.path(v) for v in fertility.VOCABULARIES]

@@ -205,23 +205,48 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
+def length_pools(counts: DataFrame, texts: int) -> DataFrame:
+    """Per group, which lengths (column bits) are compared together, as the first of them (column pool).
+
+    Going up, lengths join until a pool has ``texts`` texts; a last pool with fewer joins
+    the one before. ``counts`` has a row for each group and length.
+    """
+    ordered = counts.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("bits", F.col("count").alias("n")))).alias("lengths"))
+    empty = "named_struct('starts', cast(array() as array<int>), 'n', 0L, 'pools', cast(array() as array<struct<bits:int,pool:int>>))"
+    opens = f"size(a.starts) = 0 OR a.n >= {texts}"
+    pooled = ordered.withColumn("a", F.expr(f"""aggregate(lengths, {empty}, (a, x) -> named_struct(
+        'starts', if({opens}, array_append(a.starts, x.bits), a.starts),
+        'n', if({opens}, 0L, a.n) + x.n,
+        'pools', array_append(a.pools, named_struct('bits', x.bits, 'pool', if({opens}, x.bits, element_at(a.starts, -1))))))"""))
+    last = F.when((F.col("a.n") < texts) & (F.size("a.starts") > 1), F.element_at("a.starts", -2)).otherwise(F.element_at("a.starts", -1))
+    return pooled.select("group", F.explode("a.pools").alias("p"), last.alias("last")).select(
+        "group", "p.bits", F.least("p.pool", "last").alias("pool")
+    )
+
+
 def judged(
     docs: DataFrame,
     paths: Sequence[str] | None = None,
     keys: Sequence[str] = ("doc_id",),
-    spread: float = 6.0,
-    least: tuple[float, float, float] = (0.08, 0.10, 0.15),
+    spread: float = 10.0,
+    least: tuple[float, float, float] = (0.08, 0.10, 0.12),
+    most: tuple[float, float, float] = (0.25, 0.25, 0.20),
     short: int = 200,
+    widest: float = 1.25,
+    texts: int = 50,
 ) -> DataFrame:
     """Measure every text, fit the bands and give the verdict ``kept``.
 
-    Characters per token and entropy must lie within ``spread`` interquartile ranges of
-    their group's median, and not more than that above it for the byte share; ``least``
-    is the narrowest half-width allowed (shares of the median for characters per token
-    and entropy, absolute for the byte share). Bands are wider for texts of few tokens,
-    by sqrt(1 + short / tokens). Groups are languages or, where it is null, scripts;
-    entropy, which grows with length, is compared among texts of the same power of two
-    of tokens. Bands come from all documents that pass the base rules.
+    Characters per token and entropy must lie within ``spread`` median absolute deviations
+    of their group's median, and not more than that above it for the byte share. Unlike
+    quartiles, these stay those of the main kind of text while another kind has less than
+    half of the rows. ``least`` and ``most`` are the narrowest and the widest half-width
+    (shares of the median for characters per token and entropy, absolute for the byte
+    share). Bands are wider for texts of few tokens, by sqrt(1 + short / tokens), at most
+    by ``widest`` and never beyond ``most``. Groups are languages or, where it is null,
+    scripts; entropy, which grows with length, is compared among texts of the same power
+    of two of tokens, pooled with its neighbours below ``texts`` texts. Bands come from all
+    documents that pass the base rules.
 
     Null and empty texts have no words and fail the base rules; null keys and repeated
     rows are kept as they are; other columns are not read. An empty table gives no rows.
@@ -241,27 +266,32 @@ def judged(
     )
     clean = rows.filter(~F.col("base_failed"))
 
-    def quartiles(column):
-        return F.percentile_approx(column, [0.25, 0.5, 0.75], 2000).alias(f"q_{column}")
+    def off(column):
+        return F.col(column) - F.col(f"mid_{column}")
 
-    names = [f"{m}_{k}" for k in range(count) for m in ("chars", "bare")]
-    bands = clean.groupBy("group").agg(*map(quartiles, names))
-    lengths = clean.groupBy("group", "bits").agg(quartiles("entropy"))
-    wider = F.sqrt(1 + short / tokens)
+    def fitted(rows, by, columns):
+        """Medians, and the medians of distances from them."""
+        mids = stored(rows.groupBy(*by).agg(*(F.percentile_approx(c, 0.5, 2000).alias(f"mid_{c}") for c in columns)), "medians")
+        away = rows.join(mids, by).groupBy(*by).agg(*(F.percentile_approx(F.abs(off(c)), 0.5, 2000).alias(f"mad_{c}") for c in columns))
+        return stored(mids.join(away, by), "bands")
 
-    def width(column, least_width):
-        q = F.col(f"q_{column}")
-        return F.greatest(spread * (q[2] - q[0]), least_width) * wider
+    names = [f"{m}_{k}" for k in range(count) for m in ("chars", "bare")]
+    pools = stored(length_pools(clean.groupBy("group", "bits").count(), texts), "lengths")
+    bands = fitted(clean, ["group"], names)
+    lengths = fitted(clean.join(pools, ["group", "bits"]), ["group", "pool"], ["entropy"])
+    wider = F.least(F.sqrt(1 + short / tokens), F.lit(widest))
 
-    def off(column):
-        return F.col(column) - F.col(f"q_{column}")[1]
+    def width(column, kind, unit):
+        band = F.greatest(spread * F.col(f"mad_{column}"), least[kind] * unit) * wider
+        return F.least(band, most[kind] * unit)
 
-    inside = F.abs(off("entropy")) <= width("entropy", least[2] * F.col("q_entropy")[1])
+    inside = F.abs(off("entropy")) <= width("entropy", 2, F.col("mid_entropy"))
     for k in range(count):
-        inside &= F.abs(off(f"chars_{k}")) <= width(f"chars_{k}", least[0] * F.col(f"q_chars_{k}")[1])
-        inside &= off(f"bare_{k}") <= width(f"bare_{k}", F.lit(least[1]))
+        inside &= F.abs(off(f"chars_{k}")) <= width(f"chars_{k}", 0, F.col(f"mid_chars_{k}"))
+        inside &= off(f"bare_{k}") <= width(f"bare_{k}", 1, F.lit(1.0))
+    by_length = pools.join(lengths, ["group", "pool"])
     return (
-        rows.join(bands, "group", "left").join(lengths, ["group", "bits"], "left")
+        rows.join(bands, "group", "left").join(by_length, ["group", "bits"], "left")
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
         .select("keys", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_bytes", "entropy", "group", "base_failed", "kept")
     )
