@@ -111,3 +111,15 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 300), (300, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 300: 200}
+
+
+def test_small_sets_are_verified_whatever_their_estimate(spark):
+    texts = []
+    for i in (257, 623, 1414, 3055, 5758):
+        words = [f"w{i}x{j}" for j in range(8)]
+        texts += [" ".join(words), " ".join(words[:7])]
+    sets = shingle_sets([t.encode() for t in texts])
+    regs = H.registers(sets)
+    sizes = np.array([len(s) for s in sets])
+    assert (H.estimate(regs[0::2], regs[1::2], sizes[0::2], sizes[1::2]) < H.PERCENT / 100 - H.MARGIN).all()
+    assert result(docs_of(spark, texts)) == brute(list(enumerate(texts)))

@@ -4,7 +4,8 @@ A document's shingles fall into buckets by the first bits of their hashes. Each
 register keeps the least hash as a count of leading zeros and a few mantissa bits, two
 bytes together; empty buckets borrow from others in a fixed random order. Bands of
 registers deal candidates into buckets. Registers give a Jaccard estimate, corrected for
-registers that are equal by chance, before a pair is verified on its full sets.
+registers that are equal by chance, before a pair is verified on its full sets. Sets
+smaller than the number of registers share buckets unevenly and are verified at once.
 
 Pairs within a bucket are not listed. Texts with equal sets are one node. First each node
 is checked against one centre: the node of a bucket they share that has most company in all
@@ -142,12 +143,16 @@ def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
+            n_a, n_b = np.asarray(batch.column("n_a")), np.asarray(batch.column("n_b"))
+            near = np.minimum(n_a, n_b) < REGISTERS
+            near &= 100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
+            large = np.flatnonzero(np.minimum(n_a, n_b) >= REGISTERS)
+            sides = batch.take(pa.array(large))
             found = estimate(
-                _register_rows(batch.column("registers_a")), _register_rows(batch.column("registers_b")),
-                np.asarray(batch.column("n_a")), np.asarray(batch.column("n_b")),
+                _register_rows(sides.column("registers_a")), _register_rows(sides.column("registers_b")), n_a[large], n_b[large]
             )
-            near = pa.array(found >= PERCENT / 100 - MARGIN)
-            yield batch.select(["a", "b"]).filter(near)
+            near[large] = found >= PERCENT / 100 - MARGIN
+            yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
 def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +228,7 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, nodes: Nodes, name: str, sets: DataFrame | None = None) -> DataFrame:
-    """Stored rows (a, b, both, link) of the pairs that the estimate doesn't rule out."""
+    """Stored rows (a, b, both, link) of the pairs that the estimate or, of small sets, their sizes don't rule out."""
     likely = stored(_sides(pairs, nodes.table, "registers", "n").mapInArrow(_estimated, "a long, b long"), f"{name}-likely")
     if sets is None:
         ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
@@ -305,7 +310,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         (F.col("x.band") == F.col("y.band")) & (F.col("x.name") < F.col("y.name"))
         & (100 * F.col("x.n") >= PERCENT * F.col("y.n")) & (100 * F.col("y.n") >= PERCENT * F.col("x.n"))
         & (100 * least >= PERCENT * (F.col("x.n") + F.col("y.n") - least))
-        & (differ(0) + differ(1) + differ(2) + differ(3) <= DIFFERENT)
+        & ((F.least("x.n", "y.n") < REGISTERS) | (differ(0) + differ(1) + differ(2) + differ(3) <= DIFFERENT))
     )
     rest = x.join(y, can_link).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     tried = stars.unionByName(others)
