@@ -101,9 +101,12 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), "doc_id", text_key().alias("text_key"))
 
 
-def join_keys(rows: DataFrame, keys: DataFrame, how: str, row_bytes: int = 24) -> DataFrame:
-    """Join on (doc_id, text_key), null equal to null; ``keys`` is stored and goes to all workers if small."""
-    if keys.count() * row_bytes <= BROADCAST_BYTES:
+def join_keys(rows: DataFrame, keys: DataFrame, how: str, size: int | None = None) -> DataFrame:
+    """Join on (doc_id, text_key), null equal to null; ``keys`` is stored and goes to all workers if small.
+
+    ``size`` is its bytes where it has columns of any length; without it has 24 a row.
+    """
+    if (keys.count() * 24 if size is None else size) <= BROADCAST_BYTES:
         keys = F.broadcast(keys)
     same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & rows["text_key"].eqNullSafe(keys["text_key"])
     found = rows.join(keys, same, how)

@@ -156,6 +156,10 @@ def span_text(spans: str) -> Column:
     )
 
 
+#: Most bytes of a document's row in the join of spans, and of each of its slim spans.
+ROW_BYTES, SPAN_BYTES = 64, 40
+
+
 def masked(text: Column, spans: Column, live: str = "<SECRET>", example: str = "<EXAMPLE_SECRET>") -> Column:
     """The text with every span replaced; overlapping spans are one, live if any of them is."""
     def merge(state, m):
@@ -187,8 +191,10 @@ def redacted(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     n_chars is counted anew where a text changed.
     """
     found = judged(docs.withColumn("text_key", text_key()), owner, repo, ["doc_id", "text_key"])
-    spans = stored(found.filter(F.size("spans") > 0).select("doc_id", "text_key", "spans").dropDuplicates(["doc_id", "text_key"]), "found")
-    rows = join_keys(keyed(docs), spans, "left", row_bytes=512)
+    slim = F.transform("spans", lambda m: F.struct(m["start"], m["end"], m["live"])).alias("spans")
+    spans = stored(found.filter(F.size("spans") > 0).select("doc_id", "text_key", slim).dropDuplicates(["doc_id", "text_key"]), "found")
+    few = spans.agg(F.sum(ROW_BYTES + SPAN_BYTES * F.size("spans"))).first()[0] or 0
+    rows = join_keys(keyed(docs), spans, "left", size=few)
     text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(masked(F.col("row.text"), F.col("spans")))
 
     def column(name):
