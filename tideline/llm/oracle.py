@@ -96,7 +96,70 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT r.x, l.y FROM r
 SELECT x AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, x = min(y) AS kept
 FROM reach LEFT JOIN sizes ON doc_id = x GROUP BY x"""
 
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit; null for null."""
+    step = "lambda v, bit: xor(v >> 1, (v & 1) * 3988292384)"
+    byte = f"lambda crc, b: list_reduce([xor(crc, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], {step})"
+    return f"xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT FOR c IN string_split({text}, '')], {byte}), 4294967295)"
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(map(field_sql, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+MANIFEST = f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, leaf, CASE WHEN tampered THEN small ELSE leaf END AS changed,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM (SELECT doc_id, source, crc % 5 = 0 AS tampered, {leaf_sql('text')} AS leaf,
+      {leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} AS small
+    FROM (SELECT *, {crc32_sql('doc_id::VARCHAR')} AS crc FROM documents))),
+low AS (
+  SELECT source, 0 AS level, i, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, i // 16, sha256(string_agg(node, '' ORDER BY i)), (max(n) + 15) // 16
+  FROM low WHERE n > 1 GROUP BY source, level, i // 16),
+subroots AS (SELECT source, node AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+  FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, place AS i, subroot AS node, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, sha256(string_agg(node, '' ORDER BY i)), (max(n) + 15) // 16
+  FROM high WHERE n > 1 GROUP BY level, i // 16),
+path AS (SELECT row_number() OVER () AS row, doc_id, leaf, changed, l.i, l.source, subroot, height, place,
+    (SELECT node FROM high WHERE n = 1) AS root, (SELECT level FROM high WHERE n = 1) AS top
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+steps AS (
+  SELECT row, level, i >> (4 * level)::INTEGER AS spot, source, true AS below FROM path, unnest(range(0, height)) AS t(level)
+  UNION ALL
+  SELECT row, height + level, place >> (4 * level)::INTEGER, source, false FROM path, unnest(range(0, top)) AS t(level)),
+met AS (
+  SELECT row, s.level, s.spot, l.i, l.node FROM steps s JOIN low l
+    ON s.below AND l.source IS NOT DISTINCT FROM s.source AND l.level = s.level AND l.i // 16 = s.spot // 16 AND l.i <> s.spot
+  UNION ALL
+  SELECT s.row, s.level, s.spot, h.i, h.node FROM steps s JOIN path p ON p.row = s.row JOIN high h
+    ON NOT s.below AND h.level = s.level - p.height AND h.i // 16 = s.spot // 16 AND h.i <> s.spot),
+sides AS (
+  SELECT row, level, coalesce(string_agg(node, '' ORDER BY i) FILTER (i < spot), '') AS lefts,
+    coalesce(string_agg(node, '' ORDER BY i) FILTER (i > spot), '') AS rights
+  FROM met GROUP BY row, level),
+fold AS (
+  SELECT row, 0 AS level, changed AS node FROM path
+  UNION ALL
+  SELECT f.row, f.level + 1, sha256(coalesce(lefts, '') || f.node || coalesce(rights, ''))
+  FROM fold f JOIN path p ON p.row = f.row LEFT JOIN sides s ON s.row = f.row AND s.level = f.level
+  WHERE f.level < p.height + p.top),
+proofs AS (SELECT row, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS proof FROM sides GROUP BY row)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM path p JOIN fold f ON f.row = p.row AND f.level = p.height + p.top LEFT JOIN proofs q ON q.row = p.row"""
+
 ORACLE = {
+    "op12_merkle_manifest": MANIFEST,
     "op1_secret_ownership": SECRETS,
     "op7_chat_events": CHATS,
     "op8_hyperminhash": NEAR,

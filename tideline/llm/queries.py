@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, ownership, runindex, tree_bpe
+from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, merkle, ownership, runindex, tree_bpe
 from tideline.llm.common import table
-from tideline.llm.oracle import ORACLE  # noqa: F401  (what the entry point reads)
+from tideline.llm.oracle import LOWER, ORACLE, UPPER  # noqa: F401  (the entry point reads ORACLE)
 
 QUERIES = {}
 
@@ -126,3 +126,15 @@ def op10_run_index(spark, sf_dir):
         "keys.doc_id", (F.octet_length("kept") + n_removed).alias("n_bytes"), n_removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), hex_digest("kept").alias("kept_sha256"),
     )
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Every fifth document by its id's crc32 is held against its proof with its capitals made small."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    changed = F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), changed)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", hex_digest(merkle.proof_text(F.col("proof"))).alias("proof_sha256"),
+        merkle.folded(F.col("changed_leaf"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
