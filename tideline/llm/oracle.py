@@ -158,7 +158,80 @@ proofs AS (SELECT row, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS
 SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, node AS folded_root, node = root AS verified
 FROM path p JOIN fold f ON f.row = p.row AND f.level = p.height + p.top LEFT JOIN proofs q ON q.row = p.row"""
 
+#: Cost and audit as one text that sorts by cost, then audit.
+NONE = "'900000000'"
+
+
+def edited(rest: str, cost: str, letter: str) -> str:
+    return f"lpad((left({rest}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || '{letter}' || substr({rest}, 10)"
+
+
+def plain_sql(state: int, kept: dict[str, int], wanted: int) -> str:
+    """The best of deleting, keeping or reroling a row, seen from a state of the grammar."""
+    keep = " ".join(f"WHEN '{c}' THEN {edited(f'g{to}', 'extra', 'K')}" for c, to in kept.items())
+    role = f"CASE WHEN sym = 'x' THEN {NONE} ELSE {edited(f'g{wanted}', '3 + extra', 'R')} END"
+    return f"least({edited(f'g{state}', '4', 'D')}, {role}, CASE lower(sym) {keep} ELSE {NONE} END) AS p{state}"
+
+
+REPAIR = f"""WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS fault FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM turns, unnest(range(0, CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS k,
+    CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS filled
+  FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN filled = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+      WHEN right(filled, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial AS pair
+  FROM placed),
+signed AS (
+  SELECT conv_id, k, role, text,
+    CASE fault WHEN '' THEN initial WHEN 'truncated' THEN upper(initial) ELSE 'x' END AS sym,
+    CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM faulty),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY 1),
+steps AS (
+  SELECT conv_id, n + 1 AS k, '000000000' AS g0, '000000006II' AS g1, '000000003I' AS g2, '000000000' AS g3 FROM counts
+  UNION ALL
+  SELECT conv_id, k, least(p0, {edited(f"least(p2, {edited('p3', '3', 'I')})", '3', 'I')}),
+    least(p1, {edited(f"least(p2, {edited('p3', '3', 'I')})", '3', 'I')}),
+    least(p2, {edited('p3', '3', 'I')}), least(p3, {edited('p2', '3', 'I')})
+  FROM (SELECT s.conv_id, s.k, {plain_sql(0, {'s': 1, 'u': 2}, 2)}, {plain_sql(1, {'u': 2}, 2)},
+      {plain_sql(2, {'a': 3}, 3)}, {plain_sql(3, {'u': 2}, 2)}
+    FROM steps t JOIN signed s ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND s.k = t.k - 1)),
+audits AS (SELECT conv_id, left(g0, 9)::BIGINT AS cost, substr(g0, 10) AS audit FROM steps WHERE k = 1),
+edits AS (
+  SELECT conv_id, i, audit[i] AS edit, i - len(regexp_extract_all(audit[1:i], 'I')) AS k,
+    i - len(regexp_extract_all(audit[1:i], 'D')) AS place
+  FROM audits, unnest(range(1, len(audit) + 1)) AS t(i)),
+lines AS (
+  SELECT e.conv_id, i, edit, place, role, text,
+    bool_or(place = 1 AND edit = 'K' AND left(role, 1) = 's') OVER (PARTITION BY e.conv_id) AS system_first
+  FROM edits e LEFT JOIN signed s ON edit <> 'I' AND s.conv_id IS NOT DISTINCT FROM e.conv_id AND s.k = e.k WHERE edit <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE wanted END || ':' ||
+    CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS body
+  FROM (SELECT *, CASE WHEN (place + system_first::BIGINT) % 2 = 1 THEN 'user' ELSE 'assistant' END AS wanted FROM lines) GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLE = {
+    "op11_suffix_repair": REPAIR,
     "op12_merkle_manifest": MANIFEST,
     "op1_secret_ownership": SECRETS,
     "op7_chat_events": CHATS,

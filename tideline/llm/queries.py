@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, merkle, ownership, runindex, tree_bpe
+from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, merkle, ownership, repair, runindex, tree_bpe
 from tideline.llm.common import table
 from tideline.llm.oracle import LOWER, ORACLE, UPPER  # noqa: F401  (the entry point reads ORACLE)
 
@@ -128,6 +128,12 @@ def op10_run_index(spark, sf_dir):
     )
 
 
+@query
+def op11_suffix_repair(spark, sf_dir):
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repaired(rows, F.col("present")).select("conv_id", *repair.COUNTS, "cost", "audit", "repaired_sha256")
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     """Every fifth document by its id's crc32 is held against its proof with its capitals made small."""
