@@ -81,22 +81,28 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)"""
 
-NEAR = rf"""WITH RECURSIVE docs AS (
+def near_sql(size: int, percent: int, result: str) -> str:
+    """Components of documents by their distinct shingles of ``size`` words."""
+    return rf"""WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS words
   FROM documents),
 shingles AS (
-  SELECT DISTINCT doc_id, words[i:i + least(5, len(words)) - 1] AS g
-  FROM docs, unnest(range(1, greatest(len(words) - 3, 2))) AS t(i) WHERE len(words) > 0),
+  SELECT DISTINCT doc_id, words[i:i + least({size}, len(words)) - 1] AS g
+  FROM docs, unnest(range(1, greatest(len(words) - {size - 2}, 2))) AS t(i) WHERE len(words) > 0),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
 pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
   FROM shingles a JOIN shingles b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
-  WHERE 100 * shared >= 75 * (a.n + b.n - shared)),
+  WHERE 100 * shared >= {percent} * (a.n + b.n - shared)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
-SELECT x AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, x = min(y) AS kept
+SELECT x AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id{result}
 FROM reach LEFT JOIN sizes ON doc_id = x GROUP BY x"""
 
 
+NEAR = near_sql(5, 75, ", x = min(y) AS kept")
+SIMILAR = near_sql(3, 90, "")
+
+
 
 def crc32_sql(text: str) -> str:
     """crc32 of an ASCII text, bit by bit; null for null."""
@@ -231,6 +237,7 @@ LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
 ORACLE = {
+    "op13_size_aware_join": SIMILAR,
     "op11_suffix_repair": REPAIR,
     "op12_merkle_manifest": MANIFEST,
     "op1_secret_ownership": SECRETS,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, merkle, ownership, repair, runindex, tree_bpe
+from tideline.llm import chat, fertility, fmindex, hyperminhash, kdtree, kneser_ney, langid, merkle, ownership, repair, runindex, setjoin, tree_bpe
 from tideline.llm.common import table
 from tideline.llm.oracle import LOWER, ORACLE, UPPER  # noqa: F401  (the entry point reads ORACLE)
 
@@ -144,3 +144,9 @@ def op12_merkle_manifest(spark, sf_dir):
         "doc_id", "leaf", "subroot", "root", hex_digest(merkle.proof_text(F.col("proof"))).alias("proof_sha256"),
         merkle.folded(F.col("changed_leaf"), F.col("proof")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_size_aware_join(spark, sf_dir):
+    found = setjoin.linked_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
