@@ -1,10 +1,11 @@
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_ticks, plain, random_ticks
+from conftest import make_ticks, plain, plan_of, random_ticks
 from tideline.config import TICKS
 from tideline.operators import candles as c
 from tideline.operators import lastprice, pairs
@@ -69,14 +70,74 @@ def test_streams_read_tables_of_one_file_and_of_many(spark, folder):
     assert got[0] == got[1] and got[0]
 
 
-def test_late_pair_ticks_are_repaired(spark, folder):
-    known = make_ticks(spark, [(0, "A", 2, 1), (1, "B", 4, 1), (5, "A", 3, 1), (1500, "B", 5, 1)])
-    tracked = pairs.all_symbol_pairs(lastprice.symbol_names(known))
-    pairs.pair_ticks(known, tracked).write.parquet(f"{folder}/ticks/batch=0")
-    every = known.unionByName(make_ticks(spark, [(3, "B", 8, 1)]))
-    late = every.filter("price = 8").select(F.to_date("time").alias("day"))
-    out = prices.repair_pair_ticks(every, tracked, f"{folder}/ticks", late, f"{folder}/repaired")
-    assert plain(out) == plain(pairs.pair_ticks(every, tracked), *out.columns)
+def tick_tables(spark, folder, schema, **options):
+    raw = ChunkTable(spark, f"{folder}/raw", schema, series_cols=("symbol",), **options).create()
+    return raw, prices.pair_table(raw, f"{folder}/pairs").create()
+
+
+def test_a_late_tick_counts_past_midnight(spark, folder):
+    known = make_ticks(spark, [(0, "A", 10, 1), (90, "B", 5, 1), (870, "B", 5, 1), (8000, "A", 7, 1), (8001, "B", 9, 1)])
+    tracked = spark.createDataFrame([("A/B",), ("B/A",)], "symbol_pair string")
+    raw, emitted = tick_tables(spark, folder, known.schema)
+    raw.append(known)
+    emitted.append(pairs.pair_ticks(known, tracked))
+    late = make_ticks(spark, [(810, "A", 20, 1)]).withColumn("tick_id", F.lit(99).cast("long"))
+    raw.append(late)
+    prices.repair_pair_ticks(raw, tracked, emitted, late)
+    every = known.unionByName(late)
+    assert plain(emitted.read(), "time", "tick_id", "symbol", "price") == plain(pairs.pair_ticks(every, tracked), "time", "tick_id", "symbol", "price")
+    assert emitted.read().filter("tick_id = 2 AND symbol = 'A/B'").first()["price"] == 4.0
+
+
+@pytest.mark.parametrize("seed, max_rows", [(1, 4_000_000), (2, 20)])
+def test_random_late_ticks_are_repaired(spark, folder, seed, max_rows):
+    ticks = random_ticks(spark, 250, ("A", "B", "C", "D"), seed=seed, hot="A")
+    # Equal times, and a price of zero that nothing can be divided by.
+    ticks = ticks.withColumn("time", F.when(F.col("tick_id") % 5 == 0, F.date_trunc("hour", "time").cast("timestamp_ntz")).otherwise(F.col("time")))
+    ticks = ticks.withColumn("price", F.when(F.col("tick_id") % 41 == 0, 0.0).otherwise(F.col("price"))).persist()
+    tracked = pairs.all_symbol_pairs(lastprice.symbol_names(ticks))
+    is_late = F.col("tick_id") % 13 == seed
+    raw, emitted = tick_tables(spark, folder, ticks.schema, compact_interval="1 week")
+    raw.append(ticks.filter(~is_late))
+    emitted.append(pairs.pair_ticks(ticks.filter(~is_late), tracked))
+    raw.append(ticks.filter(is_late))
+    for _ in range(seed):  # again, as after a failure
+        prices.repair_pair_ticks(raw, tracked, emitted, ticks.filter(is_late), max_rows=max_rows)
+    columns = prices.PAIR_TICK_COLUMNS
+    assert plain(emitted.read(), *columns) == plain(pairs.pair_ticks(ticks, tracked), *columns)
+
+
+def test_repair_leaves_other_chunks_alone(spark, folder):
+    rows = [(1440 * d + 60 * h, s, 10 + d + h, 1) for d in range(12) for h, s in enumerate("ABAB")]
+    ticks = make_ticks(spark, rows)
+    tracked = spark.createDataFrame([("A/B",)], "symbol_pair string")
+    raw, emitted = tick_tables(spark, folder, ticks.schema)
+    raw.append(ticks)
+    emitted.append(pairs.pair_ticks(ticks, tracked))
+    files = {c: os.listdir(f"{folder}/pairs/chunk={c}") for c in emitted.chunks()}
+    late = make_ticks(spark, [(1440 * 5 + 150, "A", 3, 1)]).withColumn("tick_id", F.lit(500).cast("long"))
+    raw.append(late)
+    prices.repair_pair_ticks(raw, tracked, emitted, late)
+    after = {c: os.listdir(f"{folder}/pairs/chunk={c}") for c in emitted.chunks()}
+    assert [c for c in files if files[c] != after[c]] == emitted.chunks()[5:6]
+    legs = prices.late_legs(raw, tracked, late).persist()
+    rows = prices.affected_pair_ticks(raw, legs)
+    # Ticks are read from the late tick's day to that of the next one of its symbol, no further.
+    assert set(re.findall(r"chunk#\d+ IN (\([^)]*\))", plan_of(rows))) == {"(2024-03-06,2024-03-07)"}
+    assert plain(emitted.read(), "price") == plain(pairs.pair_ticks(ticks.unionByName(late), tracked), "price")
+
+
+def test_batches_in_any_order_give_the_pair_ticks_of_all(spark, folder):
+    ticks = random_ticks(spark, 200, hot="H").persist()
+    tracked = pairs.all_symbol_pairs(lastprice.symbol_names(ticks)).persist()
+    seeds = spark.createDataFrame([(s, 2.5 if s == "A" else None, None) for s in "ABCH"], prices.SYMBOLS_SCHEMA)
+    versions = prices.SymbolVersions(spark, f"{folder}/symbols", seeds)
+    raw, emitted = tick_tables(spark, folder, ticks.schema)
+    handle = prices.exact_pair_updater(versions, tracked, raw, emitted)
+    columns = prices.PAIR_TICK_COLUMNS
+    for n in (0, 1, 2, 2):
+        handle(ticks.filter(F.pmod(F.xxhash64("tick_id"), F.lit(3)) == n), n)
+    assert plain(emitted.read(), *columns) == plain(pairs.pair_ticks(ticks, tracked, seeds), *columns)
 
 
 def test_batches_older_than_the_kept_versions_are_refused(spark, folder):

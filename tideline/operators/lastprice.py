@@ -34,13 +34,17 @@ def last_values(
     )
 
 
-def merge_last_prices(known: DataFrame, ticks: DataFrame, seeded_only: bool = True) -> DataFrame:
+def merge_last_prices(
+    known: DataFrame, ticks: DataFrame, seeded_only: bool = True, tiebreak: str | None = None
+) -> DataFrame:
     """Symbol table after new ticks: the newest time wins.
 
-    With ``seeded_only`` ticks of symbols that are not in the table change nothing.
+    With ``seeded_only`` ticks of symbols that are not in the table change nothing. Of new ticks
+    of one time the greatest ``tiebreak`` wins, or any of them without.
     """
+    place = F.col("time") if tiebreak is None else F.struct("time", tiebreak)
     news = ticks.groupBy("symbol").agg(
-        F.max_by("price", "time").alias("_price"), F.max("time").alias("_time")
+        F.max_by("price", place).alias("_price"), F.max("time").alias("_time")
     )
     newer = F.col("_time").isNotNull() & (
         F.col("last_price_at").isNull() | (F.col("_time") >= F.col("last_price_at"))

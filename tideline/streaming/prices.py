@@ -9,18 +9,26 @@ that dominates the batch; no key's rows are fed through one stateful task.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.buckets import shift
+from tideline.functions.scalars import pair_leg, ratio, round_half_up
 from tideline.operators.lastprice import merge_last_prices
-from tideline.operators.pairs import pair_ticks
-from tideline.sources.store import list_dir, make_dir, remove_dir
+from tideline.operators.ordered import MAX_ROWS, OrderedScan, running_last
+from tideline.operators.pairs import PAIR_DECIMALS, pair_legs, pair_ticks
+from tideline.plans.cagg import merge_ranges
+from tideline.plans.nearest import nearest_rows
+from tideline.session import stored
+from tideline.sources.store import ChunkTable, list_dir, make_dir, remove_dir
 
 SYMBOLS_SCHEMA = "symbol STRING, last_price DOUBLE, last_price_at TIMESTAMP_NTZ"
 KEPT_VERSIONS = 3
+PAIR_TICK_COLUMNS = ("time", "tick_id", "symbol", "price", "volume")
 
 
 class SymbolVersions:
@@ -102,26 +110,134 @@ def pair_tick_updater(
 def emitted_ticks(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """All pair ticks written so far; none before the first batch."""
     make_dir(spark, target)
-    columns = ("time", "tick_id", "symbol", "price", "volume")
+    columns = PAIR_TICK_COLUMNS
     return spark.read.schema(T.StructType([schema[c] for c in columns])).parquet(target).select(*columns)
 
 
-def repair_pair_ticks(
-    ticks: DataFrame, pairs: DataFrame, target: str, days: DataFrame, repaired: str
+def pair_table(raw: ChunkTable, path: str) -> ChunkTable:
+    """A table for the pair ticks of a tick table, in chunks of the same width."""
+    columns = T.StructType([raw.schema[c] for c in PAIR_TICK_COLUMNS])
+    return ChunkTable(raw.spark, path, columns, raw.time_col, ("symbol",), raw.chunk_interval, raw.compact_interval)
+
+
+def late_legs(raw: ChunkTable, pairs: DataFrame, late: DataFrame) -> DataFrame:
+    """One row per late tick and tracked pair of its symbol: which pair ticks it affects.
+
+    A tick counts from its own place in the order (time, tick_id) to the next tick of its
+    symbol, which may be days later. Columns: symbol_pair, leg, other (the other leg's symbol),
+    time, tick_id, price and until, the place of the next tick (null: none yet).
+    """
+    ticks = stored(late.select("symbol", "time", "tick_id", "price").distinct(), "late")
+    after = nearest_rows(raw, ticks, ["price"], forward=True)
+    until = after.select("symbol", "time", "tick_id", F.struct("found.time", "found.tick_id").alias("_until"), F.col("found").isNotNull().alias("_ends"))
+    bounded = ticks.join(until, ["symbol", "time", "tick_id"])
+    legs = pair_legs(pairs.select("symbol_pair"))
+    other = pair_leg("symbol_pair", 1)
+    return bounded.join(legs, bounded["symbol"] == legs["leg_symbol"]).select(
+        "symbol_pair", "leg", F.when(F.col("leg") == 2, other).otherwise(pair_leg("symbol_pair", 2)).alias("other"),
+        "time", "tick_id", "price", F.when(F.col("_ends"), F.col("_until")).alias("until"),
+    )
+
+
+def _touched(raw: ChunkTable, legs: DataFrame) -> list[tuple[datetime, datetime]]:
+    """The time ranges of the affected intervals, joined where they meet; one row per pair of days at most reaches the driver."""
+    extent = raw.extent()
+    day = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
+    last = F.coalesce(day(F.col("until.time")), F.lit(extent[1]).cast("timestamp_ntz"))
+    days = legs.select(day(F.col("time")).alias("low"), last.alias("high")).distinct().collect()
+    return merge_ranges([(r["low"], shift(r["high"], "1 day")) for r in days])
+
+
+def affected_pair_ticks(
+    raw: ChunkTable, legs: DataFrame, symbols: DataFrame | None = None, max_rows: int = MAX_ROWS
 ) -> DataFrame:
-    """Pair ticks with the days of late ticks worked out anew from all ticks.
+    """Pair ticks inside the affected intervals, worked out anew; price is null where none is due.
+
+    Inside an interval the late leg's price doesn't change, so the other leg's ticks are all it
+    takes; the late tick's own row needs the other leg's last price before it.
+    """
+    ranges = _touched(raw, legs)
+    wanted = legs.select(F.col("other").alias("symbol")).distinct()
+    ticks = raw.read_ranges(ranges).join(wanted, "symbol", "left_semi")
+    keys = legs.select("symbol_pair", "leg", "other").distinct()
+    marks = legs.select("symbol_pair", "leg", "time", "tick_id", F.struct("price", "until").alias("_late"), F.lit(None).cast("double").alias("_price"), F.lit(0).alias("_kind"))
+    theirs = ticks.join(keys, ticks["symbol"] == keys["other"]).select(
+        "symbol_pair", "leg", "time", "tick_id", F.lit(None).cast(marks.schema["_late"].dataType).alias("_late"), F.col("price").cast("double").alias("_price"), F.lit(1).alias("_kind")
+    )
+    order = ["time", "tick_id", "_kind"]
+    scan = OrderedScan.of(marks.unionByName(theirs), ["symbol_pair", "leg"], order, max_rows).running({"_in": running_last(F.col("_late"))})
+    inside = F.col("_in").isNotNull() & (F.col("_in.until").isNull() | (F.struct("time", "tick_id") < F.col("_in.until")))
+    rows = scan.frame().filter((F.col("_kind") == 1) & inside).select(
+        "symbol_pair", "leg", "time", "tick_id", F.col("_in.price").alias("_late"), F.col("_price").alias("_other")
+    )
+    before = nearest_rows(raw, legs.select(F.col("other").alias("symbol"), "time", "tick_id"), ["price"])
+    before = before.select(F.col("symbol").alias("other"), "time", "tick_id", F.col("found.price").alias("_other"))
+    own = legs.select("symbol_pair", "leg", "other", "time", "tick_id", F.col("price").alias("_late")).join(before, ["other", "time", "tick_id"])
+    if symbols is not None:
+        seeds = symbols.select(F.col("symbol").alias("other"), F.col("last_price").alias("_seed"))
+        own = own.join(seeds, "other", "left").withColumn("_other", F.coalesce("_other", "_seed"))
+    rows = rows.unionByName(own.select(rows.columns))
+    first = F.when(F.col("leg") == 1, F.col("_late")).otherwise(F.col("_other"))
+    second = F.when(F.col("leg") == 1, F.col("_other")).otherwise(F.col("_late"))
+    price = round_half_up(ratio(first, second), PAIR_DECIMALS)
+    # Two late ticks, one of each leg, give the same row twice.
+    return rows.select("time", "tick_id", F.col("symbol_pair").alias("symbol"), price.alias("price"), F.lit(1.0).alias("volume")).distinct()
+
 
-    ``days`` has the column ``day`` of each late tick's time. Emitted ticks of those days
-    give way to ticks of the batch operator over all ``ticks``; they are written to
-    ``repaired`` and all others stay as they were emitted.
+def repair_pair_ticks(
+    raw: ChunkTable,
+    pairs: DataFrame,
+    emitted: ChunkTable,
+    late: DataFrame,
+    symbols: DataFrame | None = None,
+    max_rows: int = MAX_ROWS,
+) -> None:
+    """Correct the pair ticks that late ticks change, and add those they cause.
+
+    ``late`` are ticks that ``raw`` holds by now and that ``emitted`` doesn't reflect; afterwards it equals
+    ``pair_ticks`` of all ticks. Only chunks between a late tick and the next tick of its
+    symbol are read and written, and those needed to find that tick and the other leg's last price.
+    ``symbols`` are prices known before the first tick. May run again after a failure.
     """
-    spark = ticks.sparkSession
-    wanted = days.select(F.col("day").cast("date").alias("_day")).distinct()
-    whole = pair_ticks(ticks, pairs)
-    columns = ("time", "tick_id", "symbol", "price", "volume")
-    day = F.to_date("time")
-    fresh = whole.join(wanted, day == F.col("_day"), "left_semi")
-    old = emitted_ticks(spark, target, whole.schema)
-    kept = old.join(wanted, day == F.col("_day"), "left_anti")
-    kept.select(*columns).unionByName(fresh.select(*columns)).write.mode("overwrite").parquet(repaired)
-    return spark.read.schema(whole.select(*columns).schema).parquet(repaired)
+    legs = stored(late_legs(raw, pairs, late), "late-legs")
+    if legs.isEmpty():
+        return
+    fresh = stored(affected_pair_ticks(raw, legs, symbols, max_rows), "repaired")
+    days = sorted(r["day"] for r in fresh.select(F.to_date("time").alias("day")).distinct().collect())
+    ranges = merge_ranges([(start, shift(start, "1 day")) for start in (datetime.combine(d, datetime.min.time()) for d in days)])
+    touched = emitted.touched(ranges)
+    keys = ["symbol", "time", "tick_id"]
+    kept = emitted.read(chunks=touched).distinct().join(fresh.select(*keys), keys, "left_anti")
+    emitted.replace_chunks(kept.unionByName(fresh.filter("price IS NOT NULL").select(kept.columns)), touched)
+
+
+def newest_partner(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per symbol the newest time of any symbol it is paired with, its own included."""
+    legs = pair_legs(pairs.select("symbol_pair"))
+    seen = known.select(F.col("symbol").alias("leg_symbol"), "last_price_at")
+    of_pair = legs.join(seen, "leg_symbol").groupBy("symbol_pair").agg(F.max("last_price_at").alias("_newest"))
+    return legs.join(of_pair, "symbol_pair").groupBy(F.col("leg_symbol").alias("symbol")).agg(F.max("_newest").alias("_newest"))
+
+
+def exact_pair_updater(
+    versions: SymbolVersions, pairs: DataFrame, raw: ChunkTable, emitted: ChunkTable
+) -> Callable[[DataFrame, int], None]:
+    """A batch handler after which ``emitted`` equals ``pair_ticks`` of all ticks so far, late ones included.
+
+    Ticks newer than all that was seen of their symbol and its partners are appended; all others
+    correct what is stored.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        known = versions.before(batch_id)
+        raw.append(batch, batch_id)
+        split = batch.join(newest_partner(known, pairs), "symbol", "left")
+        on_time = F.col("_newest").isNull() | (F.col("time") > F.col("_newest"))
+        news = split.filter(on_time).select(*batch.columns)
+        emitted.append(pair_ticks(news, pairs, known), batch_id)
+        repair_pair_ticks(raw, pairs, emitted, split.filter(~on_time).select(*batch.columns), versions.seeds)
+        versions.save(batch_id, merge_last_prices(known, batch, tiebreak="tick_id"))
+        batch.unpersist()
+
+    return handle

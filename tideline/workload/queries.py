@@ -25,7 +25,7 @@ from tideline.operators import (
     swaps,
 )
 from tideline.functions.scalars import latest_time, round_half_up
-from tideline.plans import cagg, reports
+from tideline.plans import cagg, nearest, reports
 from tideline.plans.stages import stored_levels
 from tideline.session import fresh_path, stored
 from tideline.sources import bound
@@ -210,6 +210,32 @@ def latest_n_ticks(spark, root):
     return ranges.newest(bound.ticks(spark, root), 5, tiebreak=["tick_id"])
 
 
+@query
+def latest_tick_skip_scan(spark, root):
+    """The newest tick of one symbol, from the newest chunks that have any."""
+    table = _tick_table(spark, root, "skip")
+    table.append(bound.ticks(spark, root))
+    found = nearest.newest_rows(table, 1, F.col("symbol") == "purchase", ["tick_id"])
+    return found.select("time", "symbol", "volume", "price")
+
+
+@query
+def latest_n_skip_scan(spark, root):
+    table = _tick_table(spark, root, "skip")
+    table.append(bound.ticks(spark, root))
+    return nearest.newest_rows(table, 5, tiebreak=["tick_id"])
+
+
+@query
+def last_price_skip_scan(spark, root):
+    """The last price of every symbol, of equal times that of the greatest tick_id."""
+    table = _tick_table(spark, root, "skip")
+    ticks = bound.ticks(spark, root)
+    table.append(ticks)
+    found = nearest.newest_per_series(table, lastprice.symbol_names(ticks), ["price"])
+    return found.select("symbol", F.col("price").alias("last_price"), F.col("time").alias("last_price_at"))
+
+
 @query
 def recent_window_filter(spark, root):
     ticks = bound.ticks(spark, root)
@@ -847,3 +873,17 @@ def stream_pair_ticks(spark, root):
     )
     runs.each_batch_available(_tick_stream(spark, root), handler, f"{folder}/progress")
     return prices.emitted_ticks(spark, f"{folder}/ticks", bound.ticks(spark, root).schema)
+
+
+@query
+def repair_pair_ticks(spark, root):
+    """Pair ticks emitted without every tenth tick, corrected when those arrive."""
+    ticks, tracked = bound.ticks(spark, root), _stored_pairs(spark, root)
+    late = F.col("tick_id") % 10 == 0
+    raw = _tick_table(spark, root, "repair")
+    emitted = prices.pair_table(raw, f"{raw.path}__pairs").create()
+    raw.append(ticks.filter(~late))
+    emitted.append(pairs.pair_ticks(ticks.filter(~late), tracked))
+    raw.append(ticks.filter(late))
+    prices.repair_pair_ticks(raw, tracked, emitted, ticks.filter(late))
+    return emitted.read()
