@@ -1,4 +1,5 @@
 import os
+import random
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -7,10 +8,11 @@ from pyspark.sql import functions as F
 
 from conftest import make_ticks, minutes, plain, plan_of, random_ticks
 from tideline.config import SAMPLES, TICKS, chain_levels
+from tideline.functions.buckets import floor_time, shift
 from tideline.operators.candles import candles
 from tideline.operators.ranges import bucket_counts
 from tideline.operators.stats import stats, stats_values
-from tideline.plans import cagg
+from tideline.plans import cagg, coverage
 from tideline.sources.store import ChunkTable
 
 
@@ -252,3 +254,61 @@ def test_merging_ranges():
     assert cagg.merge_ranges(many[::-1]) == many
     assert cagg.without([r(0, 2), r(3, 4)], *r(1, 6)) == [r(2, 3), r(4, 6)]
     assert cagg.without([r(0, 9)], *r(1, 6)) == [] and cagg.without([], *r(1, 6)) == [r(1, 6)]
+
+
+def test_common_and_outside():
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ({m for m in range(30) if rng.random() < share} for share in (0.6, 0.4))
+        ranges = [cagg.merge_ranges([(minutes(m), minutes(m + 1)) for m in x]) for x in (a, b)]
+        for found, want in ((cagg.common(*ranges), a & b), (cagg.outside(*ranges), a - b)):
+            assert found == cagg.merge_ranges([(minutes(m), minutes(m + 1)) for m in want])
+
+
+@pytest.mark.parametrize("width, step", [("1 minute", timedelta(minutes=1)), ("30 seconds", timedelta(seconds=30)), ("1 week", timedelta(days=7)), ("3 months", None)])
+def test_rows_inside_any_number_of_ranges(spark, width, step):
+    rng = random.Random(2)
+    start = floor_time(datetime(1999, 11, 3), width)
+    edges = [start]
+    for _ in range(coverage.BLOCK * 3 if step and step < timedelta(days=1) else 60):
+        edges.append(shift(edges[-1], width))
+    # A block covered in full, single buckets, and long gaps.
+    picked = sorted(rng.sample(range(len(edges) - 1), 40)) + list(range(len(edges) // 3, len(edges) - 1 - 20))
+    ranges = cagg.merge_ranges([(edges[i], edges[i + 1]) for i in picked])
+    assert len(ranges) > 1
+    moments = [e + timedelta(microseconds=rng.choice((0, 1, 999_999))) for e in rng.sample(edges, min(400, len(edges)))]
+    rows = spark.createDataFrame([(m, i) for i, m in enumerate(moments)], "time timestamp_ntz, i long")
+    want = {i for i, m in enumerate(moments) if any(a <= m < b for a, b in ranges)}
+    assert {r.i for r in coverage.inside(rows, ranges, width, "time").collect()} == want
+    assert {r.i for r in coverage.inside(rows, ranges, width, "time", covered=False).collect()} == set(range(len(moments))) - want
+
+
+def test_live_plan_does_not_grow_with_gaps(spark, folder):
+    days = 40
+    rows = [(1440 * d + 30 * k, "AB"[k % 2], d + k, 1) for d in range(days) for k in range(6)]
+    chain = tick_chain(spark, folder, make_ticks(spark, rows))
+    seen = []
+    for gap in (1, 3):
+        wanted = [(datetime(2024, 3, 1) + timedelta(days=d), datetime(2024, 3, 1) + timedelta(days=d + gap)) for d in range(0, days, 2 * gap)]
+        for level in TICKS.levels:
+            chain._recompute(level.name, wanted)
+            chain._ranges(level.name).write(wanted)
+        live = chain.realtime("1d")
+        plan = plan_of(live)
+        seen.append(plan.count("Scan parquet"))
+        assert " OR " not in plan
+        levels_match(chain, "realtime")
+    assert seen[0] == seen[1]
+
+
+def test_noting_ranges_runs_no_job(spark, folder):
+    chain = tick_chain(spark, folder, make_ticks(spark, [(0, "A", 1, 1)]))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("noting", "")
+    ranges = [(minutes(10 * k - 30), minutes(10 * k - 25)) for k in range(300)]
+    chain._note("1m", ranges)
+    assert chain.refreshed("1m") == ranges
+    chain._note("1h", ranges)
+    assert chain.refreshed("1h") == []
+    assert list(tracker.getJobIdsForGroup("noting")) == []
+    spark.sparkContext.setJobGroup("", "")

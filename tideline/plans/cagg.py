@@ -29,9 +29,9 @@ from tideline.operators.candles import candles, rate_candles, rollup_candles, ro
 from tideline.operators.ranges import between
 from tideline.operators.stats import rollup_stats, stats
 from tideline.operators.swaps import rollup_swap_activity, swap_activity
+from tideline.plans.coverage import Range, RangeList, inside
 from tideline.sources.store import ChunkTable, list_dir, make_dir, remove_dir
 
-Range = tuple[datetime, datetime]
 Builder = Callable[[DataFrame, str], DataFrame]
 
 # Longest range each level serves; the coarsest level serves everything longer.
@@ -51,14 +51,27 @@ def merge_ranges(ranges: Sequence[Range]) -> list[Range]:
 
 def without(ranges: Sequence[Range], start: datetime, end: datetime) -> list[Range]:
     """What of ``[start, end)`` is in none of the sorted, disjoint ranges."""
-    out, at = [], start
-    for low, high in ranges:
-        if low >= end:
-            break
-        if low > at:
-            out.append((at, low))
-        at = max(at, high)
-    return [*out, (at, end)] if at < end else out
+    return outside([(start, end)], ranges)
+
+
+def common(a: Sequence[Range], b: Sequence[Range]) -> list[Range]:
+    """What lies in both of two lists of sorted, disjoint ranges, in one pass over them."""
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        low, high = max(a[i][0], b[j][0]), min(a[i][1], b[j][1])
+        if low < high:
+            out.append((low, high))
+        if a[i][1] <= b[j][1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def outside(a: Sequence[Range], b: Sequence[Range]) -> list[Range]:
+    """What of ``a`` is not in ``b``; both are sorted and disjoint."""
+    gaps = [datetime.min, *(m for r in b for m in r), datetime.max]
+    return common(a, [(low, high) for low, high in zip(gaps[::2], gaps[1::2]) if low < high])
 
 
 @dataclass(frozen=True)
@@ -146,7 +159,7 @@ class CaggChain:
         low = floor_time(first, width) if start is None else ceil_time(start, width)
         high = self._past(last, width) if end is None else floor_time(end, width)
         self._recompute(name, [(low, high)])
-        self._note(name, low, high)
+        self._note(name, [(low, high)])
 
     def _extent(self, name: str) -> tuple[datetime | None, datetime | None]:
         """From where to where there are chunks of the raw table, of a level or of finer ones."""
@@ -192,8 +205,7 @@ class CaggChain:
             )
             first = first or ranges
             self._recompute(level.name, ranges)
-            for low, high in ranges:
-                self._note(level.name, low, high)
+            self._note(level.name, ranges)
             # The last touched instant, not the open end, decides the parent bucket.
             ranges = [(low, shift(high, "1 microsecond", -1)) for low, high in ranges]
         self._mark(seen)
@@ -210,67 +222,38 @@ class CaggChain:
         table = self.table(name)
         source, width = self._source(name), self.config.level(name).width
         touched = table.touched(ranges)
-        if len(ranges) == 1:
-            fresh = self._aggregate(name, source.read_ranges(ranges))
-            kept = table.read(chunks=touched).filter(~table.in_ranges(ranges))
-        else:
-            # One literal bound per range would make a predicate as long as the change
-            # log; the buckets themselves are joined, below chunks named one by one.
-            buckets = self._buckets(ranges, width)
-            rows = source.read(chunks=source.touched(ranges))
-            own = rows.withColumn("_bucket", time_bucket(width, source.time_col))
-            fresh = self._aggregate(name, own.join(buckets, "_bucket", "left_semi").drop("_bucket"))
-            stored_rows = table.read(chunks=touched)
-            kept = stored_rows.join(buckets, stored_rows["bucket"] == buckets["_bucket"], "left_anti")
+        rows = source.read(chunks=source.touched(ranges))
+        fresh = self._aggregate(name, inside(rows, ranges, width, source.time_col))
+        kept = inside(table.read(chunks=touched), ranges, width, "bucket", covered=False)
         table.replace_chunks(kept.unionByName(fresh.select(kept.columns)), touched)
 
-    def _buckets(self, ranges: Sequence[Range], width: str) -> DataFrame:
-        """The starts of all buckets of the ranges, which begin and end with buckets."""
-        spans = self.spark.createDataFrame(list(ranges), "low timestamp_ntz, high timestamp_ntz")
-        last = F.col("high") - F.expr("INTERVAL 1 MICROSECOND")
-        return spans.select(
-            F.explode(F.sequence("low", last, F.expr(f"INTERVAL '{width}'"))).alias("_bucket")
-        )
-
     # -- what is up to date -------------------------------------------------
 
-    def _ranges_path(self, name: str) -> str:
-        return f"{self._marks}__ranges/{name}"
+    def _ranges(self, name: str) -> RangeList:
+        return RangeList(self.spark, f"{self._marks}__ranges/{name}")
 
-    def _note(self, name: str, low: datetime, high: datetime) -> None:
-        """Remember a refreshed range, as far as the finer level was up to date there.
+    def _note(self, name: str, ranges: Sequence[Range]) -> None:
+        """Remember refreshed ranges, as far as the finer level was up to date there.
 
-        Ranges are joined when noted, so the list of them stays short.
+        Ranges are joined when noted, so the list of them stays short. No Spark job is run.
         """
         finer, width = self._finer(name), self.config.level(name).width
-        covered = [(low, high)] if finer is None else self.refreshed(finer.name)
-        new = [(ceil_time(max(a, low), width), floor_time(min(b, high), width)) for a, b in covered if a < high and low < b]
+        ranges = merge_ranges(ranges)
+        covered = ranges if finer is None else common(ranges, self.refreshed(finer.name))
+        new = [(ceil_time(a, width), floor_time(b, width)) for a, b in covered]
         new = [(a, b) for a, b in new if a < b]
         if new:
-            self._write_ranges(name, merge_ranges([*self.refreshed(name), *new]))
+            self._ranges(name).write(merge_ranges([*self.refreshed(name), *new]))
 
     def _note_all(self, name: str) -> None:
         first, last = self._extent(name)
         if first is not None:
             width = self.config.level(name).width
-            self._write_ranges(name, [(floor_time(first, width), self._past(last, width))])
-
-    def _write_ranges(self, name: str, ranges: Sequence[Range]) -> None:
-        number = max((int(n) for n in list_dir(self.spark, self._ranges_path(name))), default=0) + 1
-        rows = self.spark.createDataFrame(list(ranges), "low timestamp_ntz, high timestamp_ntz")
-        rows.coalesce(1).write.parquet(f"{self._ranges_path(name)}/{number}")
-        for old in list_dir(self.spark, self._ranges_path(name)):
-            if int(old) < number:
-                remove_dir(self.spark, f"{self._ranges_path(name)}/{old}")
+            self._ranges(name).write([(floor_time(first, width), self._past(last, width))])
 
     def refreshed(self, name: str) -> list[Range]:
         """Sorted, disjoint ranges of a level that were refreshed."""
-        kept = list_dir(self.spark, self._ranges_path(name))
-        if not kept:
-            return []
-        path = f"{self._ranges_path(name)}/{max(kept, key=int)}"
-        rows = self.spark.read.schema("low timestamp_ntz, high timestamp_ntz").parquet(path)
-        return sorted((r["low"], r["high"]) for r in rows.collect())
+        return self._ranges(name).read()
 
     # -- progress of the change log -----------------------------------------
 
@@ -314,18 +297,28 @@ class CaggChain:
         high = self._past(last, width) if end is None else ceil_time(end, width)
         if low >= high:
             return self.table(name).read(start=low, end=low)
-        done = [(max(a, low), min(b, high)) for a, b in self.refreshed(name) if a < high and low < b]
-        table = self.table(name)
-        parts = [table.read_ranges(done)] if done else []
-        for a, b in without(done, low, high):
-            parts.append(self._aggregate(name, self._finer_rows(name, a, b)))
-        return reduce(DataFrame.unionByName, parts)
+        return self._live(name, [(low, high)])
 
-    def _finer_rows(self, name: str, start: datetime, end: datetime) -> DataFrame:
-        finer = self._finer(name)
-        if finer is None:
-            return self.raw.read(start=start, end=end)
-        return self.realtime(finer.name, start, end)
+    def _live(self, name: str, wanted: Sequence[Range]) -> DataFrame:
+        """Buckets of the wanted ranges: those refreshed as stored, all others from the finer level.
+
+        Two branches a level, however many gaps there are: each takes all of its ranges at once
+        and reads the chunks they touch.
+        """
+        width, table = self.config.level(name).width, self.table(name)
+        refreshed = self.refreshed(name)
+        done, gaps = common(wanted, refreshed), outside(wanted, refreshed)
+        parts = []
+        if done:
+            parts.append(inside(table.read(chunks=table.touched(done)), done, width, "bucket"))
+        if gaps:
+            finer = self._finer(name)
+            if finer is None:
+                rows = inside(self.raw.read(chunks=self.raw.touched(gaps)), gaps, width, self.raw.time_col)
+            else:
+                rows = self._live(finer.name, gaps)
+            parts.append(self._aggregate(name, rows))
+        return reduce(DataFrame.unionByName, parts)
 
     def register_views(self, live: bool = True, prefix: str = "") -> list[str]:
         """A named view per level, such as ``ticks_1h``; returns the names."""
