@@ -14,10 +14,15 @@ import time
 
 from pyspark.sql import functions as F
 
+from tideline.config import SWAPS
+from tideline.functions.buckets import floor_time, shift
+from tideline.functions.scalars import latest_time
 from tideline.operators import lastprice, pairs
 from tideline.operators.candles import candles, rollup_candles
-from tideline.session import build_session, stored
+from tideline.plans.books import DatedBooks
+from tideline.session import build_session, fresh_path, stored
 from tideline.sources import bound
+from tideline.sources.store import ChunkTable
 from tideline.workload.queries import QUERIES
 
 HEADLINE = [
@@ -80,6 +85,14 @@ def shapes(spark, root):
     out["pair_ticks_870_pairs"] = lambda: pairs.pair_ticks(thirty, tracked)
     raw = bound.ticks(spark, root)
     hourly = stored(candles(raw, "1 hour"), "bench-hourly")
+    swaps = bound.swaps(spark, root)
+    folder = fresh_path(spark, "bench-books")
+    table = ChunkTable(spark, f"{folder}/swaps", swaps.schema, "time", SWAPS.series_cols, "1 day").create()
+    table.append(swaps)
+    dated = DatedBooks(table, f"{folder}/books", every=10)
+    newest = floor_time(latest_time(swaps), "1 day")
+    dated.close(newest.date())
+    out["swap_pnl_from_dated_books"] = lambda: dated.pnl(shift(newest, "2 days", -1))
     out["candles_1d_from_raw"] = lambda: candles(raw, "1 day")
     out["candles_1d_from_stored_1h"] = lambda: rollup_candles(hourly, "1 day")
     return out

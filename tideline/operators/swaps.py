@@ -89,20 +89,30 @@ def swap_pnl(swaps: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return scan.frame().select(*PNL_COLUMNS)
 
 
-def close_books(pnl: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+BOOK_SCHEMA = (
+    f"wallet_address string, token_address string, c_in {TOTAL}, c_out {TOTAL}, c_usd {TOTAL}, c_pnl double, c_rows bigint"
+)
+
+
+def close_books(
+    pnl: DataFrame, previous: DataFrame | None = None, by: tuple[str, ...] = KEYS
+) -> DataFrame:
     """Carry-in for later rows: totals per wallet and token over finished PnL rows."""
-    totals = pnl.groupBy(*KEYS).agg(
+    totals = pnl.groupBy(*by).agg(
         total(F.sum(amount("token_in"))).alias("c_in"),
         total(F.sum(amount("token_out"))).alias("c_out"),
         total(F.sum(amount("usd_in"))).alias("c_usd"),
         F.sum("realized_pnl").alias("c_pnl"),
         F.count("*").alias("c_rows"),
     )
-    if previous is None:
-        return totals
+    return totals if previous is None else add_books(previous.unionByName(totals))
+
+
+def add_books(books: DataFrame) -> DataFrame:
+    """Totals per wallet and token of several sets of totals."""
     names = ("c_in", "c_out", "c_usd", "c_pnl", "c_rows")
     exact = ("c_in", "c_out", "c_usd")
-    return previous.unionByName(totals).groupBy(*KEYS).agg(
+    return books.groupBy(*KEYS).agg(
         *((total(F.sum(n)) if n in exact else F.sum(n)).alias(n) for n in names)
     )
 
@@ -156,10 +166,10 @@ ACTIVITY = (
 
 def swap_activity(swaps: DataFrame, width: str = "1 hour") -> DataFrame:
     return swaps.groupBy(time_bucket(width, "time").alias("bucket"), *KEYS).agg(
-        F.sum("usd_in").alias("total_usd_in"),
-        F.sum("usd_out").alias("total_usd_out"),
-        F.sum("token_in").alias("total_token_in"),
-        F.sum("token_out").alias("total_token_out"),
+        total(F.sum(amount("usd_in"))).alias("total_usd_in"),
+        total(F.sum(amount("usd_out"))).alias("total_usd_out"),
+        total(F.sum(amount("token_in"))).alias("total_token_in"),
+        total(F.sum(amount("token_out"))).alias("total_token_out"),
         F.count("*").alias("swap_count"),
         F.count_if(F.col("token_out") > 0).alias("sell_count"),
         F.count_if(F.col("token_in") > 0).alias("buy_count"),
@@ -170,17 +180,17 @@ def rollup_swap_activity(activity: DataFrame, width: str) -> DataFrame:
     return (
         activity.withColumn("_parent", time_bucket(width, "bucket"))
         .groupBy(F.col("_parent").alias("bucket"), *KEYS)
-        .agg(*(F.sum(n).alias(n) for n in ACTIVITY))
+        .agg(*((total(F.sum(n)) if n.startswith("total_") else F.sum(n)).alias(n) for n in ACTIVITY))
     )
 
 
 def daily_volume(swaps: DataFrame) -> DataFrame:
     return swaps.groupBy(time_bucket("1 day", "time").alias("day"), "token_address").agg(
-        F.sum("usd_in").alias("buy_volume_usd"),
-        F.sum("usd_out").alias("sell_volume_usd"),
-        (F.sum("usd_in") + F.sum("usd_out")).alias("total_volume_usd"),
-        F.sum("token_in").alias("buy_volume_token"),
-        F.sum("token_out").alias("sell_volume_token"),
+        total(F.sum(amount("usd_in"))).alias("buy_volume_usd"),
+        total(F.sum(amount("usd_out"))).alias("sell_volume_usd"),
+        total(F.sum(amount("usd_in") + amount("usd_out"))).alias("total_volume_usd"),
+        total(F.sum(amount("token_in"))).alias("buy_volume_token"),
+        total(F.sum(amount("token_out"))).alias("sell_volume_token"),
     )
 
 

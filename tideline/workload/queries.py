@@ -25,7 +25,7 @@ from tideline.operators import (
     swaps,
 )
 from tideline.functions.scalars import latest_time, round_half_up
-from tideline.plans import cagg, nearest, reports
+from tideline.plans import books, cagg, nearest, reports
 from tideline.plans.stages import stored_levels
 from tideline.session import fresh_path, stored
 from tideline.sources import bound
@@ -645,10 +645,24 @@ def swap_fifo_incremental(spark, root):
     rows = bound.swaps(spark, root)
     cut = floor_time(shift(latest_time(rows), "3 days", -1), "1 day")
     moment = F.lit(cut).cast("timestamp_ntz")
-    books = stored(
+    totals = stored(
         swaps.close_books(swaps.swap_pnl(rows.filter(F.col("time") < moment))), "books"
     )
-    return rounded(swaps.swap_pnl_from_books(rows.filter(F.col("time") >= moment), books))
+    return rounded(swaps.swap_pnl_from_books(rows.filter(F.col("time") >= moment), totals))
+
+
+@query
+def swap_pnl_dated_books(spark, root):
+    """PnL of two days in the past, from the books at their start; nothing older is read."""
+    folder = fresh_path(spark, "dated")
+    rows = bound.swaps(spark, root)
+    table = ChunkTable(spark, f"{folder}/swaps", rows.schema, "time", SWAPS.series_cols, "1 day").create()
+    table.append(rows)
+    dated = books.DatedBooks(table, f"{folder}/books", every=10)
+    newest = floor_time(latest_time(rows), "1 day")
+    dated.close(newest.date())
+    start = shift(newest, "9 days", -1) + timedelta(hours=5)
+    return rounded(dated.pnl(start, shift(start, "2 days")))
 
 
 @query
