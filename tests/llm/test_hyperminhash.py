@@ -123,3 +123,23 @@ def test_small_sets_are_verified_whatever_their_estimate(spark):
     sizes = np.array([len(s) for s in sets])
     assert (H.estimate(regs[0::2], regs[1::2], sizes[0::2], sizes[1::2]) < H.PERCENT / 100 - H.MARGIN).all()
     assert result(docs_of(spark, texts)) == brute(list(enumerate(texts)))
+
+
+def test_copies_of_copies_of_long_texts(spark):
+    """Sets of 300 to 2000 shingles around the threshold, so that registers rule out and bands decide."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    texts = []
+    for length, each in ((320, 40), (700, 25), (2000, 10)):
+        group = [[word() for _ in range(length)]]
+        for _ in range(each):
+            copy = list(rng.choice(group[:1] if rng.random() < 0.5 else group))
+            for _ in range(rng.randrange(0, length // 16)):
+                at = rng.randrange(len(copy))
+                copy[at : at + 1] = rng.choice(([word()], [], [word(), copy[at]]))
+            group.append(copy)
+        texts += [" ".join(t) for t in group]
+    rng.shuffle(texts)
+    want = brute(list(enumerate(texts)))
+    assert 3 < len({c for _, _, c in want}) < len(texts)
+    assert result(docs_of(spark, texts)) == want

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
-#: Strings that steer this or other chat templates; none of them survives inside a text.
+#: Strings that mark turns in this format or in others; none of them survives inside a text.
 CONTROLS = (START, MIDDLE, END, "<|startoftext|>", "<|endoftext|>", "<s>", "</s>", "<unk>", "[INST]", "[/INST]")
 _RESTS = "|".join(c[1:].replace("|", r"\|").replace("]", r"\]") for c in CONTROLS)
 

@@ -10,10 +10,10 @@ smaller than the number of registers share buckets unevenly and are verified at
 Pairs within a bucket are not listed. Texts with equal sets are one node. First each node
 is checked against one centre: the node of a bucket they share that has most company in all
 its buckets, as the original of many copies has; links found make components. What remains
-are pairs of nodes in one bucket but in different components: only those can still join
-anything, and all of them are checked that a bound allows: shingles that no other such node
-has are in no intersection. In a group of copies with edits of their own that leaves little
-but true links.
+are nodes of buckets with several components: only those can still join anything. They are
+compared where they share one of their rarest shingles, as far as the bound of a link goes.
+Copies with too many edits of their own have nothing else among their rarest shingles and
+meet nobody, so the work doesn't grow with the square of a group.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tideline.llm.arrays import packed, unpacked
 from tideline.llm.common import join_keys, keyed, slices, text_key, text_of
 from tideline.llm.graph import components
+from tideline.llm.setjoin import listed
 from tideline.llm.textbytes import shingle_sets
 from tideline.session import stored
 
@@ -39,9 +40,6 @@ ROWS, BANDS = 4, 48
 PERCENT = 75
 #: Five standard deviations of an estimate from 256 registers at 0.75 (3e-7 beyond).
 MARGIN = 0.136
-#: Registers of a pair of similarity 0.75 that may differ in their two lowest bits: 48
-#: expected, and five and a half deviations.
-DIFFERENT = 85
 
 
 @cache
@@ -128,18 +126,6 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, n, low0 to low3, high0 to high3): the lowest and second bit of all registers."""
-    for batch in batches:
-        if batch.num_rows:
-            regs = _register_rows(batch.column("registers"))
-            bits = [np.packbits((regs >> k & 1).astype(np.uint8), axis=1).view(np.int64) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("n"), *(pa.array(b[:, k].copy()) for b in bits for k in range(4))],
-                ["id", "n", *(f"{name}{k}" for name in ("low", "high") for k in range(4))],
-            )
-
-
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -218,13 +204,23 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(ids)], ["shingle", "id"])
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """Rows (id, own): how many shingles of a node none of the others has."""
-    alone = (
-        sets.mapInArrow(_shingle_rows, "shingle long, id long").groupBy("shingle")
-        .agg(F.count(F.lit(1)).alias("nodes"), F.min("id").alias("id")).filter("nodes = 1")
-    )
-    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+def _lists(sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Stored rows (name, id, n, scans): inverted lists of the rarest shingles, by size class of the smaller set.
+
+    Shingles are ordered by how many of these sets have them, rarest first. Linked sets of n and m
+    shingles share one among their first n - o + 1 and m - o + 1, where o is the least overlap of a
+    link, so of any such pair the smaller set stands in a list that the larger one scans.
+    """
+    rows = sets.mapInArrow(_shingle_rows, "shingle long, id long")
+    counts = stored(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "open-counts")
+    place = F.struct("sets", F.col("shingle").alias("element"))
+    shared = rows.join(counts, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(place)).alias("shared"))
+    begins = shared.join(sizes, "id").filter(100 * F.size("shared") >= PERCENT * F.col("n"))
+    alone = F.col("n") - F.size("shared")
+    longest = F.col("n") - F.ceil(F.lit(PERCENT) * F.col("n") / 100) + 1 - F.col("alone")
+    begins = begins.withColumn("alone", alone).withColumn("shared", F.slice("shared", F.lit(1), F.greatest(longest, F.lit(0)).cast("int")))
+    lists = begins.select("id", "n", "alone", "shared").mapInArrow(listed(0, PERCENT, 1), "name long, id long, n long, scans boolean")
+    return stored(lists, "open-lists")
 
 
 def _compared(pairs: DataFrame, nodes: Nodes, name: str, sets: DataFrame | None = None) -> DataFrame:
@@ -283,36 +279,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = crowded.select("band", "id").join(names, F.col("id") == names["node"], "left")
     members = stored(members.select("band", "id", name_of("id").alias("name")), "members")
     mixed = members.groupBy("band").agg((F.min("name") != F.max("name")).alias("mixed")).filter("mixed")
-    open_ = members.join(mixed.select("band"), "band", "left_semi")
-    bits = ", ".join(f"{name}{k} long" for name in ("low", "high") for k in range(4))
-    # A node's reference is the centre it was compared with: ``inside`` of its shingles are there.
-    reference = starred.select(F.col("b").alias("id"), F.col("a").alias("reference"), F.col("both").alias("inside"))
-    open_ids = stored(open_.select("id").distinct(), "open-nodes")
-    referred = open_ids.join(reference, "id").select(F.col("reference").alias("id"))
-    open_sets = nodes.sets(open_ids.unionByName(referred).distinct())
-    sketched = nodes.table.join(open_sets.select("id"), "id", "left_semi").mapInArrow(_with_bits, f"id long, n long, {bits}")
-    open_ = open_.join(sketched, "id").join(reference, "id", "left").join(_own_shingles(open_sets), "id", "left").fillna(0, ["own"])
-    open_ = stored(open_.withColumn("common", F.col("n") - F.col("own")), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-
-    def differ(k: int):
-        low, high = (F.col(f"x.{b}{k}").bitwiseXOR(F.col(f"y.{b}{k}")) for b in ("low", "high"))
-        return F.bit_count(low.bitwiseOR(high))
-
-    # No more than ``common`` shingles of a node are in the intersection. Of two with one
-    # reference, no more than the fewer inside it and the fewer shared ones outside it.
-    apart_of = F.least(*(F.col(f"{t}.common") - F.col(f"{t}.inside") for t in "xy"))
-    most = F.when(
-        F.col("x.reference") == F.col("y.reference"), F.least(F.col("x.inside"), F.col("y.inside")) + apart_of
-    ).otherwise(F.lit(1 << 60))
-    least = F.least(F.col("x.common"), F.col("y.common"), most)
-    can_link = (
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.name") < F.col("y.name"))
-        & (100 * F.col("x.n") >= PERCENT * F.col("y.n")) & (100 * F.col("y.n") >= PERCENT * F.col("x.n"))
-        & (100 * least >= PERCENT * (F.col("x.n") + F.col("y.n") - least))
-        & ((F.least("x.n", "y.n") < REGISTERS) | (differ(0) + differ(1) + differ(2) + differ(3) <= DIFFERENT))
-    )
-    rest = x.join(y, can_link).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    open_ = stored(members.join(mixed.select("band"), "band", "left_semi").select("id", "name").distinct(), "open")
+    open_sets = nodes.sets(open_.select("id"))
+    # Sets of different components that share one of their rarest shingles, the smaller one standing in its list.
+    lists = _lists(open_sets, nodes.table.select("id", "n")).withColumnRenamed("name", "list").join(open_, "id")
+    several = lists.groupBy("list").agg((F.min("name") != F.max("name")).alias("several")).filter("several").select("list")
+    lists = stored(lists.join(several, "list", "left_semi"), "lists")
+    x, y = lists.filter("NOT scans").alias("x"), lists.filter("scans").alias("y")
+    due = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.name") != F.col("y.name")) & (F.col("x.n") <= F.col("y.n")))
+    rest = due.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     tried = stars.unionByName(others)
     tried = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = _compared(stored(rest.join(tried, ["a", "b"], "left_anti"), "rest"), nodes, "rest", open_sets)

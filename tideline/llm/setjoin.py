@@ -200,7 +200,7 @@ def _names(elements: np.ndarray, number: int, subset: int) -> np.ndarray:
     return name
 
 
-def _listed(first_heavy: int, percent: int, subset: int):
+def listed(first_heavy: int, percent: int, subset: int):
     """Rows (name, id, n, scans): the lists that a set stands in, and those that it scans."""
     light_end = least_partner(least_of(first_heavy), percent)
 
@@ -292,7 +292,7 @@ def links(nodes: DataFrame, texts: DataFrame, words: int = WORDS, percent: int =
     # One row per size class: about STEPS for each doubling of the largest set.
     per_class = costs.groupBy("class").agg(F.sum("light").alias("light"), F.sum("heavy").alias("heavy")).collect()
     first_heavy = boundary([tuple(r) for r in per_class])
-    rows = stored(begins.mapInArrow(_listed(first_heavy, percent, subset), "name long, id long, n long, scans boolean"), "listed")
+    rows = stored(begins.mapInArrow(listed(first_heavy, percent, subset), "name long, id long, n long, scans boolean"), "listed")
     company = rows.groupBy("name").agg(
         F.count(F.lit(1)).alias("members"), F.min("id").alias("least"), F.max("id").alias("most"), F.bool_and("scans").alias("only_scans")
     ).filter("least < most AND NOT only_scans")
