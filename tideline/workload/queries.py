@@ -31,7 +31,7 @@ from tideline.session import fresh_path, stored
 from tideline.sources import bound
 from tideline.sources.store import ChunkTable
 from tideline.sources.trades import as_trade_messages, parse_trades
-from tideline.streaming import prices, runs
+from tideline.streaming import deltas, prices, runs
 from tideline.streaming.candles import stream_candle_rollup, stream_candles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -860,6 +860,19 @@ def stream_rollup(spark, root):
     return _candles_of(_run_to_table(stream_candle_rollup(_tick_stream(spark, root)), "rollup"))
 
 
+@query
+def stream_upsert(spark, root):
+    """Hourly candles of a stream whose batches overlap in time: no tick is too late."""
+    folder = fresh_path(spark, "deltas")
+    ticks = bound.ticks(spark, root)
+    # A file per micro-batch, each with ticks of the whole time.
+    ticks.repartition(4, "tick_id").write.parquet(f"{folder}/in")
+    levels = deltas.DeltaLevels(spark, f"{folder}/levels", TICKS, ticks.schema, fold_every=3, most_files=1).create()
+    stream = runs.parquet_stream(spark, f"{folder}/in", ticks.schema, files_per_batch=1)
+    runs.each_batch_available(stream, levels.add, f"{folder}/progress")
+    return _candles_of(levels.read("1h"))
+
+
 def _seeds(spark: SparkSession, root: str) -> DataFrame:
     return lastprice.symbol_names(bound.ticks(spark, root)).select(
         "symbol",
