@@ -12,7 +12,7 @@ from tideline.functions.buckets import floor_time, shift
 from tideline.operators.candles import candles
 from tideline.operators.ranges import bucket_counts
 from tideline.operators.stats import stats, stats_values
-from tideline.plans import cagg, coverage
+from tideline.plans import cagg, coverage, reports
 from tideline.sources.store import ChunkTable
 
 
@@ -312,3 +312,33 @@ def test_noting_ranges_runs_no_job(spark, folder):
     assert chain.refreshed("1h") == []
     assert list(tracker.getJobIdsForGroup("noting")) == []
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_reports_from_stored_levels(spark, folder):
+    rows = [(1440 * d + 7 * k, "AB"[k % 2], d + k, 1) for d in range(30) for k in range(9)]
+    ticks = make_ticks(spark, rows)
+    chain = tick_chain(spark, folder, ticks)
+    assert reports.watch_stored(cagg.candle_chain(tick_table(spark, f"{folder}/none"), TICKS, f"{folder}/none").define()) is None
+    chain.refresh_window("1m", None, minutes(1440 * 20))
+    levels = [candles(ticks, lv.width) for lv in TICKS.levels]
+    # Refreshed in part, and then in full.
+    for _ in range(2):
+        for symbol in (None, "B"):
+            own = [lv if symbol is None else lv.filter(F.col("symbol") == symbol) for lv in levels]
+            assert plain(reports.watch_stored(chain, symbol)) == plain(reports.watch_ohlcv(*own)) != []
+        chain.refresh_full()
+    scans = [line for line in plan_of(reports.watch_stored(chain)).splitlines() if "PartitionFilters" in line]
+    assert len(scans) == 3 and all("chunk#" in line for line in scans)
+    assert not any("/ticks]" in line for line in plan_of(reports.watch_stored(chain)).splitlines() if "Location" in line)
+
+
+def test_averages_from_stored_levels(spark, folder):
+    samples = random_ticks(spark).selectExpr("time", "symbol as device_id", "price as value")
+    raw = ChunkTable(spark, f"{folder}/sample", samples.schema, series_cols=("device_id",), chunk_interval="1 week").create()
+    chain = cagg.stats_chain(raw, SAMPLES, folder).define()
+    assert reports.averages_stored(chain) is None
+    raw.append(samples)
+    chain.refresh_full()
+    levels = [stats(samples, lv.width) for lv in SAMPLES.levels]
+    as_of = levels[0].agg(F.max("bucket")).first()[0]
+    assert plain(reports.averages_stored(chain)) == plain(reports.level_averages(*levels, as_of))

@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.buckets import time_bucket
+from tideline.functions.buckets import floor_time, shift, time_bucket
 from tideline.functions.scalars import ratio
 from tideline.operators.ranges import recent
+from tideline.plans.cagg import CaggChain
+from tideline.plans.nearest import newest_rows
 
 PRICES = ("high", "low", "open", "close")
 
@@ -99,3 +101,29 @@ def level_averages(
         )
     out = out.select("time", "device_id", "avg_1m", "avg_1h", "avg_1d", "avg_mon")
     return out if n is None else out.orderBy(F.col("time").desc(), "device_id").limit(n)
+
+
+def watch_stored(chain: CaggChain, symbol: str | None = None) -> DataFrame | None:
+    """``watch_ohlcv`` from the stored levels of a chain, live where they aren't refreshed.
+
+    Each level is read from its bucket of the newest tick on, so the report opens the newest chunks
+    only. ``symbol`` takes one symbol's newest tick instead; None if there is no tick.
+    """
+    own = None if symbol is None else F.col("symbol") == symbol
+    newest = newest_rows(chain.raw, 1, own).first()
+    if newest is None:
+        return None
+    moment = newest[chain.raw.time_col]
+    levels = [chain.realtime(lv.name, floor_time(moment, lv.width)) for lv in chain.config.levels]
+    return watch_ohlcv(*(level if own is None else level.filter(own) for level in levels))
+
+
+def averages_stored(chain: CaggChain, width: str = "1 month", n: int | None = 10) -> DataFrame | None:
+    """``level_averages`` of the last ``width`` before the newest minute, from the levels of a chain."""
+    latest = chain.raw.latest()
+    if latest is None:
+        return None
+    as_of = floor_time(latest, chain.config.levels[0].width)
+    start = shift(as_of, width, -1)
+    levels = [chain.realtime(lv.name, floor_time(start, lv.width)) for lv in chain.config.levels]
+    return level_averages(*levels, as_of, width, n)

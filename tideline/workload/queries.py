@@ -805,6 +805,22 @@ def realtime_view(spark, root):
     return _candles_of(_partly_refreshed(spark, root, "realtime").realtime("1d"))
 
 
+@query
+def watch_ohlcv_stored(spark, root):
+    """The watch report from stored levels and, behind them, live ones."""
+    chain = _partly_refreshed(spark, root, "watch")
+    symbol = nearest.newest_rows(chain.raw, 1, tiebreak=["tick_id"]).first()["symbol"]
+    return reports.watch_stored(chain, symbol)
+
+
+@query
+def query_all_caggs_stored(spark, root):
+    chain = _sample_chain(spark, root, "averages")
+    chain.raw.append(bound.samples(spark, root))
+    chain.refresh_full()
+    return rounded(reports.averages_stored(chain))
+
+
 @query
 def materialized_view(spark, root):
     return _candles_of(_partly_refreshed(spark, root, "materialized").materialized("1h"))
