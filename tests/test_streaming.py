@@ -11,9 +11,10 @@ from tideline.operators import candles as c
 from tideline.operators import lastprice, pairs
 from tideline.plans import cagg
 from tideline.sources.store import ChunkTable
-from tideline.sources.trades import as_trade_messages, parse_trades
+from tideline.sources.trades import parse_trades
 from tideline.streaming import prices, runs
 from tideline.streaming.candles import stream_candle_rollup, stream_candles
+from tideline.workload.messages import as_trade_messages
 
 
 def in_time_order(spark, ticks, folder, files=4):
@@ -70,6 +71,16 @@ def test_streams_read_tables_of_one_file_and_of_many(spark, folder):
     assert got[0] == got[1] and got[0]
 
 
+def test_equal_times_in_a_batch_go_by_the_tiebreak(spark, folder):
+    seeds = spark.createDataFrame([("A", None, None)], prices.SYMBOLS_SCHEMA)
+    versions = prices.SymbolVersions(spark, f"{folder}/symbols", seeds)
+    handle = prices.last_price_updater(versions, tiebreak="tick_id")
+    ticks = make_ticks(spark, [(1, "A", 5 + k % 7, 1) for k in range(40)])
+    for parts in (1, 7):
+        handle(ticks.repartition(parts), 0)
+        assert versions.latest().first()["last_price"] == 5 + 39 % 7
+
+
 def tick_tables(spark, folder, schema, **options):
     raw = ChunkTable(spark, f"{folder}/raw", schema, series_cols=("symbol",), **options).create()
     return raw, prices.pair_table(raw, f"{folder}/pairs").create()

@@ -25,25 +25,3 @@ def parse_trades(messages: DataFrame, text: str = "value") -> DataFrame:
         F.col("d.p").alias("price"),
         F.col("d.v").alias("volume"),
     )
-
-
-def as_trade_messages(ticks: DataFrame, exchange: str = "SIM") -> DataFrame:
-    """One single-trade JSON message per tick, the inverse of ``parse_trades``."""
-    millis = F.floor(
-        F.timestamp_diff(
-            "MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("time")
-        )
-        / F.lit(1000)
-    )
-    trade = F.struct(
-        F.lit(None).cast("string").alias("c"),
-        F.col("price").alias("p"),
-        F.concat(F.lit(f"{exchange}:"), "symbol").alias("s"),
-        millis.alias("t"),
-        F.col("volume").alias("v"),
-    )
-    return ticks.select(
-        F.to_json(F.struct(F.lit("trade").alias("type"), F.array(trade).alias("data"))).alias(
-            "value"
-        )
-    )

@@ -66,13 +66,17 @@ class SymbolVersions:
 
 
 def last_price_updater(
-    versions: SymbolVersions, seeded_only: bool = True
+    versions: SymbolVersions, seeded_only: bool = True, tiebreak: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """A batch handler that keeps the symbol table current; the newest time wins."""
+    """A batch handler that keeps the symbol table current; the newest time wins.
+
+    Of a batch's ticks of one time the greatest ``tiebreak`` wins, so a batch that runs again
+    stores the same price; without one it may be any of them.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         known = versions.before(batch_id)
-        versions.save(batch_id, merge_last_prices(known, batch, seeded_only))
+        versions.save(batch_id, merge_last_prices(known, batch, seeded_only, tiebreak))
 
     return handle
 

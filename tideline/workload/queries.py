@@ -30,9 +30,10 @@ from tideline.plans.stages import stored_levels
 from tideline.session import fresh_path, stored
 from tideline.sources import bound
 from tideline.sources.store import ChunkTable
-from tideline.sources.trades import as_trade_messages, parse_trades
+from tideline.sources.trades import parse_trades
 from tideline.streaming import deltas, prices, runs
 from tideline.streaming.candles import stream_candle_rollup, stream_candles
+from tideline.workload.messages import as_trade_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -902,7 +903,7 @@ def stream_last_price(spark, root):
     folder = fresh_path(spark, "lastprice")
     versions = prices.SymbolVersions(spark, f"{folder}/symbols", _seeds(spark, root))
     runs.each_batch_available(
-        _tick_stream(spark, root), prices.last_price_updater(versions), f"{folder}/progress"
+        _tick_stream(spark, root), prices.last_price_updater(versions, tiebreak="tick_id"), f"{folder}/progress"
     )
     return versions.latest()
 
