@@ -1,5 +1,9 @@
 import hashlib
 import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import awkward, docs_of
 from tideline.llm import runindex as R
@@ -88,3 +92,58 @@ def test_texts_longer_than_a_place_are_cut_into_pieces(monkeypatch):
 def test_digest_of_kept_bytes(spark):
     got = result(docs_of(spark, ["z" * 10]))
     assert hashlib.sha256(got[0][1][3]).hexdigest() == hashlib.sha256(b"z" * 10).hexdigest()
+
+
+def test_matching_statistics_are_those_of_the_row_above():
+    rng = random.Random(4)
+    base = bytes(rng.choices(b"ab\0\xff", k=400))
+    contexts = []
+    for _ in range(40):
+        at = rng.randrange(200)
+        c = bytearray(base[at : at + rng.randrange(100, 180)])
+        c[rng.randrange(len(c))] = rng.choice(b"ab\0\xff")
+        contexts.append(bytes(c))
+    index = R.RunIndex(contexts)
+    assert len(index.starts) < sum(map(len, contexts)) / 2  # runs are fewer than rows
+    got = {}
+    for which, offset, rows, matched in index.stream():
+        got |= {r: (contexts[c][o:], m) for c, o, r, m in zip(which.tolist(), offset.tolist(), rows.tolist(), matched.tolist())}
+    ordered = [got[r] for r in sorted(got)]
+    for (above, _), (own, matched) in zip(ordered, ordered[1:]):
+        shared = next((k for k, (x, y) in enumerate(zip(above, own)) if x != y), min(len(above), len(own)))
+        assert (matched >= 100) == (shared >= 100)
+
+
+def test_zero_bytes_and_many_differing_contexts(spark):
+    rng = random.Random(9)
+    line = "".join(rng.choices("abcdefgh", k=130))
+    rows = [(i, f"{chr(97 + i % 20) * rng.randrange(3, 40)}\0{line}{chr(97 + i % 7)}\0{line[::-1]}", "en", "s") for i in range(120)]
+    check(spark, rows)
+    check(spark, rows, hot=50)
+
+
+def test_memory_of_a_long_text_is_bounded():
+    text = np.random.default_rng(1).integers(97, 123, 16 << 20).astype(np.uint8).tobytes()
+    tracemalloc.start()
+    R.anchors([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
+def test_a_task_holds_one_deal_at_a_time(monkeypatch):
+    sizes = []
+    settled = R._settled
+    monkeypatch.setattr(R, "_settled", lambda held: sizes.append(sum(len(h[0]) + 1 for h in held)) or settled(held))
+    monkeypatch.setattr(R, "INDEX_BYTES", 2000)
+    rng = random.Random(2)
+    batches = []
+    for deal in range(50):
+        shared = bytes(rng.choices(b"abc", k=100))
+        cut = sorted(bytes(rng.choices(b"abc", k=20)) + shared + bytes(rng.choices(b"abc", k=20)) for _ in range(5))
+        rows = {"deal": [deal] * 5, "context": cut, "doc_id": list(range(5)), "text_key": [0] * 5, "start": [1000 * deal] * 5, "end": [1000 * deal + 140] * 5}
+        batches.append(pa.RecordBatch.from_arrays([pa.array(rows[c], pa.binary() if c == "context" else pa.int64()) for c in rows], list(rows)))
+    found = [r for b in R._mark(iter(batches)) for r in b.to_pylist()]
+    assert len(sizes) > 15 and max(sizes) <= 2000
+    # Of each deal's five contexts the first document's keeps the passage.
+    assert len(found) == 200 and {r["doc_id"] for r in found} == {1, 2, 3, 4}

@@ -113,6 +113,16 @@ def join_keys(rows: DataFrame, keys: DataFrame, how: str, size: int | None = Non
     return found if how in ("left_semi", "left_anti") else found.drop(keys["doc_id"], keys["text_key"])
 
 
+def give_back() -> None:
+    """Return the memory that this worker no longer uses."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # only the GNU C library gives memory back this way
+
+
 _held: dict[Any, Any] = {}
 
 
@@ -124,10 +134,6 @@ def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     """
     if key not in _held:
         _held.clear()
-        gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass  # only the GNU C library gives memory back this way
+        give_back()
         _held[key] = make()
     return _held[key]

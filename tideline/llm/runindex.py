@@ -8,9 +8,11 @@ select equal grams, the anchors. Three passes over the texts, none of which shuf
 2. Around each repeated anchor a context is cut out: all strings that select it. Equal
    contexts are merged, in a task before the shuffle and after it by anchor; all but the
    first are repeats. Contexts that differ are indexed: a run-length compressed
-   Burrows-Wheeler transform with samples at run ends. Streaming a context through it
-   from its end gives, per place, its row among the sorted suffixes; rows that share 100
-   bytes stand together, and each such class knows its earliest place.
+   Burrows-Wheeler transform with the places of its run ends. Streaming a context through
+   it from its end gives, per place, its row among the sorted suffixes and how many bytes
+   match the row above: one more with each byte read inside a run, and at a run's first
+   row what the places sampled there say. Rows that match in 100 bytes are one string,
+   and all but its earliest place are repeats.
 3. Texts are read once more and cut by the spans found, which workers map into memory.
 """
 
@@ -25,26 +27,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import Sharded, added, load, mix, packed, save, shard_of, shared_folder, unpacked
-from tideline.llm.common import shuffle_parts, slices, text_of, worker_state
+from tideline.llm.common import give_back, shuffle_parts, slices, text_of, worker_state
 from tideline.llm.textbytes import powers
 
 LENGTH, GRAM = 100, 32
-PLACE_BITS = 24
+#: Texts are searched for anchors in pieces of less than 2 to this many bytes.
+PLACE_BITS = 20
 #: Bytes of texts hashed at once: as much as stays in a processor's cache.
 GROUP_BYTES = 1 << 17
 #: Bytes of contexts indexed at once, unless one anchor has more.
 INDEX_BYTES = 1 << 20
 #: Anchors with more occurrences are dealt out string by string instead of by anchor.
-HOT = 1 << 16
+HOT = 1 << 13
 #: Entries a task adds up before it passes them on.
-HELD = 1 << 22
+HELD = 1 << 21
 _VALUES = mix(np.arange(1000, 1256, dtype=np.uint64))
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of strings that select one anchor: text number, first and last start, hash.
 
-    Of grams whose hashes share the first 40 bits the leftmost wins, so the choice
+    Of grams whose hashes share the first 44 bits the leftmost wins, so the choice
     depends on the string alone.
     """
     found = []
@@ -119,6 +122,8 @@ def _count_anchors(shards: int):
                 held, size = [], 0
         if held:
             yield from flush()
+        held.clear()
+        give_back()
 
     return run
 
@@ -183,11 +188,20 @@ def _contexts(folder: str, shards: int, hot: int):
                 if earlier != i:
                     use[i] = places[earlier] != places[i]
                     cut[i], deal[i] = None, keys[i]  # nothing to compare, so any task will do
+            stop = last + LENGTH
+            bare = np.flatnonzero(use & np.fromiter((c is None for c in cut), bool, len(cut)))
+            bare = bare[np.lexsort((first[bare], number[bare]))]
+            if len(bare):
+                # Those that touch each other in a text go on as one.
+                new = np.flatnonzero(np.concatenate([[True], (number[bare[1:]] != number[bare[:-1]]) | (first[bare[1:]] > stop[bare[:-1]])]))
+                stop[bare[new]] = stop[bare[np.concatenate([new[1:], [len(bare)]]) - 1]]
+                use[bare] = False
+                use[bare[new]] = True
             for some in np.array_split(np.flatnonzero(use), len(cut) // 20_000 + 1):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(deal[some]), pa.array([cut[i] for i in some.tolist()], pa.binary()),
-                        pa.array(ids[some], mask=absent[some]), pa.array(keys[some]), pa.array(first[some]), pa.array(last[some] + LENGTH),
+                        pa.array(ids[some], mask=absent[some]), pa.array(keys[some]), pa.array(first[some]), pa.array(stop[some]),
                     ],
                     ["deal", "context", "doc_id", "text_key", "start", "end"],
                 )
@@ -195,108 +209,117 @@ def _contexts(folder: str, shards: int, hot: int):
     return run
 
 
-def suffix_ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all suffixes, and equality classes of the strings of LENGTH bytes at each place.
+def suffix_ranks(data: np.ndarray) -> np.ndarray:
+    """Ranks of all suffixes of numbers from 0 to 256.
 
-    The first sort takes five bytes, each later one doubles that; only what is still tied
-    is sorted again. Beyond the end stands something less than all bytes.
+    The first sort takes five of them, each later one doubles that; only what is still
+    tied is sorted again. Beyond the end stands something less than all.
     """
     n = len(data)
     bits = int(n + 2).bit_length()
     padded = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(5, np.uint64)])
     key = np.zeros(n, np.uint64)
     for i in range(5):
-        key = key * np.uint64(257) + padded[i : i + n]
+        key = key * np.uint64(258) + padded[i : i + n]
+    active = np.argsort(key, kind="stable")
+    key = key[active]
+    changed = np.concatenate([[True], key[1:] != key[:-1]])
     rank = np.zeros(n + 1, np.int64)  # ranks from 1; 0 is the end
-    active = np.arange(n)
-    step, classes = 0, None
+    rank[active] = np.maximum.accumulate(np.where(changed, np.arange(n), 0)) + 1
+    step = 5
     while True:
-        if step == 0:
-            order = np.argsort(key, kind="stable") if 41 + bits > 64 else None
-            if order is None:
-                key = key << np.uint64(bits) | active.astype(np.uint64)
-                key.sort()
-                active = (key & np.uint64((1 << bits) - 1)).astype(np.int64)
-                key >>= np.uint64(bits)
-            else:
-                active, key = order, key[order]
-            changed = np.concatenate([[True], key[1:] != key[:-1]])
-            start = np.maximum.accumulate(np.where(changed, np.arange(len(active)), 0))
-            rank[active] = start + 1
-            step = 5
-        else:
-            own, follow = rank[active], rank[np.minimum(active + step, n)]
-            if 3 * bits <= 64:
-                key = (own.astype(np.uint64) << np.uint64(2 * bits)) | (follow.astype(np.uint64) << np.uint64(bits)) | active.astype(np.uint64)
-                key.sort()
-                active = (key & np.uint64((1 << bits) - 1)).astype(np.int64)
-                key >>= np.uint64(bits)
-                own = (key >> np.uint64(bits)).astype(np.int64)
-                changed = np.concatenate([[True], key[1:] != key[:-1]])
-            else:
-                order = np.lexsort((follow, own))
-                active, own, follow = active[order], own[order], follow[order]
-                changed = np.concatenate([[True], (own[1:] != own[:-1]) | (follow[1:] != follow[:-1])])
-            place = np.arange(len(active))
-            fresh = np.concatenate([[True], own[1:] != own[:-1]])
-            start = np.maximum.accumulate(np.where(changed, place, 0))
-            rank[active] = own + start - np.maximum.accumulate(np.where(fresh, place, 0))
-            step *= 2
-        if step == 80:
-            classes = rank[:n].copy() << 32 | np.concatenate([rank[LENGTH - 80 : n], np.zeros(min(n, LENGTH - 80), np.int64)])
         single = changed & np.concatenate([changed[1:], [True]])
         active = active[~single]
         if not len(active):
-            if classes is None:
-                classes = rank[:n].copy()
-            return rank[:n] - 1, classes
+            return rank[:n] - 1
+        own, follow = rank[active], rank[np.minimum(active + step, n)]
+        if 3 * bits <= 64:
+            key = (own.astype(np.uint64) << np.uint64(2 * bits)) | (follow.astype(np.uint64) << np.uint64(bits)) | active.astype(np.uint64)
+            key.sort()
+            active = (key & np.uint64((1 << bits) - 1)).astype(np.int64)
+            key >>= np.uint64(bits)
+            own = (key >> np.uint64(bits)).astype(np.int64)
+            changed = np.concatenate([[True], key[1:] != key[:-1]])
+        else:
+            order = np.lexsort((follow, own))
+            active, own, follow = active[order], own[order], follow[order]
+            changed = np.concatenate([[True], (own[1:] != own[:-1]) | (follow[1:] != follow[:-1])])
+        place = np.arange(len(active))
+        fresh = np.concatenate([[True], own[1:] != own[:-1]])
+        start = np.maximum.accumulate(np.where(changed, place, 0))
+        rank[active] = own + start - np.maximum.accumulate(np.where(fresh, place, 0))
+        step *= 2
 
 
 class RunIndex:
-    """Run-length compressed transform of contexts, with samples at run ends.
+    """Run-length compressed transform of contexts, with the places of its run ends.
 
-    Rows are sorted suffixes of the contexts, each closed by a zero byte. ``bounds`` are
-    the rows where a class of equal strings of LENGTH bytes begins.
+    Rows are sorted suffixes of the contexts, each closed by a number that is no byte.
     """
 
     def __init__(self, contexts: list[bytes]):
-        data = np.frombuffer(b"\0".join([*contexts, b""]), np.uint8)
-        rank, classes = suffix_ranks(data)
+        self.bytes = np.frombuffer(b"\0".join([*contexts, b""]), np.uint8)
+        self.lengths = np.array([len(c) for c in contexts])
+        ends = np.cumsum(self.lengths + 1) - 1
+        data = self.bytes.astype(np.uint16)
+        data[ends] = 256
         n = len(data)
+        rank = suffix_ranks(data)
         places = np.empty(n, np.int64)
         places[rank] = np.arange(n)
+        self.end_rows = rank[ends]
         before = data[places - 1]
         first = places == 0  # the place before the first byte is the end of all
         heads = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | first[1:] | first[:-1]]))
-        self.starts = heads
-        self.chars = before[heads]
-        lengths = np.diff(np.concatenate([heads, [n]]))
-        self.samples = places[np.concatenate([heads[1:], [n]]) - 1]  # text places at run ends
-        # A run maps to consecutive rows: after smaller bytes, and equal ones of earlier
-        # runs. The suffix that starts with the closing byte of all comes first.
-        order = np.lexsort((heads, self.chars, ~first[heads]))
-        to = np.empty(len(heads), np.int64)
-        to[order] = np.cumsum(lengths[order]) - lengths[order]
-        self.to = to
-        new = np.concatenate([[True], classes[places[1:]] != classes[places[:-1]]])
-        self.bounds = np.flatnonzero(new)
-        ends = np.cumsum([len(c) + 1 for c in contexts]) - 1
-        self.end_rows = rank[ends]
-
-    def step(self, rows: np.ndarray) -> np.ndarray:
-        """The rows of the suffixes one byte longer."""
-        run = np.searchsorted(self.starts, rows, "right") - 1
-        return self.to[run] + rows - self.starts[run]
-
-    def stream(self, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """From the end of each context: how many bytes were read, and the class at the place."""
-        alive, rows, read = np.arange(len(lengths)), self.end_rows, 0
+        tails = np.concatenate([heads[1:], [n]]) - 1
+        self.starts, self.chars = heads, before[heads]
+        self.first_places, self.last_places = places[heads], places[tails]
+        # A run maps to consecutive rows: after smaller numbers, and equal ones of earlier
+        # runs. Of those that close a context the end of all comes first.
+        order = np.lexsort((heads, ~first[heads], self.chars))
+        lengths = tails - heads + 1
+        self.to = np.empty(len(heads), np.int64)
+        self.to[order] = np.cumsum(lengths[order]) - lengths[order]
+        # Above the row that a run's first row leads to stands the one that the last row
+        # of the run before it in this order leads to: both places are sampled.
+        self.match = np.zeros(len(heads), np.int64)
+        same = np.flatnonzero((self.chars[order[1:]] == self.chars[order[:-1]]) & (self.chars[order[1:]] < 256))
+        run, above = order[same + 1], order[same]
+        self.match[run] = 1 + self.common(self.first_places[run], self.last_places[above], ends)
+
+    def common(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How many bytes the contexts at both places share from there on, up to LENGTH."""
+        padded = np.concatenate([self.bytes, np.zeros(LENGTH + 16, np.uint8)])
+        words = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+        shared = np.full(len(a), LENGTH)
+        open_ = np.arange(len(a))
+        for k in range(0, LENGTH, 8):
+            differ = words[a[open_] + k] ^ words[b[open_] + k]
+            found = differ != 0
+            lowest = differ[found] & (~differ[found] + np.uint64(1))
+            shared[open_[found]] = k + np.log2(lowest.astype(np.float64)).astype(np.int64) // 8
+            open_ = open_[~found]
+            if not len(open_):
+                break
+        left = [ends[np.searchsorted(ends, x)] - x for x in (a, b)]
+        return np.minimum(np.minimum(shared, LENGTH), np.minimum(*left))
+
+    def stream(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Matching statistics of the places that begin a string of LENGTH bytes.
+
+        Gives contexts, offsets in them, rows, and how many bytes match the row above.
+        """
+        alive, rows, read = np.arange(len(self.lengths)), self.end_rows, 0
+        matched = np.zeros(len(alive), np.int64)
         while len(alive):
-            rows, read = self.step(rows), read + 1
+            run = np.searchsorted(self.starts, rows, "right") - 1
+            inside = rows - self.starts[run]
+            rows, read = self.to[run] + inside, read + 1
+            matched = np.where(inside > 0, matched + 1, self.match[run])
             if read >= LENGTH:
-                yield read, alive, np.searchsorted(self.bounds, rows, "right") - 1
-            keep = lengths[alive] > read
-            alive, rows = alive[keep], rows[keep]
+                yield alive, self.lengths[alive] - read, rows, matched
+            keep = self.lengths[alive] > read
+            alive, rows, matched = alive[keep], rows[keep], matched[keep]
 
 
 def later_strings(contexts: list[bytes], order: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
@@ -304,18 +327,13 @@ def later_strings(contexts: list[bytes], order: np.ndarray, starts: np.ndarray)
 
     ``order`` numbers the documents of the contexts, ``starts`` are their places in them.
     """
-    index = RunIndex(contexts)
-    lengths = np.array([len(c) for c in contexts])
-    which, offset, classes = [], [], []
-    for read, alive, found in index.stream(lengths):
-        which.append(alive)
-        offset.append(lengths[alive] - read)
-        classes.append(found)
-    which, offset, classes = map(np.concatenate, (which, offset, classes))
+    which, offset, rows, matched = map(np.concatenate, zip(*RunIndex(contexts).stream()))
+    by = np.argsort(rows)
+    which, offset, matched = which[by], offset[by], matched[by]
     place = order[which] << 40 | (starts[which] + offset)
-    earliest = np.full(len(index.bounds), np.iinfo(np.int64).max)
-    np.minimum.at(earliest, classes, place)
-    late = place > earliest[classes]
+    new = np.flatnonzero(matched < LENGTH)  # others are the string of the row above
+    earliest = np.minimum.reduceat(place, new)
+    late = place > np.repeat(earliest, np.diff(np.concatenate([new, [len(place)]])))
     which, offset = which[late], offset[late]
     by = np.lexsort((offset, which))
     which, offset = which[by], offset[by]
@@ -326,56 +344,68 @@ def later_strings(contexts: list[bytes], order: np.ndarray, starts: np.ndarray)
     return list(zip(which[new].tolist(), offset[new].tolist(), offset[last].tolist()))
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans (doc_id, text_key, start, end) that repeat something earlier, from all contexts of a partition."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-    contexts = rows.column("context").to_pylist()
-    deal = np.asarray(rows.column("deal"))
-    absent, ids = np.asarray(rows.column("doc_id").is_null()), np.asarray(rows.column("doc_id").fill_null(0))
-    keys, starts, stops = (np.asarray(rows.column(c)) for c in ("text_key", "start", "end"))
+def _settled(held: list[tuple]) -> Iterator[tuple]:
+    """Spans of strings that repeat something earlier, of contexts (context, absent, doc_id, text_key, start)."""
+    absent, ids, keys, starts = (np.array(c) for c in list(zip(*held))[1:])
     order = document_order(ids, absent, keys, starts)
     columns = np.column_stack([ids, absent, keys])[order]
     document = np.empty(len(order), np.int64)
     document[order] = np.cumsum(np.concatenate([[False], (columns[1:] != columns[:-1]).any(axis=1)]))
-    spans: list[tuple[int, int, int]] = []
-    distinct: dict[tuple[int, bytes], int] = {}
-    groups: dict[int, list[int]] = {}
-    for i, key in zip(order.tolist(), deal[order].tolist()):
-        first = i if contexts[i] is None else distinct.setdefault((key, contexts[i]), i)
-        if contexts[i] is None or document[first] != document[i] or starts[first] != starts[i]:
-            spans.append((i, int(starts[i]), int(stops[i])))
-        elif first == i:
-            groups.setdefault(key, []).append(i)
-
-    def settle(members: list[int]):
-        of = np.array(members)
-        for c, a, b in later_strings([contexts[i] for i in members], document[of], starts[of]):
-            i = members[c]
-            spans.append((i, int(starts[i]) + a, int(starts[i]) + b + LENGTH))
-
-    held, size = [], 0
-    for members in groups.values():
-        if len(members) < 2:
-            continue  # nothing differs from the one context, so nothing else repeats
-        more = sum(len(contexts[i]) + 1 for i in members)
-        if held and size + more > INDEX_BYTES:
-            settle(held)
-            held, size = [], 0
-        held += members
-        size += more
+    for i, a, b in later_strings([h[0] for h in held], document, starts):
+        _, gone, doc, key, start = held[i]
+        yield None if gone else doc, key, start + a, start + b + LENGTH
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans (doc_id, text_key, start, end) that repeat something earlier.
+
+    Rows come by deal and context, equal ones by their place in the corpus. One deal's
+    distinct contexts are held at a time, or as many small deals as fill an index.
+    """
+    held: list[tuple] = []  # contexts of deals that have several
+    group: list[tuple] = []  # those of the deal at hand
+    size = more = 0
+    now = None
+
+    def close() -> Iterator[tuple]:
+        nonlocal held, group, size, more
+        if len(group) > 1:  # what one context has repeats nothing
+            if held and size + more > INDEX_BYTES:
+                yield from _settled(held)
+                held, size = [], 0
+            held += group
+            size += more
+        group, more = [], 0
+
+    def spans(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["doc_id", "text_key", "start", "end"])
+
+    for batch in batches:
+        absent, ids = batch.column("doc_id").is_null().to_pylist(), batch.column("doc_id").fill_null(0).to_pylist()
+        rest = (batch.column(c).to_pylist() for c in ("deal", "context", "text_key", "start", "end"))
+        found: list[tuple] = []
+        for gone, doc, deal, context, key, start, end in zip(absent, ids, *rest):
+            if context is None:
+                found.append((None if gone else doc, key, start, end))
+                continue
+            if deal != now:
+                found += close()
+                now = deal
+            place = (gone, doc, key, start)
+            if not group or group[-1][0] != context:
+                group.append((context, *place))
+                more += len(context) + 1
+            elif group[-1][1:] != place:
+                found.append((None if gone else doc, key, start, end))
+        if found:
+            yield spans(found)
+    found = list(close())
     if held:
-        settle(held)
-    of = np.array([i for i, _, _ in spans], np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids[of], pa.int64(), mask=absent[of]), pa.array(keys[of], pa.int64()),
-            pa.array([a for _, a, _ in spans], pa.int64()), pa.array([b for _, _, b in spans], pa.int64()),
-        ],
-        ["doc_id", "text_key", "start", "end"],
-    )
+        found += _settled(held)
+    if found:
+        yield spans(found)
+    held, group = [], []
+    give_back()
 
 
 def document_key(ids: np.ndarray, absent: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -469,10 +499,13 @@ def remove_repeats(docs: DataFrame, shards: int | None = None, hot: int = HOT) -
     text = text_of()
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
     counted = rows.select("text").mapInArrow(_count_anchors(shards), "shard int, keys binary, counts binary")
-    counted.repartition(shards, "shard").mapInArrow(_write_repeated(folder), "shard int, n long").collect()
+    counted.repartitionById(shards, F.col("shard")).mapInArrow(_write_repeated(folder), "shard int, n long").collect()
     contexts = rows.mapInArrow(_contexts(folder, shards, hot), CONTEXTS)
-    marked = contexts.repartition(shards, "deal").mapInArrow(_mark, "doc_id long, text_key long, start long, end long")
-    spans = marked.mapInArrow(_keyed(shards), "shard int, key long, start long, end long").repartition(shards, "shard")
+    dealt = contexts.repartition(shards, "deal").sortWithinPartitions(
+        "deal", "context", F.col("doc_id").asc_nulls_last(), "text_key", "start"
+    )
+    marked = dealt.mapInArrow(_mark, "doc_id long, text_key long, start long, end long")
+    spans = marked.mapInArrow(_keyed(shards), "shard int, key long, start long, end long").repartitionById(shards, F.col("shard"))
     spans.mapInArrow(_write_spans(folder, shards), "shard int, n long").collect()
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     whole = docs.select(F.struct(*others).alias("keys"), "doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
