@@ -82,3 +82,41 @@ def test_mapped_and_collected_filters_agree(spark, monkeypatch):
     got = langid.fit(docs_of(spark, docs))
     assert isinstance(got.bits, langid.MappedBits) and (got.false == want.false).all()
     assert got.predict(texts) == want.predict(texts)
+
+
+VOCABULARY = "the house stands with many open windows and old doors near river where people walk every day".split()
+
+
+def sentences(n, words, lang, first, seed=3):
+    rng = random.Random(seed)
+    return [(first + i, " ".join(rng.choices(words, k=12)), lang, "s") for i in range(n)]
+
+
+def test_labels_of_a_few_lines_take_nothing_from_a_large_language(spark):
+    texts = [t for _, t, _, _ in sentences(200, VOCABULARY, "en", 0, seed=8)]
+    lines = [(5000 + k, " ".join(VOCABULARY[3 * k : 3 * k + 3]), f"x{k}", "s") for k in range(6)]
+    train = sentences(300, VOCABULARY, "en", 0) + lines
+    assert sum(n != "en" for n in langid.fit(docs_of(spark, train)).predict(texts)[0]) < 5
+    # Without text unseen such labels win nearly everywhere.
+    assert sum(n != "en" for n in langid.fit(docs_of(spark, train), unseen=0).predict(texts)[0]) > 100
+
+
+def test_a_rare_language_of_its_own_words_is_still_found(spark):
+    rare = WORDS["de"].split()
+    model = langid.fit(docs_of(spark, sentences(2000, VOCABULARY, "en", 0) + sentences(3, rare, "de", 9000)))
+    texts = [t for _, t, _, _ in sentences(50, rare, "de", 0, seed=9)]
+    assert model.predict(texts)[0] == ["de"] * 50
+
+
+def test_wrong_labels(spark):
+    for share in (0.01, 0.05):
+        rng = random.Random(6)
+        docs = corpus(600)
+        noisy = [(i, t, rng.choice(list(WORDS)) if rng.random() < share else lang, s) for i, t, lang, s in docs]
+        got = {r["keys"].doc_id: r.lang_pred for r in langid.held_out(docs_of(spark, noisy)).collect()}
+        assert sum(got[i] == lang for i, _, lang, _ in docs) / 600 > 0.97
+
+
+def test_ties_go_to_the_larger_language(spark):
+    model = langid.fit(docs_of(spark, [(1, "same words here", "aa", "s")] + [(2 + i, "same words here", "zz", "s") for i in range(2)]), unseen=0)
+    assert model.predict(["same words"])[0] == ["zz"]

@@ -4,7 +4,9 @@ Each slot of the filter holds one bit per language. Looking up an n-gram takes t
 its slots: the bits left are all languages that have it. A text's n-grams vote; each
 language's count is corrected for the false positives that its share of set bits lets
 through. n-grams are letter trigrams with word ends, and belong to the languages in which
-they are about as frequent as where they are most frequent.
+they are about as frequent as where they are most frequent. Shares are taken as if each
+language had some text more, without the n-gram: in a few lines any n-gram is a large
+share, so a rare or wrong label can't claim what a large language is sure of.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ COLLECTED = 1 << 22
 SHARD_BYTES = 32 << 20
 #: An n-gram belongs to a language if its share there is this part of its largest share.
 MARGIN = 0.25
+#: n-grams of text that each language is taken to have beside what was learned.
+UNSEEN = 20_000
 _BLANK = 32
 
 
@@ -159,6 +163,7 @@ class Model:
     languages: list[str]
     bits: np.ndarray | MappedBits  # slots x words of 64 languages, or one narrower word
     false: np.ndarray  # per language, the chance that an n-gram it lacks is found
+    by_size: np.ndarray  # the languages' numbers, that with most n-grams learned first
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         found, doc = grams(texts)
@@ -172,15 +177,19 @@ class Model:
             share[k] = (rate - self.false[k]) / max(1e-9, 1 - self.false[k])
         if not self.languages:
             return ["und"] * len(texts), [0.0] * len(texts)
-        best = share.argmax(axis=0)
+        best = self.by_size[share[self.by_size].argmax(axis=0)]
         names = [self.languages[b] if n else "und" for b, n in zip(best, total)]
         scores = np.where(total > 0, np.clip(share[best, np.arange(len(texts))], 0, 1), 0.0)
         return names, scores.tolist()
 
 
-def fit(docs: DataFrame, size: int | None = None, margin: float = MARGIN) -> Model:
+def fit(docs: DataFrame, size: int | None = None, margin: float = MARGIN, unseen: int = UNSEEN) -> Model:
     """Learn from all documents that have both text and lang.
 
+    An n-gram's share of a language is its count by all counts there plus ``unseen``; so
+    of two languages with as much text neither gains, and one with little owns what is
+    rare elsewhere. A language takes a bit of each slot and its name comes to the driver.
+
     Counting is one shuffle of n-gram counts added up per task. The filter has ``size``
     slots, by default as many as the language with most n-grams needs for few false
     positives. It comes to the driver if small; otherwise tasks write its slots to the
@@ -188,11 +197,14 @@ def fit(docs: DataFrame, size: int | None = None, margin: float = MARGIN) -> Mod
     """
     labelled = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
     counts = labelled.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    counts = stored(counts, "gram-counts")
+    totals = stored(counts.groupBy("lang").agg(F.sum("n").alias("total")), "gram-totals")
+    learned = {r.lang: r.total for r in totals.collect()}
     languages = sorted(r.lang for r in labelled.select("lang").distinct().collect())
+    by_size = np.argsort([-learned.get(lang, 0) for lang in languages], kind="stable")
     number = {lang: i for i, lang in enumerate(languages)}
     width = max(1, -(-len(languages) // 64))
-    shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
+    shares = counts.join(totals, "lang").withColumn("share", F.col("n") / (F.col("total") + unseen))
     best = shares.groupBy("gram").agg(F.max("share").alias("best"), F.collect_list(F.struct("lang", "share")).alias("all"))
     owned = best.select("gram", F.transform(F.filter("all", lambda a: a["share"] >= margin * F.col("best")), lambda a: a["lang"]).alias("langs"))
     if size is None:
@@ -232,15 +244,15 @@ def fit(docs: DataFrame, size: int | None = None, margin: float = MARGIN) -> Mod
         done = dealt.mapInArrow(_write_bits(folder, size, per_shard, width, len(languages)), "shard long, n array<long>").collect()
         set_bits = np.array([r.n for r in done]).reshape(shards, len(languages)).sum(axis=0) / size
         bits = MappedBits(folder, size, per_shard)
-    return Model(languages, bits, set_bits**HASHES)
+    return Model(languages, bits, set_bits**HASHES, by_size)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Add lang_pred and score; the other columns stay, as the struct ``keys``.
 
     Only the text is used. Null texts and texts without a letter are ``und`` with score
-    0, as is every text where nothing was learned; ties go to the language first in
-    order. Repeated rows are rows of their own; an empty table gives no rows. A small
+    0, as is every text where nothing was learned; ties go to the language with most
+    n-grams learned, then to the first in order. Repeated rows are rows of their own; an empty table gives no rows. A small
     filter goes to the workers with the model, a large one is mapped by them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
