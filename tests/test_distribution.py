@@ -115,6 +115,38 @@ def test_bins_are_within_their_error_and_merge_exactly(spark):
         assert abs(got[name] - want) <= 0.0101 * abs(want)
 
 
+def test_bounded_bins_hold_their_budget_in_any_merge_order(spark):
+    rng = random.Random(11)
+    values = [0.0] * 9 + [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 12) for _ in range(1500)] + [1.0, 1e300, -5e-324, None, float("nan")]
+    df = spark.createDataFrame([(minutes(i), rng.choice(["a", None]), v) for i, v in enumerate(values)], "time timestamp_ntz, s string, value double")
+    for most in (2, 200):
+        whole = quantiles.bounded_bins(quantiles.value_bins(df, "1 month", series=["s"]), ["s"], most)
+        assert whole.groupBy("bucket", "s", "side").count().agg(F.max("count")).first()[0] <= most
+        parts = [quantiles.value_bins(df.filter(F.minute("time") % 3 == k), "1 month", series=["s"]) for k in range(3)]
+        small = [quantiles.bounded_bins(p, ["s"], most) for p in parts]
+        left = quantiles.bounded_bins(quantiles.bounded_bins(small[0].unionByName(small[1]), ["s"], most).unionByName(small[2]), ["s"], most)
+        assert plain(left) == plain(whole)
+    days = quantiles.bounded_bins(quantiles.value_bins(df, "1 day", series=["s"]), ["s"])
+    assert plain(quantiles.rollup_bounded(days, "1 month", ["s"])) == plain(whole)
+    with pytest.raises(ValueError):
+        quantiles.bounded_bins(days, ["s"], 1)
+
+
+def test_bounded_percentiles_are_within_the_error_they_state(spark):
+    rng = random.Random(12)
+    values = [rng.choice([-1, 1]) * 10 ** rng.uniform(-6, 9) for _ in range(1500)]
+    df = spark.createDataFrame([(minutes(i / 60), v) for i, v in enumerate(values)], "time timestamp_ntz, value double")
+    names = {f"p{i}": i / 20 for i in range(21)}
+    for most in (25,):
+        got = quantiles.bin_percentiles(quantiles.bounded_bins(quantiles.value_bins(df, "1 month"), most=most), names).first()
+        assert 0.01 < got["error"] < 1
+        for name, p in names.items():
+            want = sorted(values)[int(p * (len(values) - 1))]
+            assert abs(got[name] - want) <= (got["error"] + 1e-9) * abs(want)
+    exact = quantiles.bin_percentiles(quantiles.bounded_bins(quantiles.value_bins(df.limit(20), "1 month")), names).first()
+    assert abs(exact["error"] - quantiles.BIN_ERROR) < 1e-12
+
+
 def test_rounding_keeps_values_beyond_a_doubles_digits(spark):
     from tideline.functions.scalars import round_half_up
 

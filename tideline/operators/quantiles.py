@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from tideline.session import stored
 SKETCH_K = 400
 # A percentile out of bins is off by at most this share of the true value.
 BIN_ERROR = 0.01
+# Bins a side that a bounded state may have.
+BIN_BUDGET = 200
+# Levels of bounded bins; enough for bins of an error of 0.0001 over all doubles.
+LEVELS = 24
 
 
 def bin_growth(error: float = BIN_ERROR) -> float:
@@ -63,22 +68,68 @@ def bin_percentiles(
 ) -> DataFrame:
     """Percentiles out of stored bins, one named column each: the middle of the bin of the rank.
 
-    The rank of a percentile p among n values is floor(p (n - 1)), counted from zero.
+    The rank of a percentile p among n values is floor(p (n - 1)), counted from zero. Bins
+    with levels give the share that a percentile may be off by as the column ``error``.
     """
-    growth = bin_growth(error)
+    growth = F.lit(bin_growth(error))
+    leveled = "level" in bins.columns
+    if leveled:
+        growth = F.pow(growth, F.pow(F.lit(2.0), F.col("level")))
     keys = ["bucket", *series]
     ordered = Window.partitionBy(*keys).orderBy("side", F.col("side") * F.col("bin"))
     counted = bins.withColumns(
         {"_upto": F.sum("n").over(ordered), "_n": F.sum("n").over(Window.partitionBy(*keys))}
     )
-    middle = F.col("side") * F.lit(2 / (growth + 1)) * F.pow(F.lit(growth), F.col("bin"))
+    middle = F.col("side") * (F.lit(2.0) / (growth + 1)) * F.pow(growth, F.col("bin"))
 
     def at(p: float) -> Column:
         rank = F.floor(F.lit(float(p)) * (F.col("_n") - 1))
         inside = (F.col("_upto") - F.col("n") <= rank) & (rank < F.col("_upto"))
         return F.max(F.when(inside, middle))
 
-    return counted.groupBy(*keys).agg(*(at(p).alias(name) for name, p in percentiles.items()))
+    off = [F.max((growth - 1) / (growth + 1)).alias("error")] if leveled else []
+    return counted.groupBy(*keys).agg(*(at(p).alias(name) for name, p in percentiles.items()), *off)
+
+
+def bounded_bins(bins: DataFrame, series: Sequence[str] = (), most: int = BIN_BUDGET) -> DataFrame:
+    """Bins of which no bucket has more than ``most`` a side; merges bins bounded before.
+
+    At level k every bin is 2^k of the first ones, so growth is squared k times. A bucket
+    takes the lowest level, the same for both sides, that holds the budget. As the number
+    of bins only falls with the level, no part of a bucket is above the level of the whole:
+    states merged in any order and grouping are those of all values at once. ``bins`` are
+    those of ``value_bins`` (level 0) or of this function, for the same buckets; brought to
+    one level they are written once, and the result reads them twice.
+    """
+    if most < 2:
+        raise ValueError("a side needs two bins at least")
+    keys = ["bucket", *series]
+    def raised(rows: DataFrame, to: DataFrame) -> DataFrame:
+        """Rows at their bucket's level ``_to``."""
+        named = to.select(*(F.col(k).alias(f"_{k}") for k in keys), "_to")
+        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        up = F.expr("-shiftright(-bin, _to - level)")
+        return rows.join(named, same).groupBy(*keys, "side", up.alias("bin"), F.col("_to").alias("level")).agg(F.sum("n").alias("n"))
+
+    if "level" in bins.columns:
+        level = raised(bins, bins.groupBy(*keys).agg(F.max("level").alias("_to")))
+    else:
+        level = bins.select(*keys, "side", "bin", F.lit(0).alias("level"), "n")
+    level = stored(level, "leveled-bins")
+    # Two neighbours share a bin from the level on that is the bit length of how they differ.
+    shifted = F.col("bin") - 1 + (1 << LEVELS)
+    before = F.lag(shifted).over(Window.partitionBy(*keys, "side").orderBy("bin"))
+    apart = F.coalesce(F.length(F.bin(shifted.bitwiseXOR(before))), F.lit(LEVELS + 1))
+    of_side = level.withColumn("_apart", apart).groupBy(*keys, "side", "level").agg(
+        F.array(*(F.count_if(F.col("_apart") > k) for k in range(LEVELS + 1))).alias("_counts")
+    )
+    steps = F.array_position(F.transform("_counts", lambda c: c <= most), True) - 1
+    return raised(level, of_side.groupBy(*keys).agg(F.max(F.col("level") + steps).cast("int").alias("_to")))
+
+
+def rollup_bounded(bins: DataFrame, width: str, series: Sequence[str] = (), most: int = BIN_BUDGET) -> DataFrame:
+    """Bounded bins of wider buckets out of those of narrower ones."""
+    return bounded_bins(bins.withColumn("bucket", time_bucket(width, "bucket")), series, most)
 
 
 def percentile_sketches(

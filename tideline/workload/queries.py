@@ -31,7 +31,7 @@ from tideline.session import fresh_path, stored
 from tideline.sources import bound
 from tideline.sources.store import ChunkTable
 from tideline.sources.trades import parse_trades
-from tideline.streaming import deltas, prices, runs
+from tideline.streaming import deltas, keyed, prices, runs
 from tideline.streaming.candles import stream_candle_rollup, stream_candles
 from tideline.workload.messages import as_trade_messages
 
@@ -41,6 +41,7 @@ QUERIES: dict[str, Query] = {}
 # Slopes of this data lie within a thousandth of zero.
 SLOPE_DIGITS = {"slope": 9}
 QUARTILES = {"y": 0.25, "y_median": 0.5, "y_q3": 0.75, "y_99": 0.99}
+SKETCH_BINS = 40
 LTTB_POINTS = 10
 ASAP_RESOLUTION = 40
 BINS = 8
@@ -582,6 +583,15 @@ def percentiles_rollup(spark, root):
     return rounded(quantiles.bin_percentiles(quantiles.rollup_bins(daily, "1 month"), QUARTILES))
 
 
+@query
+def percentiles_bounded(spark, root):
+    """Monthly percentiles and their error, of daily states of at most SKETCH_BINS bins a side."""
+    bins = quantiles.value_bins(bound.samples(spark, root), "1 day")
+    daily = stored(quantiles.bounded_bins(bins, most=SKETCH_BINS), "bounded-bins")
+    monthly = quantiles.rollup_bounded(daily, "1 month", most=SKETCH_BINS)
+    return rounded(quantiles.bin_percentiles(monthly, QUARTILES))
+
+
 @query
 def percentiles_exact(spark, root):
     days = bound.samples(spark, root).withColumn("bucket", time_bucket("1 day", "time"))
@@ -908,6 +918,14 @@ def stream_last_price(spark, root):
     return versions.latest()
 
 
+@query
+def stream_last_price_state(spark, root):
+    """Last prices by keyed state: batches emit only symbols that moved."""
+    folder = fresh_path(spark, "lastprice-state")
+    keyed.keep_changes(keyed.price_changes(_tick_stream(spark, root)), f"{folder}/changes", f"{folder}/progress")
+    return keyed.last_prices(spark, f"{folder}/changes", _seeds(spark, root))
+
+
 @query
 def stream_pair_ticks(spark, root):
     folder = fresh_path(spark, "pairticks")
