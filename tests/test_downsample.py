@@ -124,3 +124,55 @@ def test_scratch_removes_intermediate_copies(spark):
     with scratch(spark):
         rows = d.lttb(df, ["device_id"], 20).count()
     assert rows == 20 and set(os.listdir(base)) == before
+
+
+def window_by_trying_all(values, longest=0.1):
+    def figures(v):
+        d = v - v.mean()
+        m2 = (d * d).mean()
+        return np.diff(v).std(), (d**4).mean() / (m2 * m2) if m2 > 0 else math.nan
+
+    best = (np.diff(values).std(), 1)
+    base = figures(values)[1]
+    for w in range(2, max(1, int(len(values) * longest)) + 1):
+        rough, kurtosis = figures(np.convolve(values, np.full(w, 1.0 / w), mode="valid"))
+        if kurtosis >= base and rough < best[0]:
+            best = (rough, w)
+    return best[1]
+
+
+SHAPES = {
+    "noise": lambda rng, i: rng.normal(size=len(i)),
+    "walk": lambda rng, i: np.cumsum(rng.normal(size=len(i))),
+    "season": lambda rng, i: np.sin(i / 7) * 9 + rng.normal(size=len(i)) + 1e4,
+    "spikes": lambda rng, i: rng.normal(size=len(i)) + 40 * (rng.random(len(i)) < 0.01),
+    "shift": lambda rng, i: np.sin(i / 3) + 30 * ((i > len(i) // 2) & (i < len(i) // 2 + 9)) + rng.normal(size=len(i)) / 9,
+    "trend": lambda rng, i: i * 0.01 + rng.standard_cauchy(size=len(i)),
+}
+
+
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_window_is_that_of_trying_all(shape):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 19, 21, 60, 333, 1200):
+        for share in (0.1, 0.5):
+            values = np.asarray(SHAPES[shape](rng, np.arange(n)), float)
+            assert d.smoothing_window(values, share) == window_by_trying_all(values, share), (n, share)
+
+
+def test_few_windows_are_measured(monkeypatch):
+    rng = np.random.default_rng(5)
+    tried, real = [], d.quality
+    monkeypatch.setattr(d, "quality", lambda v, w: tried.append(w) or real(v, w))
+    for n in (500, 5000, 50_000):
+        for shape in SHAPES.values():
+            tried.clear()
+            d.smoothing_window(np.asarray(shape(rng, np.arange(n)), float))
+            assert len(tried) <= 8, (n, len(tried))
+
+
+def test_moving_average_of_large_values():
+    values = 1e9 + np.random.default_rng(1).normal(size=400)
+    for w in (1, 2, 7, 400):
+        want = np.convolve(values, np.full(w, 1.0 / w), mode="valid")
+        assert np.allclose(d.moving_average(values, w), want, rtol=0, atol=1e-5)
