@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -154,3 +155,63 @@ def test_rounding_keeps_values_beyond_a_doubles_digits(spark):
         *(round_half_up(F.col(c), 4).alias(c) for c in "abcd"), round_half_up(F.col("b"), 5).alias("e")
     ).first()
     assert tuple(row) == (5e15, 2e14, -1.5, None, 2e14)
+
+
+def grids_by_hand(rows, bins):
+    """Cells by trying every width from the finest on."""
+    groups, out = {}, {}
+    for key, v in rows:
+        if v is not None and abs(v) < 2.0**1000:
+            groups.setdefault(key, []).append(v)
+    for key, values in groups.items():
+        level = -20
+        while math.floor(max(values) / 2.0**level) - math.floor(min(values) / 2.0**level) >= bins:
+            level += 1
+        for v in values:
+            cell = (key, level, math.floor(v / 2.0**level) * 2.0**level + 0.0)
+            out[cell] = out.get(cell, 0) + 1
+    return sorted(((*cell, n) for cell, n in out.items()), key=str)
+
+
+def grid_rows(states):
+    return sorted(((r["g"], r["_level"], r["_low"], r["_n"]) for r in states.collect()), key=str)
+
+
+def grid_values():
+    rng = random.Random(8)
+    rows = [("normal", rng.gauss(0, 50)) for _ in range(900)]
+    rows += [("narrow", 1e6 + rng.random() / 64) for _ in range(300)]
+    rows += [("tails", rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 30)) for _ in range(300)]
+    rows += [("same", 7.25)] * 40 + [("zeros", -0.0), ("zeros", 0.0), (None, 3.0), (None, -3.0)]
+    rows += [("huge", 1e30), ("huge", 1e30), ("odd", None), ("odd", math.nan), ("odd", math.inf), ("odd", 1.0)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("bins", [2, 8, 37])
+def test_grids_are_the_same_however_merged(spark, bins, monkeypatch):
+    rows = grid_values()
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = grids_by_hand(rows, bins)
+    for parts in (1, 5):
+        assert grid_rows(histogram.grid_states(df.repartition(parts), ["g"], "v", bins)) == want
+    # Tasks that merge and hand on early, batch by batch.
+    monkeypatch.setattr(histogram, "STATE_ROWS", 20)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        assert grid_rows(histogram.grid_states(df, ["g"], "v", bins)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    halves = [histogram.grid_states(df.filter(F.crc32(F.col("v").cast("string")) % 3 == k), ["g"], "v", bins) for k in range(3)]
+    parts = halves[2].unionByName(halves[0]).unionByName(halves[1])
+    assert grid_rows(histogram.merged_grids(parts, ["g"], bins)) == want
+
+
+def test_grids_of_nothing_and_of_everything(spark):
+    none = spark.createDataFrame([], "g string, v double")
+    assert histogram.grid_states(none, ["g"], "v", 4).count() == 0
+    whole = spark.createDataFrame([(v,) for v in (0.0, 1.0, 5.0)], "v double")
+    got = histogram.grid_cells(histogram.grid_states(whole, [], "v", 4), []).orderBy("cell_from").collect()
+    assert [tuple(r) for r in got] == [(0.0, 2.0, 2), (4.0, 6.0, 1)]
+    with pytest.raises(ValueError):
+        histogram.grid_states(whole, [], "v", 1)

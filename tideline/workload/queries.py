@@ -570,6 +570,15 @@ def histogram_day(spark, root):
     )
 
 
+@query
+def histogram_one_scan(spark, root):
+    """Daily histograms of at most BINS cells, merged from hourly ones that need no bounds."""
+    hours = bound.samples(spark, root).withColumn("bucket", time_bucket("1 hour", "time"))
+    hourly = histogram.grid_states(hours, ["bucket"], "value", BINS)
+    days = hourly.withColumn("bucket", time_bucket("1 day", "bucket"))
+    return histogram.grid_cells(histogram.merged_grids(days, ["bucket"], BINS), ["bucket"])
+
+
 @query
 def percentiles_daily(spark, root):
     bins = quantiles.value_bins(bound.samples(spark, root), "1 day")
