@@ -69,3 +69,24 @@ def test_one_conversation_with_most_turns(spark):
         F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
     out = chat.render(chat.fold_events(chat.streamed(df))).filter("conv_id = 0").select(chat.read_turns(F.col("formatted")).alias("t")).first()
     assert [t.text for t in out.t] == [f"t{i}" for i in range(3000) if i == 0 or i % 3]
+
+
+def test_the_log_of_turns_has_drafts_edits_regenerations_and_repeats(spark):
+    turns = [(c, t, "assistant" if t % 2 else "user", f"{c}/{t} " * 9) for c in range(12) for t in range(8)]
+    turns += [(0, 3, "assistant", "same")] * 3 + [(None, None, None, None)] * 2
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    log = chat.streamed(df, chars=10)
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"} and min(kinds.values()) > 10
+    assert log.distinct().count() < log.count()
+    assert log.filter("message != seq.message").count() == kinds["edit"] + kinds["regenerate"]
+    done = chat.fold_events(log.repartition(5))
+    back = done.select("conv_id", "message.turn", "role", "text")
+    want = [(c, t, r or "", x or "") for c, t, r, x in turns]
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(want, key=str)
+
+
+def test_events_without_a_place_in_the_order_are_the_oldest(spark):
+    log = [(1, None, "message", 1, "user", "old"), (1, 3, "edit", 0, "user", "x"), (1, 4, "delta", 1, "user", "new"),
+           (2, None, "message", 0, "user", "old"), (2, 1, "delta", 0, "user", "+")]
+    assert folded(spark, log) == [(1, 0, "user", "x"), (1, 1, "user", "new"), (2, 0, "user", "old+")]

@@ -39,7 +39,8 @@ def fold_events(events: DataFrame) -> DataFrame:
     Events of equal seq are taken in the order of kind, role and text; events equal in
     every column are one event delivered twice. Null text is empty, the last role that
     isn't null counts (none: empty); null ids form a conversation or message of their own,
-    which comes first; an unknown kind is read as ``delta``. Columns beyond those named
+    which comes first; an unknown kind is read as ``delta``. An event without seq is older than
+    all others, so it is void behind any edit or regeneration. Columns beyond those named
     are not read.
     """
     event = F.struct("seq", "kind", F.col("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -105,21 +106,35 @@ def learned_text(segments: Column) -> Column:
 def streamed(turns: DataFrame, chars: int = 256) -> DataFrame:
     """The event log of a table of turns (conv_id, turn, role, text): texts arrive in deltas.
 
-    Turns of one number are ordered by role and text; equal rows are turns of their own.
+    Turns of one number are ordered by role and text; equal rows are turns of their own. A
+    hash of the turn's place decides how it came about. A quarter each: a wrong draft with
+    an answer to it, then an edit from which the text starts anew; a broken-off beginning, then a
+    regeneration; every event delivered twice; straight on. Events of a turn come last one first.
     """
     text = F.coalesce("text", F.lit(""))
     copies = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    numbered = turns.select("conv_id", "turn", "role", text.alias("text")).withColumn(
-        "message", F.struct("turn", F.row_number().over(copies).alias("copy"))
-    )
+    numbered = turns.select("conv_id", "turn", "role", text.alias("text")).withColumn("copy", F.row_number().over(copies))
     deltas = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{chars}}}"), F.lit(0))
-    return numbered.select(
-        "conv_id", "message", "role", F.posexplode(F.concat(F.array(F.lit("")), deltas)).alias("n", "text")
-    ).select(
+
+    def event(kind: str, text: Column, ahead: int = 0) -> Column:
+        """An event of the turn itself, or of the message ``ahead`` places behind it."""
+        return F.struct(F.lit(kind).alias("kind"), F.lit(ahead).alias("ahead"), text.cast("string").alias("text"))
+
+    rest = F.transform(deltas, lambda d: event("delta", d))
+    draft = F.concat(F.substring("text", 1, 64), F.lit(END))
+    void = event("message", F.lit(f"answer to a draft{START}"), 1)
+    edited = F.array(event("message", draft), void, event("delta", draft), event("edit", F.lit("")))
+    again = F.array(event("message", F.lit("")), event("delta", draft), void, event("regenerate", F.lit(None)))
+    story = F.pmod(F.xxhash64("conv_id", "turn", "copy"), F.lit(4))
+    begun = F.when(story == 0, edited).when(story == 1, again).otherwise(F.array(event("message", F.lit(""))))
+    placed = F.transform(F.concat(begun, rest), lambda e, i: F.struct(i.alias("n"), e.alias("event")))
+    sent = F.reverse(F.when(story == 2, F.concat(placed, placed)).otherwise(placed))
+    message = lambda copy: F.struct("turn", copy.alias("copy"))
+    return numbered.select("conv_id", "turn", "copy", "role", F.explode(sent).alias("sent")).select(
         "conv_id",
-        F.struct("message", "n").alias("seq"),
-        F.when(F.col("n") == 0, "message").otherwise("delta").alias("kind"),
-        "message",
+        F.struct(message(F.col("copy")).alias("message"), F.col("sent.n").alias("n")).alias("seq"),
+        "sent.event.kind",
+        message(F.col("copy") + F.col("sent.event.ahead")).alias("message"),
         "role",
-        "text",
+        "sent.event.text",
     )
