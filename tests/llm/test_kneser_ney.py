@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward, docs_of
 from tideline.llm import arrays, kneser_ney
@@ -92,3 +93,9 @@ def test_arrays_pack_and_mix_exactly():
     assert (arrays.unpacked(arrays.packed(np.sort(x))) == np.sort(x)).all()
     assert (arrays.unpacked(arrays.packed(x)) == x).all()
     assert len(arrays.unpacked(arrays.packed(x[:0]))) == 0
+
+
+def test_a_task_holds_one_shard(spark):
+    blobs = spark.range(980).select((F.col("id") % 49).cast("int").alias("shard"), "id")
+    tasks = kneser_ney.by_shard(blobs, 49).withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.collect_set("shard").alias("shards"))
+    assert [len(r.shards) for r in tasks.collect()] == [1] * 49

@@ -287,6 +287,11 @@ class Model:
         ]
 
 
+def by_shard(blobs: DataFrame, shards: int) -> DataFrame:
+    """One shard per task: shards are dealt by their number, where a hash of it may put several together."""
+    return blobs.repartitionById(shards, F.col("shard"))
+
+
 def fit(docs: DataFrame, shards: int | None = None) -> Model:
     """Count the column ``text`` of all ``docs``; a null text is an empty one.
 
@@ -297,12 +302,12 @@ def fit(docs: DataFrame, shards: int | None = None) -> Model:
     shards = shards or shuffle_parts(spark)
     folder = shared_folder(spark, "kneser-ney")
     texts = docs.select(text_of().alias("text"))
-    dealt = texts.mapInArrow(_count_words(shards), BLOBS).repartition(shards, "shard")
+    dealt = by_shard(texts.mapInArrow(_count_words(shards), BLOBS), shards)
     sizes = {r.shard: r for r in dealt.mapInArrow(_write_words(folder), "shard int, n long, total long").collect()}
     counts = [sizes[s].n if s in sizes else 0 for s in range(shards)]
     base = [0, *np.cumsum(counts).tolist()]
-    pairs = texts.mapInArrow(_count_bigrams(folder, shards, base[-1]), BLOBS).repartition(shards, "shard")
-    passed = pairs.mapInArrow(_write_bigrams(folder, base), BLOBS).repartition(shards, "shard")
+    pairs = by_shard(texts.mapInArrow(_count_bigrams(folder, shards, base[-1]), BLOBS), shards)
+    passed = by_shard(pairs.mapInArrow(_write_bigrams(folder, base), BLOBS), shards)
     sums: Counter = Counter()
     for name, value in passed.mapInArrow(_write_sums(folder, base), "name int, value long").collect():
         sums[name] += value
