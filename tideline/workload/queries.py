@@ -17,6 +17,7 @@ from tideline.operators import (
     downsample,
     grid,
     histogram,
+    keyfilter,
     lastprice,
     pairs,
     quantiles,
@@ -180,6 +181,18 @@ def pk_fk_checks(spark, root):
     )
 
 
+@query
+def append_key_check(spark, root):
+    """Twice and three times the stored ids as new ones: which are stored, or come twice."""
+    ticks = bound.ticks(spark, root)
+    table = _tick_table(spark, root, "keys")
+    per_chunk = ticks.groupBy(time_bucket(TICKS.chunk_interval, "time")).count().agg(F.max("count")).first()[0]
+    keys = keyfilter.KeyFilter(table, ("tick_id",), keyfilter.blocks_for(per_chunk or 0))
+    keys.append(ticks)
+    new = ticks.withColumn("tick_id", F.explode(F.array(F.col("tick_id") * 2, F.col("tick_id") * 3)))
+    return keys.check(new)
+
+
 @query
 def time_grid(spark, root):
     spans = (
