@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import awkward, docs_of
+from tideline.llm import common
 from tideline.llm import hyperminhash as H
 from tideline.llm.graph import components
 from tideline.llm.textbytes import shingle_sets
@@ -143,3 +145,34 @@ def test_copies_of_copies_of_long_texts(spark):
     want = brute(list(enumerate(texts)))
     assert 3 < len({c for _, _, c in want}) < len(texts)
     assert result(docs_of(spark, texts)) == want
+
+
+def test_workers_drop_what_an_earlier_stage_kept():
+    """In the pipeline the caches of the quality rules stayed in the workers all along."""
+    texts = pa.RecordBatch.from_pydict({"id": [1], "doc_id": [1], "text_key": [1], "text": ["one two three four five six"]})
+    sketch = H._sketch(iter([texts]))
+    sets = H._packed_sets(iter([texts]))
+    for run in (sketch, sets):
+        common._held["earlier"] = ["a model"]
+        assert next(run).num_rows == 1
+        assert not common._held
+
+
+def test_workers_get_few_rows_at_once(spark, monkeypatch):
+    """A task's texts went to its worker in one batch."""
+    docs = docs_of(spark, [f"text {i} of some words" for i in range(3000)]).coalesce(1)
+    seen, before = [], spark.conf.get(common.BATCH_KEY)
+    real = H.Nodes.__init__
+
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows]})
+
+    def init(self, docs):
+        seen.extend(r.rows for r in docs.mapInArrow(count, "rows long").collect())
+        real(self, docs)
+
+    monkeypatch.setattr(H.Nodes, "__init__", init)
+    assert H.near_duplicates(docs).count() == 3000
+    assert sum(seen) == 3000 and max(seen) <= 1000
+    assert spark.conf.get(common.BATCH_KEY) == before

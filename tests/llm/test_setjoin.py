@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,21 @@ def test_only_shared_beginnings_meet(spark):
     assert found(docs) == brute(list(enumerate(texts)))
     assert len(shingle_sets([texts[0].encode()], 3)[0]) == 398
     assert docs.select(F.count("*")).first()[0] == 301
+
+
+def test_listing_takes_little_more_than_the_batch():
+    """Objects per element took 30 times the batch; two workers of an executor do this at once."""
+    sets, size = 2000, 200
+    element = pa.struct([("sets", pa.int64()), ("element", pa.int64())])
+    values = pa.StructArray.from_arrays([pa.array(np.full(sets * size, 2)), pa.array(np.arange(sets * size))], fields=list(element))
+    shared = pa.ListArray.from_arrays(pa.array(np.arange(sets + 1) * size, pa.int32()), values)
+    columns = [pa.array(np.arange(sets)), pa.array([4 * size] * sets), pa.array([0] * sets), shared]
+    batch = pa.RecordBatch.from_arrays(columns, ["id", "n", "alone", "shared"])
+    run = S.listed(0, 75, 1)
+    want = sum(b.num_rows for b in run(iter([batch.slice(sets // 2, 1)])))
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert want > size and rows == sets * want
+    assert peak < 3 * batch.nbytes

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -88,6 +89,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             yield batch.slice(start)
 
 
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that go to a worker at once. By default a task's texts all went in one batch, which
+#: the executor holds outside its heap, twice while it grows, and the worker once more.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Have what runs inside send few rows to workers at once; what is lazy must be written before the block ends."""
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 #: Most bytes of keys that are sent to all workers; more are joined by shuffling.
 BROADCAST_BYTES = 32 << 20
 
@@ -133,7 +151,13 @@ def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     at that of its largest stage.
     """
     if key not in _held:
-        _held.clear()
-        give_back()
+        drop_state()
         _held[key] = make()
     return _held[key]
+
+
+def drop_state() -> None:
+    """Drop what earlier tasks of this worker kept; for tasks that keep nothing themselves."""
+    if _held:
+        _held.clear()
+        give_back()

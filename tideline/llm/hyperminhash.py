@@ -18,17 +18,17 @@ meet nobody, so the work doesn't grow with the square of a group.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import packed, unpacked
-from tideline.llm.common import join_keys, keyed, slices, text_key, text_of
+from tideline.llm.common import drop_state, join_keys, keyed, slices, small_batches, text_key, text_of
 from tideline.llm.graph import components
 from tideline.llm.setjoin import listed
 from tideline.llm.textbytes import shingle_sets
@@ -95,6 +95,7 @@ def estimate(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndar
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_state()
     for batch in slices(batches, most=1 << 19):
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         regs = registers(sets)
@@ -114,6 +115,7 @@ def _register_rows(column: pa.Array) -> np.ndarray:
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (band, id): the key of a bucket, and the node in it."""
+    drop_state()
     digest = xxhash.xxh3_64_intdigest
     for whole in batches:
         for start in range(0, whole.num_rows, 2000):
@@ -127,8 +129,10 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
+    drop_state()
+    for whole in batches:
+        for start in range(0, whole.num_rows, 2000):
+            batch = whole.slice(start, 2000)
             n_a, n_b = np.asarray(batch.column("n_a")), np.asarray(batch.column("n_b"))
             near = np.minimum(n_a, n_b) < REGISTERS
             near &= 100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
@@ -142,6 +146,7 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_state()
     for batch in slices(batches, most=1 << 19):
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([packed(s) for s in sets], pa.binary())], ["id", "shingles"])
@@ -149,6 +154,7 @@ def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (a, b, both, link): how many shingles are in both, and whether that makes a link."""
+    drop_state()
     for batch in slices(batches, "shingles_a", 1 << 20):
         common, links = [], []
         for a, b in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
@@ -198,6 +204,7 @@ def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_state()
     for batch in slices(batches, "shingles", 1 << 20):
         sets = [unpacked(s) for s in batch.column("shingles").to_pylist()]
         ids = np.repeat(np.asarray(batch.column("id")), [len(s) for s in sets])
@@ -232,18 +239,8 @@ def _compared(pairs: DataFrame, nodes: Nodes, name: str, sets: DataFrame | None
     return stored(_sides(likely, sets, "shingles").mapInArrow(_verified, "a long, b long, both long, link boolean"), f"{name}-compared")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text_key, n_shingles, component, component_id, kept), one per document.
-
-    Two documents are linked if 100 times the common shingles are at least 75 times all
-    of theirs. component_id is the least doc_id that can be reached. Null and empty texts
-    and those without words have no shingles and are linked with nothing. Rows with equal
-    text are always of one component, also where they share a doc_id; a row without
-    doc_id takes part but names no component, and is kept only where no row of its
-    component has an id. ``component`` is a number of the component, null where there are no
-    shingles; text_key is the hash of the text. Other columns are not read; an empty
-    table gives no rows.
-    """
+def _linked(docs: DataFrame) -> tuple[Nodes, DataFrame, Callable[[str], Column]]:
+    """The nodes, rows (node, component) of those with links, and the name of a node where these are joined."""
     nodes = Nodes(docs)
     bands = stored(nodes.table.select("id", "registers").mapInArrow(_banded, "band long, id long"), "bands")
     buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -264,7 +261,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = starred.filter("link").select("a", "b")
     names = components(links)
 
-    def name_of(node: str):
+    def name_of(node: str) -> Column:
         return F.coalesce(F.col("component"), F.col(node))
 
     # Where that didn't join them, a node tries its other centres, at most one a band.
@@ -294,7 +291,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = more.filter("link").select("a", "b")
     if more.limit(1).count():
         names = components(links.unionByName(more))
+    return nodes, names, name_of
+
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text_key, n_shingles, component, component_id, kept), one per document.
+
+    Two documents are linked if 100 times the common shingles are at least 75 times all
+    of theirs. component_id is the least doc_id that can be reached. Null and empty texts
+    and those without words have no shingles and are linked with nothing. Rows with equal
+    text are always of one component, also where they share a doc_id; a row without
+    doc_id takes part but names no component, and is kept only where no row of its
+    component has an id. ``component`` is a number of the component, null where there are no
+    shingles; text_key is the hash of the text. Other columns are not read; an empty
+    table gives no rows.
+    """
+    with small_batches(docs.sparkSession):
+        nodes, names, name_of = _linked(docs)
     named = nodes.table.join(names, nodes.table["id"] == names["node"], "left").withColumn("name", name_of("id"))
     least = named.groupBy("name").agg(F.min("doc_id").alias("component_id"))
     by_digest = stored(named.join(least, "name").select("digest", F.col("name").alias("component"), "component_id"), "components")

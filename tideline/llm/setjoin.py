@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.arrays import mix, packed, unpacked
-from tideline.llm.common import join_keys, slices, text_key, text_of
+from tideline.llm.common import drop_state, join_keys, slices, text_key, text_of
 from tideline.llm.graph import components
 from tideline.llm.textbytes import shingle_sets
 from tideline.session import stored
@@ -42,6 +42,8 @@ from tideline.session import stored
 WORDS, PERCENT, SUBSET = 3, 90, 2
 #: Sizes below are classes of their own; above, so many classes to a doubling.
 EXACT, STEPS = 128, 64
+#: Rows of lists that a worker hands on at once, the last set's whole.
+LISTED = 1 << 17
 
 
 def needed(n, m, percent: int):
@@ -204,9 +206,8 @@ def listed(first_heavy: int, percent: int, subset: int):
     """Rows (name, id, n, scans): the lists that a set stands in, and those that it scans."""
     light_end = least_partner(least_of(first_heavy), percent)
 
-    def of_set(n: int, alone: int, begin: list[dict]) -> Iterator[tuple[bool, np.ndarray]]:
+    def of_set(n: int, alone: int, elements: np.ndarray) -> Iterator[tuple[bool, np.ndarray]]:
         own = class_of(n)
-        elements = np.array([e["element"] for e in begin], np.int64).view(np.uint64)
 
         def names(o, number, size):
             return _names(elements[: max(0, n - o + size - alone)], number, size)
@@ -220,13 +221,19 @@ def listed(first_heavy: int, percent: int, subset: int):
             yield True, names(o, number, subset if light else 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_state()
         for batch in batches:
-            rows = []
-            for node, n, alone, begin in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "alone", "shared"))):
-                rows += [(names, node, n, scans) for scans, names in of_set(n, alone, begin)]
-                if sum(len(r[0]) for r in rows[-64:]) > 1 << 14 or len(rows) > 1 << 12:
+            # As arrays: an object per element would take some 30 times their memory.
+            begins = batch.column("shared")
+            ends, elements = np.asarray(begins.offsets), np.asarray(begins.values.field("element")).view(np.uint64)
+            rows, held = [], 0
+            for i, (node, n, alone) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "n", "alone")))):
+                for scans, names in of_set(n, alone, elements[ends[i] : ends[i + 1]]):
+                    rows.append((names, node, n, scans))
+                    held += len(names)
+                if held > LISTED or len(rows) > 1 << 12:
                     yield out(rows)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield out(rows)
 
