@@ -138,6 +138,51 @@ def test_repair_leaves_other_chunks_alone(spark, folder):
     assert plain(emitted.read(), "price") == plain(pairs.pair_ticks(ticks.unionByName(late), tracked), "price")
 
 
+def test_repair_scans_each_pair_of_symbols_once_and_lists_the_ticks_once(spark, folder, monkeypatch):
+    ticks = random_ticks(spark, 120, ("A", "B", "C"), seed=4).persist()
+    tracked = pairs.all_symbol_pairs(lastprice.symbol_names(ticks))
+    is_late = F.col("tick_id") % 10 == 0
+    raw, emitted = tick_tables(spark, folder, ticks.schema)
+    raw.append(ticks.filter(~is_late))
+    emitted.append(pairs.pair_ticks(ticks.filter(~is_late), tracked))
+    raw.append(ticks.filter(is_late))
+    scanned, listed, rows, of = [], [], ChunkTable._rows, prices.OrderedScan.of
+
+    def watched_rows(self):
+        if getattr(self, "listed", None) is None:
+            listed.append(self.path)
+        return rows(self)
+
+    def watched_of(df, *args, **options):
+        scanned.append(df.count())
+        return of(df, *args, **options)
+
+    monkeypatch.setattr(ChunkTable, "_rows", watched_rows)
+    monkeypatch.setattr(prices.OrderedScan, "of", watched_of)
+    prices.repair_pair_ticks(raw, tracked, emitted, ticks.filter(is_late))
+    monkeypatch.undo()
+    # Ticks of two other symbols and marks for two others each, and a few rows where ranges start.
+    assert max(scanned) < 2 * 120 + 2 * 12 + 60
+    assert listed.count(raw.path) == 1
+    columns = prices.PAIR_TICK_COLUMNS
+    assert plain(emitted.read(), *columns) == plain(pairs.pair_ticks(ticks, tracked), *columns)
+
+
+def test_prices_are_not_carried_over_days_that_repair_leaves_out(spark, folder):
+    """Two late ticks days apart: B's price in force at the second one is of a day between."""
+    known = make_ticks(spark, [(0, "A", 10, 1), (1, "B", 5, 1), (60, "A", 12, 1), (1440 * 2, "B", 4, 1), (1440 * 4, "A", 6, 1)])
+    late = make_ticks(spark, [(30, "A", 20, 1), (1440 * 4 - 60, "A", 8, 1)]).withColumn("tick_id", F.col("tick_id") + 50)
+    tracked = spark.createDataFrame([("A/B",), ("B/A",)], "symbol_pair string")
+    raw, emitted = tick_tables(spark, folder, known.schema)
+    raw.append(known)
+    emitted.append(pairs.pair_ticks(known, tracked))
+    raw.append(late)
+    prices.repair_pair_ticks(raw, tracked, emitted, late)
+    columns = prices.PAIR_TICK_COLUMNS
+    assert plain(emitted.read(), *columns) == plain(pairs.pair_ticks(known.unionByName(late), tracked), *columns)
+    assert emitted.read().filter("tick_id = 51 AND symbol = 'A/B'").first()["price"] == 2.0
+
+
 def test_batches_in_any_order_give_the_pair_ticks_of_all(spark, folder):
     ticks = random_ticks(spark, 200, hot="H").persist()
     tracked = pairs.all_symbol_pairs(lastprice.symbol_names(ticks)).persist()

@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta
 from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,28 @@ def is_dir(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
+class Folders:
+    """Calls on many paths of one file system, whose handle is looked up once."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.fs, _ = _fs(spark, path)
+        self.place = spark._jvm.org.apache.hadoop.fs.Path
+
+    def names(self, path: str) -> list[str]:
+        p = self.place(path)
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(p)) if self.fs.exists(p) else []
+
+    def make(self, path: str) -> None:
+        self.fs.mkdirs(self.place(path))
+
+    def remove(self, path: str) -> None:
+        self.fs.delete(self.place(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        if not self.fs.rename(self.place(source), self.place(target)):
+            raise OSError(f"could not move {source} to {target}")
+
+
 def _midnight(day: date) -> datetime:
     return datetime.combine(day, datetime.min.time())
 
@@ -77,6 +99,8 @@ class ChunkTable:
     series_cols: tuple[str, ...] = ()
     chunk_interval: str = "1 day"
     compact_interval: str | None = None
+    # Rows and chunks of a snapshot.
+    listed: tuple[DataFrame, tuple[date, ...]] | None = field(default=None, compare=False, repr=False)
 
     def __post_init__(self) -> None:
         if as_timedelta(self.chunk_interval) % timedelta(days=1):
@@ -97,7 +121,13 @@ class ChunkTable:
         fs, p = _fs(self.spark, self.path)
         return fs.exists(p)
 
+    def snapshot(self) -> ChunkTable:
+        """The table for many reads with no write between them: its files are listed once."""
+        return replace(self, listed=(self._rows(), tuple(self.chunks())))
+
     def chunks(self) -> list[date]:
+        if self.listed is not None:
+            return list(self.listed[1])
         return [
             date.fromisoformat(n.split("=", 1)[1])
             for n in list_dir(self.spark, self.path)
@@ -105,6 +135,8 @@ class ChunkTable:
         ]
 
     def _rows(self) -> DataFrame:
+        if self.listed is not None:
+            return self.listed[0]
         stored = T.StructType([*self.schema.fields, T.StructField(CHUNK, T.DateType())])
         return self.spark.read.schema(stored).parquet(self.path)
 
@@ -199,21 +231,28 @@ class ChunkTable:
         name = uuid.uuid4().hex[:12] if batch_id is None else f"batch-{batch_id}"
         staging = f"{self.path.rstrip('/')}__staging-{uuid.uuid4().hex[:12]}"
         spread(self._chunked(df, self.chunk_interval), CHUNK).write.partitionBy(CHUNK).parquet(staging)
-        chunks = [n for n in list_dir(self.spark, staging) if n.startswith(f"{CHUNK}=")]
+        folders = Folders(self.spark, self.path)
+        folders.make(self.path)
+        chunks = [n for n in folders.names(staging) if n.startswith(f"{CHUNK}=")]
+        present = {n for n in folders.names(self.path) if n.startswith(f"{CHUNK}=")}
         if batch_id is not None:
-            for chunk in self.chunks():
-                folder = f"{self.path}/{CHUNK}={chunk.isoformat()}"
-                for file in list_dir(self.spark, folder):
+            for chunk in present:
+                for file in folders.names(f"{self.path}/{chunk}"):
                     if file.startswith(f"{name}-"):
-                        remove_dir(self.spark, f"{folder}/{file}")
+                        folders.remove(f"{self.path}/{chunk}/{file}")
         if chunks:
             written = T.StructType([*self.schema.fields, T.StructField(CHUNK, T.DateType())])
             self._log(self.spark.read.schema(written).parquet(staging))
         for chunk in chunks:
-            make_dir(self.spark, f"{self.path}/{chunk}")
-            for file in list_dir(self.spark, f"{staging}/{chunk}"):
-                move_dir(self.spark, f"{staging}/{chunk}/{file}", f"{self.path}/{chunk}/{name}-{file}")
-        remove_dir(self.spark, staging)
+            # A new chunk moves whole; files of a batch need its name.
+            if batch_id is None and chunk not in present:
+                folders.move(f"{staging}/{chunk}", f"{self.path}/{chunk}")
+                continue
+            if chunk not in present:
+                folders.make(f"{self.path}/{chunk}")
+            for file in folders.names(f"{staging}/{chunk}"):
+                folders.move(f"{staging}/{chunk}/{file}", f"{self.path}/{chunk}/{name}-{file}")
+        folders.remove(staging)
 
     def replace_chunks(self, df: DataFrame, chunks: Iterable[date]) -> None:
         """Exchange the content of whole chunks; chunks without new rows disappear."""
@@ -221,6 +260,31 @@ class ChunkTable:
         ordered = [CHUNK, *self.series_cols, self.time_col]
         self._swap(spread(chunked, CHUNK).sortWithinPartitions(*ordered), chunks)
 
+    def replace_rows(self, df: DataFrame, keys: Sequence[str], chunks: Iterable[date], where: Column) -> None:
+        """Put rows in the place of those of the same keys, and add those of new keys.
+
+        ``keys`` hold the series columns and the time; each key remains once, and only with a row
+        that meets ``where``. Whole ``chunks`` are rewritten, which must hold all stored rows of
+        these keys. One shuffle by ranges of time puts rows of a key together, spreads a crowded
+        chunk and leaves few files per chunk.
+        """
+        stored = self.read(chunks=chunks).withColumn("_new", F.lit(False))
+        rows = stored.unionByName(df.select(*self.schema.names).withColumn("_new", F.lit(True)))
+        first = [*self.series_cols, self.time_col]
+        ordered = [CHUNK, *first, *(k for k in keys if k not in first)]
+        chunk = time_bucket(self.chunk_interval, self.time_col).cast("date")
+        values = [n for n in self.schema.names if n not in keys]
+        merged = (
+            rows.withColumn(CHUNK, chunk)
+            .repartitionByRange(self.time_col)
+            .groupBy(*ordered)
+            .agg(F.max_by(F.struct(*values), "_new").alias("_row"))
+            .select(*ordered, *(F.col(f"_row.{v}").alias(v) for v in values))
+            .filter(where)
+            .select(*self.schema.names, CHUNK)
+        )
+        self._swap(merged.sortWithinPartitions(*ordered), chunks)
+
     def _swap(
         self, chunked: DataFrame, chunks: Iterable[date], rows: int | None = None
     ) -> None:
@@ -235,12 +299,13 @@ class ChunkTable:
             found = self.spark.read.parquet(staging).count()
             if found != rows:
                 raise RuntimeError(f"{found} rows written instead of {rows}, table unchanged")
-        written = [n for n in list_dir(self.spark, staging) if n.startswith(f"{CHUNK}=")]
+        folders = Folders(self.spark, self.path)
+        written = [n for n in folders.names(staging) if n.startswith(f"{CHUNK}=")]
         for name in {f"{CHUNK}={c.isoformat()}" for c in chunks} | set(written):
-            remove_dir(self.spark, f"{self.path}/{name}")
+            folders.remove(f"{self.path}/{name}")
         for name in written:
-            move_dir(self.spark, f"{staging}/{name}", f"{self.path}/{name}")
-        remove_dir(self.spark, staging)
+            folders.move(f"{staging}/{name}", f"{self.path}/{name}")
+        folders.remove(staging)
 
     def update_range(
         self,

@@ -158,34 +158,55 @@ def affected_pair_ticks(
     """Pair ticks inside the affected intervals, worked out anew; price is null where none is due.
 
     Inside an interval the late leg's price doesn't change, so the other leg's ticks are all it
-    takes; the late tick's own row needs the other leg's last price before it.
+    takes; the late tick's own row needs the other leg's last price before it. Two late ticks, one
+    of each leg, give the same row twice.
     """
     ranges = _touched(raw, legs)
-    wanted = legs.select(F.col("other").alias("symbol")).distinct()
-    ticks = raw.read_ranges(ranges).join(wanted, "symbol", "left_semi")
-    keys = legs.select("symbol_pair", "leg", "other").distinct()
-    marks = legs.select("symbol_pair", "leg", "time", "tick_id", F.struct("price", "until").alias("_late"), F.lit(None).cast("double").alias("_price"), F.lit(0).alias("_kind"))
-    theirs = ticks.join(keys, ticks["symbol"] == keys["other"]).select(
-        "symbol_pair", "leg", "time", "tick_id", F.lit(None).cast(marks.schema["_late"].dataType).alias("_late"), F.col("price").cast("double").alias("_price"), F.lit(1).alias("_kind")
+    mine = F.when(F.col("leg") == 1, pair_leg("symbol_pair", 1)).otherwise(pair_leg("symbol_pair", 2))
+    ways = stored(legs.select(mine.alias("mine"), "other", "symbol_pair", "leg").distinct(), "ways")
+    # Both pairs of two symbols share one scan; either has all marks.
+    either = ways.groupBy("mine", "other").agg(F.min(F.struct("symbol_pair", "leg")).alias("_way"))
+    keys = either.select("mine", "other")
+    nothing = F.lit(None).cast("double")
+    marks = legs.join(either.select("mine", "_way.*"), ["symbol_pair", "leg"]).select(
+        "mine", "other", "time", "tick_id", F.struct("price", "until").alias("_late"), nothing.alias("_price"), F.lit(0).alias("_kind")
     )
-    order = ["time", "tick_id", "_kind"]
-    scan = OrderedScan.of(marks.unionByName(theirs), ["symbol_pair", "leg"], order, max_rows).running({"_in": running_last(F.col("_late"))})
-    inside = F.col("_in").isNotNull() & (F.col("_in.until").isNull() | (F.struct("time", "tick_id") < F.col("_in.until")))
-    rows = scan.frame().filter((F.col("_kind") == 1) & inside).select(
-        "symbol_pair", "leg", "time", "tick_id", F.col("_in.price").alias("_late"), F.col("_price").alias("_other")
+    never = F.lit(None).cast(marks.schema["_late"].dataType).alias("_late")
+
+    def theirs(rows: DataFrame, kind: int) -> DataFrame:
+        return rows.join(keys, F.col("symbol") == F.col("other")).select(
+            "mine", "other", "time", "tick_id", never, F.col("price").cast("double").alias("_price"), F.lit(kind).alias("_kind")
+        )
+
+    # Every range begins with the last prices before it, so none is carried over what isn't read.
+    least = F.lit(-(2**63) if raw.schema["tick_id"].dataType == T.LongType() else -(2**31)).alias("tick_id")
+    starts = raw.spark.createDataFrame([(low,) for low, _ in ranges], "time timestamp_ntz")
+    points = starts.crossJoin(keys.select(F.col("other").alias("symbol")).distinct()).select("symbol", "time", least)
+    before = nearest_rows(raw, points, ["price"], max_rows=max_rows).select("symbol", "time", "tick_id", F.col("found.price").alias("price"))
+    within = raw.read_ranges(ranges)
+    rows = marks.unionByName(theirs(before, -1)).unionByName(theirs(within, 1))
+    # Rows per key follow from the ticks per symbol, before the fan-out over symbols.
+    counts = within.groupBy("symbol").count().join(keys, F.col("symbol") == F.col("other")).select("mine", "other", "count")
+    sizes = counts.unionByName(marks.groupBy("mine", "other").count()).groupBy("mine", "other").agg(F.sum("count").alias("count"))
+    scan = OrderedScan.of(rows, ["mine", "other"], ["time", "tick_id", "_kind"], max_rows, sizes).running(
+        {"_in": running_last(F.col("_late")), "_seen": running_last(F.col("_price"))}
+    )
+    inside = F.col("_in.until").isNull() | (F.struct("time", "tick_id") < F.col("_in.until"))
+    wanted = (F.col("_kind") == 0) | ((F.col("_kind") == 1) & F.col("_in").isNotNull() & inside)
+    found = scan.frame().filter(wanted).select(
+        "mine", "other", "time", "tick_id",
+        F.when(F.col("_kind") == 0, F.col("_late.price")).otherwise(F.col("_in.price")).alias("_late"),
+        F.when(F.col("_kind") == 0, F.col("_seen")).otherwise(F.col("_price")).alias("_other"), "_kind",
     )
-    before = nearest_rows(raw, legs.select(F.col("other").alias("symbol"), "time", "tick_id"), ["price"])
-    before = before.select(F.col("symbol").alias("other"), "time", "tick_id", F.col("found.price").alias("_other"))
-    own = legs.select("symbol_pair", "leg", "other", "time", "tick_id", F.col("price").alias("_late")).join(before, ["other", "time", "tick_id"])
     if symbols is not None:
         seeds = symbols.select(F.col("symbol").alias("other"), F.col("last_price").alias("_seed"))
-        own = own.join(seeds, "other", "left").withColumn("_other", F.coalesce("_other", "_seed"))
-    rows = rows.unionByName(own.select(rows.columns))
+        other = F.when(F.col("_kind") == 0, F.coalesce("_other", "_seed")).otherwise(F.col("_other"))
+        found = found.join(seeds, "other", "left").withColumn("_other", other)
+    rows = found.join(ways, ["mine", "other"])
     first = F.when(F.col("leg") == 1, F.col("_late")).otherwise(F.col("_other"))
     second = F.when(F.col("leg") == 1, F.col("_other")).otherwise(F.col("_late"))
     price = round_half_up(ratio(first, second), PAIR_DECIMALS)
-    # Two late ticks, one of each leg, give the same row twice.
-    return rows.select("time", "tick_id", F.col("symbol_pair").alias("symbol"), price.alias("price"), F.lit(1.0).alias("volume")).distinct()
+    return rows.select("time", "tick_id", F.col("symbol_pair").alias("symbol"), price.alias("price"), F.lit(1.0).alias("volume"))
 
 
 def repair_pair_ticks(
@@ -203,16 +224,14 @@ def repair_pair_ticks(
     symbol are read and written, and those needed to find that tick and the other leg's last price.
     ``symbols`` are prices known before the first tick. May run again after a failure.
     """
+    raw = raw.snapshot()
     legs = stored(late_legs(raw, pairs, late), "late-legs")
     if legs.isEmpty():
         return
     fresh = stored(affected_pair_ticks(raw, legs, symbols, max_rows), "repaired")
     days = sorted(r["day"] for r in fresh.select(F.to_date("time").alias("day")).distinct().collect())
     ranges = merge_ranges([(start, shift(start, "1 day")) for start in (datetime.combine(d, datetime.min.time()) for d in days)])
-    touched = emitted.touched(ranges)
-    keys = ["symbol", "time", "tick_id"]
-    kept = emitted.read(chunks=touched).distinct().join(fresh.select(*keys), keys, "left_anti")
-    emitted.replace_chunks(kept.unionByName(fresh.filter("price IS NOT NULL").select(kept.columns)), touched)
+    emitted.replace_rows(fresh, ["symbol", "time", "tick_id"], emitted.touched(ranges), F.col("price").isNotNull())
 
 
 def newest_partner(known: DataFrame, pairs: DataFrame) -> DataFrame:
